@@ -39,6 +39,7 @@ def lookup(
     parent_id: str,
     out_col: str,
     required: bool,
+    small_rows: bool = False,
 ) -> DataFrame:
     """Add ``parent.parent_id`` as ``out_col`` by ``row_col = parent_key``.
 
@@ -51,6 +52,11 @@ def lookup(
     ).where(F.col("__lk_key").isNotNull())
     if required:
         ids = ids.where(F.col(out_col).isNotNull())
+    if small_rows:
+        # Few rows to look up: cut the parent down map-side first, so a large
+        # parent is scanned but never shuffled.
+        wanted = rows.select(F.col(row_col).alias("__lk_key"))
+        ids = ids.join(F.broadcast(wanted), "__lk_key", "left_semi")
     joined = rows.join(ids, rows[row_col] == ids["__lk_key"], "inner" if required else "left")
     return joined.drop("__lk_key")
 

@@ -146,3 +146,268 @@ def build() -> dict[str, str]:
         q[f"daily_product_{b}"] = with_fixtures(dp) + "\n" + branch_select(
             DAILY_PRODUCT_MEASURES, f"dp_{b}", "dw_product_id")
     return q
+
+
+# --- staged batches and type-1 merges -------------------------------------------
+
+from pyspark.sql import types as _T  # noqa: E402
+
+from nightshift.schemas import (  # noqa: E402
+    SCD1_ORDER, SCD1_SPECS, SCD2_SPECS, SOURCE_SCHEMAS,
+)
+from nightshift.sources.fixture_sql import EPOCH, PREV_RUN_TS  # noqa: E402
+
+MONEY_COLS = {"creditlimit", "buyprice", "msrp", "priceeach", "amount"}
+
+
+def outcols(cols) -> str:
+    """Final projection: exact money as DOUBLE, everything else as is."""
+    return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in MONEY_COLS else c for c in cols)
+
+
+def extract_sql(t: str) -> str:
+    cols = ", ".join(f.name for f in SOURCE_SCHEMAS[t].fields)
+    return f"SELECT {cols} FROM src_{t} WHERE CAST(update_timestamp AS DATE) >= {BDATE}"
+
+
+def staged_sql(t: str) -> str:
+    cols = []
+    for f in SOURCE_SCHEMAS[t].fields:
+        if isinstance(f.dataType, _T.StringType):
+            cols.append(f"CASE WHEN trim({f.name}) = '' THEN NULL ELSE {f.name} END AS {f.name}")
+        else:
+            cols.append(f.name)
+    return f"SELECT {', '.join(cols)} FROM ({extract_sql(t)}) e"
+
+
+def merge_ctes(t: str) -> list[tuple[str, str]]:
+    """st_<t> (staged), upd_<t> (target after the update), new_<t> (inserts)."""
+    spec = SCD1_SPECS[t]
+    attrs = dict((tc, sc) for sc, tc in spec.attrs)
+    on_t = " AND ".join(f"t.{tc} = s.{sc}" for sc, tc in spec.keys)
+    hit = f"s.{spec.keys[0][0]} IS NOT NULL"
+    upd = []
+    for c in spec.columns:
+        if c in attrs:
+            upd.append(f"CASE WHEN {hit} THEN s.{attrs[c]} ELSE t.{c} END AS {c}")
+        elif c == "src_update_timestamp":
+            upd.append(f"CASE WHEN {hit} THEN s.update_timestamp ELSE t.{c} END AS {c}")
+        elif c == "dw_update_timestamp":
+            upd.append(f"CASE WHEN {hit} THEN {RUN_TS} ELSE t.{c} END AS {c}")
+        elif c == "etl_batch_no":
+            upd.append(f"CASE WHEN {hit} THEN {BNO} ELSE t.{c} END AS {c}")
+        elif c == "etl_batch_date":
+            upd.append(f"CASE WHEN {hit} THEN {BDATE} ELSE t.{c} END AS {c}")
+        else:
+            upd.append(f"t.{c}")
+    upd_sql = f"SELECT {', '.join(upd)} FROM prev_{t} t LEFT JOIN st_{t} s ON {on_t}"
+
+    joins, conds = [], [f"t.{spec.keys[0][1]} IS NULL"]
+    look = {}
+    for i, lk in enumerate(spec.lookups):
+        alias = f"p{i}"
+        joins.append(f"LEFT JOIN prev_{lk.parent} {alias} ON s.{lk.stage_col} = {alias}.{lk.parent_key}")
+        if lk.required:
+            conds.append(f"{alias}.{lk.parent_id} IS NOT NULL")
+        look[lk.target_col] = f"{alias}.{lk.parent_id}"
+    keys = dict((tc, sc) for sc, tc in spec.keys)
+    order = ", ".join(f"s.{sc}" for sc, _ in spec.keys)
+    new = []
+    for c in spec.columns:
+        if c == spec.surrogate:
+            new.append(f"(SELECT coalesce(max({c}), 0) FROM prev_{t}) + row_number() OVER (ORDER BY {order}) AS {c}")
+        elif c in keys:
+            new.append(f"s.{keys[c]} AS {c}")
+        elif c in attrs:
+            new.append(f"s.{attrs[c]} AS {c}")
+        elif c in look:
+            new.append(f"{look[c]} AS {c}")
+        elif c == "src_create_timestamp":
+            new.append(f"s.create_timestamp AS {c}")
+        elif c == "src_update_timestamp":
+            new.append(f"s.update_timestamp AS {c}")
+        elif c in ("dw_create_timestamp", "dw_update_timestamp"):
+            new.append(f"{RUN_TS} AS {c}")
+        elif c == "etl_batch_no":
+            new.append(f"{BNO} AS {c}")
+        elif c == "etl_batch_date":
+            new.append(f"{BDATE} AS {c}")
+        else:
+            raise KeyError(c)
+    new_sql = (f"SELECT {', '.join(new)} FROM st_{t} s LEFT JOIN prev_{t} t ON {on_t} "
+               f"{' '.join(joins)} WHERE {' AND '.join(conds)}")
+    return [(f"st_{t}", staged_sql(t)), (f"upd_{t}", upd_sql), (f"new_{t}", new_sql)]
+
+
+def all_merge_ctes() -> list[tuple[str, str]]:
+    out = []
+    for t in SCD1_ORDER:
+        out += merge_ctes(t)
+    return out
+
+
+def build_merges(q: dict[str, str]) -> None:
+    for t in SCD1_ORDER:
+        cols = SCD1_SPECS[t].columns
+        q[f"upsert_{t}"] = with_fixtures(merge_ctes(t)) + (
+            f"\nSELECT {outcols(cols)} FROM (SELECT * FROM upd_{t} UNION ALL SELECT * FROM new_{t}) u")
+    parts = []
+    for t in SCD1_ORDER:
+        spec = SCD1_SPECS[t]
+        on = " AND ".join(f"t.{tc} = s.{sc}" for sc, tc in spec.keys)
+        parts.append(
+            f"SELECT '{t}' AS table_name,"
+            f" (SELECT count(*) FROM prev_{t} t WHERE EXISTS (SELECT 1 FROM st_{t} s WHERE {on})) AS updated,"
+            f" (SELECT count(*) FROM new_{t}) AS inserted")
+    q["merge_counts"] = with_fixtures(all_merge_ctes()) + "\n" + "\nUNION ALL ".join(parts)
+    q["surrogate_keys"] = with_fixtures(merge_ctes("customers")) + (
+        "\nSELECT src_customernumber, dw_customer_id FROM new_customers")
+
+
+# --- type-2 history -----------------------------------------------------------------
+
+def history_ctes(name: str) -> list[tuple[str, str]]:
+    spec = SCD2_SPECS[name]
+    i, v, dim = spec.id_col, spec.tracked, spec.dim
+    hist = f"""SELECT {i}, {v}, CAST(src_create_timestamp AS DATE) AS effective_from_date,
+    CAST(NULL AS DATE) AS effective_to_date, 1 AS dw_active_record_ind,
+    src_create_timestamp AS dw_create_timestamp, src_create_timestamp AS dw_update_timestamp,
+    {PNO} AS create_etl_batch_no, CAST(src_create_timestamp AS DATE) AS create_etl_batch_date,
+    CAST(NULL AS INTEGER) AS update_etl_batch_no, CAST(NULL AS DATE) AS update_etl_batch_date
+  FROM prev_{dim}"""
+    close_ids = f"""SELECT DISTINCT a.{i} FROM cur_{dim} a JOIN h_{name} b ON a.{i} = b.{i}
+  WHERE b.dw_active_record_ind = 1 AND a.{v} IS DISTINCT FROM b.{v}"""
+    c = f"(h.dw_active_record_ind = 1 AND h.{i} IN (SELECT {i} FROM x_{name}))"
+    closed = f"""SELECT h.{i}, h.{v}, h.effective_from_date,
+    CASE WHEN {c} THEN {BDATE} - 1 ELSE h.effective_to_date END AS effective_to_date,
+    CASE WHEN {c} THEN 0 ELSE h.dw_active_record_ind END AS dw_active_record_ind,
+    h.dw_create_timestamp,
+    CASE WHEN {c} THEN {RUN_TS} ELSE h.dw_update_timestamp END AS dw_update_timestamp,
+    h.create_etl_batch_no, h.create_etl_batch_date,
+    CASE WHEN {c} THEN {BNO} ELSE h.update_etl_batch_no END AS update_etl_batch_no,
+    CASE WHEN {c} THEN {BDATE} ELSE h.update_etl_batch_date END AS update_etl_batch_date
+  FROM h_{name} h"""
+    opened = f"""SELECT a.{i}, a.{v}, {BDATE} AS effective_from_date,
+    CAST(NULL AS DATE) AS effective_to_date, 1 AS dw_active_record_ind,
+    {RUN_TS} AS dw_create_timestamp, {RUN_TS} AS dw_update_timestamp,
+    {BNO} AS create_etl_batch_no, {BDATE} AS create_etl_batch_date,
+    CAST(NULL AS INTEGER) AS update_etl_batch_no, CAST(NULL AS DATE) AS update_etl_batch_date
+  FROM cur_{dim} a
+  WHERE NOT EXISTS (SELECT 1 FROM c_{name} k WHERE k.{i} = a.{i} AND k.dw_active_record_ind = 1)"""
+    return [(f"h_{name}", hist), (f"x_{name}", close_ids), (f"c_{name}", closed), (f"o_{name}", opened)]
+
+
+def build_history(q: dict[str, str]) -> None:
+    for name, short in (("customer_history", "customer"), ("product_history", "product")):
+        spec = SCD2_SPECS[name]
+        cols = [spec.id_col, spec.tracked, "effective_from_date", "effective_to_date",
+                "dw_active_record_ind", "dw_create_timestamp", "dw_update_timestamp",
+                "create_etl_batch_no", "create_etl_batch_date", "update_etl_batch_no",
+                "update_etl_batch_date"]
+        w = with_fixtures(history_ctes(name))
+        q[f"scd2_{name}"] = w + (f"\nSELECT {outcols(cols)} FROM (SELECT * FROM c_{name} "
+                                 f"UNION ALL SELECT * FROM o_{name}) u")
+        q[f"scd2_close_{short}"] = w + f"\nSELECT {outcols(cols)} FROM c_{name} WHERE dw_active_record_ind = 0"
+        q[f"scd2_open_{short}"] = w + f"\nSELECT {outcols(cols)} FROM o_{name}"
+
+
+# --- monthly roll-forward -------------------------------------------------------------
+
+def daily_table_ctes(kind: str) -> list[tuple[str, str]]:
+    """The daily table after the batch: all days, exact amounts, restamped."""
+    if kind == "customer":
+        ctes, M, key, src = daily_customer_ctes(EPOCH, "fc"), DAILY_CUSTOMER_MEASURES, "dw_customer_id", "fc_all"
+    else:
+        ctes, M, key, src = daily_product_ctes(EPOCH, "fp"), DAILY_PRODUCT_MEASURES, "dw_product_id", "fp_all"
+    aggs = ", ".join(f"CAST({'SUM' if k == 'sum' else 'MAX'}({n}) AS {sql_type(n)}) AS {n}" for n, k in M)
+    old = f"summary_date < {BDATE}"
+    table = f"""SELECT summary_date, {key}, {aggs},
+    CASE WHEN {old} THEN {PREV_RUN_TS} ELSE {RUN_TS} END AS dw_create_timestamp,
+    CASE WHEN {old} THEN {PREV_RUN_TS} ELSE {RUN_TS} END AS dw_update_timestamp,
+    CASE WHEN {old} THEN {PNO} ELSE {BNO} END AS etl_batch_no,
+    CASE WHEN {old} THEN {PDATE} ELSE {BDATE} END AS etl_batch_date
+  FROM {src} GROUP BY summary_date, {key}"""
+    return ctes + [(f"daily_{kind}", table)]
+
+
+def monthly_ctes(kind: str) -> list[tuple[str, str]]:
+    M, key = ((DAILY_CUSTOMER_MEASURES, "dw_customer_id") if kind == "customer"
+              else (DAILY_PRODUCT_MEASURES, "dw_product_id"))
+    mon = "CAST(date_trunc('month', summary_date) AS DATE)"
+
+    def rollup(where: str, stamp: str | None) -> str:
+        cols = []
+        for n, k in M:
+            if k == "sum":
+                cols.append(f"CAST(SUM({n}) AS {sql_type(n)}) AS {n}")
+            else:
+                cols.append(f"MAX({n}) AS {n}")
+                cols.append(f"MAX({n}) AS {n[:-4]}_apm")
+        stamps = (f"{stamp} AS dw_create_timestamp, {stamp} AS dw_update_timestamp"
+                  if stamp else "")
+        sep = ", " if stamps else ""
+        return (f"SELECT {mon} AS start_of_the_month_date, {key}, {', '.join(cols)}{sep}{stamps}, "
+                f"MAX(etl_batch_no) AS etl_batch_no, MAX(etl_batch_date) AS etl_batch_date "
+                f"FROM daily_{kind} WHERE {where} GROUP BY {mon}, {key}")
+
+    prev = rollup(f"summary_date < {BDATE}", PREV_RUN_TS)
+    delta = rollup(f"summary_date >= {BDATE}", None)
+    hit = "d.start_of_the_month_date IS NOT NULL"
+    cols = ["m.start_of_the_month_date", f"m.{key}"]
+    for n, k in M:
+        if k == "sum":
+            cols.append(f"CASE WHEN {hit} THEN m.{n} + d.{n} ELSE m.{n} END AS {n}")
+        else:
+            apm = n[:-4] + "_apm"
+            cols.append(f"CASE WHEN NOT ({hit}) THEN m.{n} WHEN m.{n} = 1 THEN 1 ELSE d.{n} END AS {n}")
+            cols.append(f"CASE WHEN NOT ({hit}) THEN m.{apm} WHEN m.{apm} = 1 THEN 1 ELSE d.{n} END AS {apm}")
+    cols += ["m.dw_create_timestamp",
+             f"CASE WHEN {hit} THEN {RUN_TS} ELSE m.dw_update_timestamp END AS dw_update_timestamp",
+             f"CASE WHEN {hit} THEN d.etl_batch_no ELSE m.etl_batch_no END AS etl_batch_no",
+             f"CASE WHEN {hit} THEN d.etl_batch_date ELSE m.etl_batch_date END AS etl_batch_date"]
+    updated = (f"SELECT {', '.join(cols)} FROM pm_{kind} m LEFT JOIN dm_{kind} d "
+               f"ON d.start_of_the_month_date = m.start_of_the_month_date AND d.{key} = m.{key}")
+    ins_cols = ["d.start_of_the_month_date", f"d.{key}"]
+    for n, k in M:
+        ins_cols.append(f"d.{n}")
+        if k == "flag":
+            ins_cols.append(f"d.{n[:-4]}_apm")
+    ins_cols += [f"{RUN_TS} AS dw_create_timestamp", f"{RUN_TS} AS dw_update_timestamp",
+                 "d.etl_batch_no", "d.etl_batch_date"]
+    inserted = (f"SELECT {', '.join(ins_cols)} FROM dm_{kind} d WHERE NOT EXISTS (SELECT 1 FROM pm_{kind} m "
+                f"WHERE m.start_of_the_month_date = d.start_of_the_month_date AND m.{key} = d.{key})")
+    return daily_table_ctes(kind) + [(f"pm_{kind}", prev), (f"dm_{kind}", delta),
+                                     (f"um_{kind}", updated), (f"im_{kind}", inserted)]
+
+
+def monthly_out(kind: str) -> str:
+    M, key = ((DAILY_CUSTOMER_MEASURES, "dw_customer_id") if kind == "customer"
+              else (DAILY_PRODUCT_MEASURES, "dw_product_id"))
+    cols = ["start_of_the_month_date", key]
+    for n, k in M:
+        cols.append(f"CAST({n} AS {out_type(n)}) AS {n}")
+        if k == "flag":
+            cols.append(f"CAST({n[:-4]}_apm AS INTEGER) AS {n[:-4]}_apm")
+    cols += ["dw_create_timestamp", "dw_update_timestamp", "etl_batch_no", "etl_batch_date"]
+    return ", ".join(cols)
+
+
+def build_monthly(q: dict[str, str]) -> None:
+    for kind in ("customer", "product"):
+        w = with_fixtures(monthly_ctes(kind))
+        sel = monthly_out(kind)
+        q[f"monthly_{kind}_summary"] = w + (f"\nSELECT {sel} FROM (SELECT * FROM um_{kind} "
+                                            f"UNION ALL SELECT * FROM im_{kind}) u")
+        q[f"monthly_update_{kind}"] = w + f"\nSELECT {sel} FROM um_{kind} WHERE etl_batch_no = {BNO}"
+        q[f"monthly_insert_{kind}"] = w + f"\nSELECT {sel} FROM im_{kind}"
+
+
+_build_daily = build
+
+
+def build() -> dict[str, str]:  # noqa: F811
+    q = _build_daily()
+    build_merges(q)
+    build_history(q)
+    build_monthly(q)
+    return q

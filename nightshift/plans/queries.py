@@ -81,3 +81,114 @@ for _b in daily.CUSTOMER_BRANCHES:
     register(f"daily_customer_{_b}")(_customer_branch(_b))
 for _b in daily.PRODUCT_BRANCHES:
     register(f"daily_product_{_b}")(_product_branch(_b))
+
+
+# --- I1-I8 type-1 upserts, I15 counts, I16 surrogate keys -------------------
+
+from nightshift.plans import programs  # noqa: E402
+from nightshift.schemas import SCD1_ORDER, SCD1_SPECS, SCD2_SPECS  # noqa: E402
+
+
+def _merge_inputs(spark, sf, table):
+    spec = SCD1_SPECS[table]
+    wh = {table: A.previous(spark, sf, table)}
+    for lk in spec.lookups:
+        if not lk.self_ref:
+            wh[lk.parent] = A.previous(spark, sf, lk.parent)
+    return wh, A.stage(spark, sf, table)
+
+
+def _upsert_query(table):
+    def q(spark, sf):
+        wh, st = _merge_inputs(spark, sf, table)
+        return programs.upsert(table, wh, st, A.BATCH)
+
+    q.__name__ = f"q_upsert_{table}"
+    q.__doc__ = f"I: type-1 merge of the staged {table} into the warehouse table."
+    return q
+
+
+for _t in SCD1_ORDER:
+    register(f"upsert_{_t}")(_upsert_query(_t))
+
+
+@register("merge_counts")
+def q_merge_counts(spark, sf):
+    """Rows updated and inserted per type-1 table."""
+    out = None
+    for t in SCD1_ORDER:
+        wh, st = _merge_inputs(spark, sf, t)
+        part = programs.merge_counts_of(t, wh, st, A.BATCH)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("surrogate_keys")
+def q_surrogate_keys(spark, sf):
+    """I16: ids given to the customers inserted by the batch."""
+    wh, st = _merge_inputs(spark, sf, "customers")
+    fresh = programs.upsert_parts("customers", wh, st, A.BATCH).fresh
+    return fresh.select("src_customernumber", "dw_customer_id")
+
+
+# --- I9-I10 type-2 history ----------------------------------------------------
+
+from nightshift.operators import scd2 as _scd2  # noqa: E402
+
+
+def _history_inputs(spark, sf, name):
+    spec = SCD2_SPECS[name]
+    return {name: A.previous_history(spark, sf, name), spec.dim: A.current(spark, sf, spec.dim)}
+
+
+def _history_query(name, part):
+    spec = SCD2_SPECS[name]
+
+    def q(spark, sf):
+        wh = _history_inputs(spark, sf, name)
+        h, dim = wh[name], wh[spec.dim]
+        if part == "all":
+            return programs.history(name, wh, A.BATCH)
+        if part == "close":
+            return _scd2.close_changed(h, dim, spec, A.BATCH).where("dw_active_record_ind = 0")
+        return _scd2.rows_to_open(h, dim, spec, A.BATCH)
+
+    q.__name__ = f"q_{name}_{part}"
+    return q
+
+
+for _name, _short in (("customer_history", "customer"), ("product_history", "product")):
+    register(f"scd2_{_name}")(_history_query(_name, "all"))
+    register(f"scd2_close_{_short}")(_history_query(_name, "close"))
+    register(f"scd2_open_{_short}")(_history_query(_name, "open"))
+
+
+# --- I13-I14 monthly roll-forward ----------------------------------------------
+
+def _monthly_inputs(spark, sf, kind):
+    return {
+        f"monthly_{kind}_summary": A.previous_monthly(spark, sf, kind),
+        f"daily_{kind}_summary": A.daily_table(spark, sf, kind),
+    }
+
+
+def _monthly_query(kind, part):
+    name = f"monthly_{kind}_summary"
+
+    def q(spark, sf):
+        wh = _monthly_inputs(spark, sf, kind)
+        if part == "all":
+            return programs.monthly(name, wh, A.BATCH)
+        updated, inserted = programs.monthly_parts(name, wh, A.BATCH)
+        if part == "insert":
+            return inserted
+        return updated.where(F.col("etl_batch_no") == A.BATCH.no)
+
+    q.__name__ = f"q_{name}_{part}"
+    return q
+
+
+for _k in ("customer", "product"):
+    register(f"monthly_{_k}_summary")(_monthly_query(_k, "all"))
+    register(f"monthly_update_{_k}")(_monthly_query(_k, "update"))
+    register(f"monthly_insert_{_k}")(_monthly_query(_k, "insert"))

@@ -342,11 +342,9 @@ def previous_customers(spark, sf):
 def previous_productlines(spark, sf):
     s = source_productlines(spark, sf).where(_created_before())
     ch = _changed_now()
-    # Ids in name order: a tiny (distinct product type) relation.
-    ranked = s.withColumn(
-        "dw_product_line_id",
-        F.row_number().over(_name_order()).cast("bigint"),
-    )
+    from nightshift.operators.surrogate import assign_surrogate_keys
+
+    ranked = assign_surrogate_keys(s, ["productline"], "dw_product_line_id", 0)
     return ranked.select(
         "dw_product_line_id", "productline",
         F.when(ch, F.lit("Line (draft)")).otherwise(F.col("textdescription"))
@@ -356,13 +354,6 @@ def previous_productlines(spark, sf):
     )
 
 
-def _name_order():
-    from pyspark.sql import Window
-
-    # productlines has one row per distinct product type (a handful).
-    return Window.orderBy("productline")
-
-
 def previous_products(spark, sf):
     s = source_products(spark, sf).where(_created_before())
     ch = _changed_now()
@@ -538,3 +529,94 @@ def current(spark: SparkSession, sf: str, table: str) -> DataFrame:
 
 def fact_inputs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {t: current(spark, sf, t) for t in CURRENT}
+
+
+# --- stage, control, history and fact-table fixtures ---------------------------
+
+def stage(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """The staged change set: A1 extract of the source + A4 blanks -> NULL."""
+    from nightshift.sources.extract import blanks_as_null, extract_incremental
+
+    return blanks_as_null(extract_incremental(source(spark, sf, table), table, BATCH.date))
+
+
+def batch_control(spark: SparkSession, sf: str) -> DataFrame:
+    """One batch per order day up to the scenario's batch date."""
+    days = (
+        read(spark, sf, "orders")
+        .select(F.col("o_orderdate").cast("date").alias("etl_batch_date"))
+        .where(F.col("etl_batch_date") <= F.lit(BATCH.date))
+        .distinct()
+    )
+    return days.select(
+        (F.datediff("etl_batch_date", F.lit(EPOCH)) + 1).cast("int").alias("etl_batch_no"),
+        "etl_batch_date",
+    )
+
+
+def previous_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The log after earlier batches: every earlier batch ran and succeeded."""
+    bc = batch_control(spark, sf).where(F.col("etl_batch_date") < F.lit(BATCH.date))
+    nxt = F.date_add("etl_batch_date", 1)
+    return bc.select(
+        "etl_batch_no",
+        "etl_batch_date",
+        F.lit("S").alias("etl_batch_status"),
+        _at(nxt, 2).alias("etl_batch_start_time"),
+        _at(nxt, 3).alias("etl_batch_end_time"),
+    )
+
+
+def previous_history(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """History before the batch: one active version per known dimension row."""
+    from nightshift.schemas import SCD2_SPECS
+
+    spec = SCD2_SPECS[name]
+    dim = previous(spark, sf, spec.dim)
+    since = F.col("src_create_timestamp").cast("date")
+    return dim.select(
+        spec.id_col,
+        spec.tracked,
+        since.alias("effective_from_date"),
+        F.lit(None).cast("date").alias("effective_to_date"),
+        F.lit(1).alias("dw_active_record_ind"),
+        F.col("src_create_timestamp").alias("dw_create_timestamp"),
+        F.col("src_create_timestamp").alias("dw_update_timestamp"),
+        PREV_BATCH.no_col.alias("create_etl_batch_no"),
+        since.alias("create_etl_batch_date"),
+        F.lit(None).cast("int").alias("update_etl_batch_no"),
+        F.lit(None).cast("date").alias("update_etl_batch_date"),
+    )
+
+
+def _restamp(df: DataFrame) -> DataFrame:
+    """Rows before the batch date were written by the previous batch."""
+    old = F.col("summary_date") < F.lit(BATCH.date)
+    return df.withColumns({
+        "dw_create_timestamp": F.when(old, PREV_BATCH.ts_col).otherwise(BATCH.ts_col),
+        "dw_update_timestamp": F.when(old, PREV_BATCH.ts_col).otherwise(BATCH.ts_col),
+        "etl_batch_no": F.when(old, PREV_BATCH.no_col).otherwise(BATCH.no_col),
+        "etl_batch_date": F.when(old, PREV_BATCH.date_col).otherwise(BATCH.date_col),
+    })
+
+
+FULL_HISTORY = Batch(no=BATCH.no, date=EPOCH, run_ts=BATCH.run_ts)
+
+
+def daily_table(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """The daily summary table after this batch: every day since the epoch."""
+    from nightshift.plans import daily
+
+    fn = daily.daily_customer_summary if kind == "customer" else daily.daily_product_summary
+    return _restamp(fn(fact_inputs(spark, sf), FULL_HISTORY))
+
+
+def previous_monthly(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """The monthly table before this batch: months of the days before it."""
+    from nightshift.operators.rollforward import rollup_months
+    from nightshift.schemas import DAILY_CUSTOMER_MEASURES, DAILY_PRODUCT_MEASURES
+
+    key, measures = (("dw_customer_id", DAILY_CUSTOMER_MEASURES) if kind == "customer"
+                     else ("dw_product_id", DAILY_PRODUCT_MEASURES))
+    d = daily_table(spark, sf, kind).where(F.col("summary_date") < F.lit(BATCH.date))
+    return rollup_months(d, key, measures, PREV_BATCH)
