@@ -411,3 +411,146 @@ def build() -> dict[str, str]:  # noqa: F811
     build_history(q)
     build_monthly(q)
     return q
+
+
+# --- A, B-H operator queries -------------------------------------------------------------
+
+from nightshift.schemas import SOURCE_TABLES  # noqa: E402
+from nightshift.sources.fixture_sql import END_TS  # noqa: E402
+
+
+def _control_ctes() -> list[tuple[str, str]]:
+    bc = f"""SELECT CAST(d - {EPOCH} + 1 AS INTEGER) AS etl_batch_no, d AS etl_batch_date
+  FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) x WHERE d <= {BDATE}"""
+    log0 = f"""SELECT etl_batch_no, etl_batch_date, 'S' AS etl_batch_status,
+    CAST(etl_batch_date + 1 AS TIMESTAMP) + INTERVAL 2 HOUR AS etl_batch_start_time,
+    CAST(etl_batch_date + 1 AS TIMESTAMP) + INTERVAL 3 HOUR AS etl_batch_end_time
+  FROM bc WHERE etl_batch_date < {BDATE}"""
+    cur = "SELECT etl_batch_no, etl_batch_date FROM bc ORDER BY etl_batch_no DESC LIMIT 1"
+    log1 = f"""SELECT * FROM log0 UNION ALL
+  SELECT etl_batch_no, etl_batch_date, 'R', {RUN_TS}, CAST(NULL AS TIMESTAMP) FROM cur"""
+    log2 = f"""SELECT l.etl_batch_no, l.etl_batch_date,
+    CASE WHEN c.etl_batch_no IS NOT NULL THEN 'S' ELSE l.etl_batch_status END AS etl_batch_status,
+    l.etl_batch_start_time,
+    CASE WHEN c.etl_batch_no IS NOT NULL THEN {END_TS} ELSE l.etl_batch_end_time END AS etl_batch_end_time
+  FROM log1 l LEFT JOIN cur c ON c.etl_batch_no = l.etl_batch_no AND c.etl_batch_date = l.etl_batch_date"""
+    return [("bc", bc), ("log0", log0), ("cur", cur), ("log1", log1), ("log2", log2)]
+
+
+def build_operators(q: dict[str, str]) -> None:
+    W = with_fixtures
+    for t in SOURCE_TABLES:
+        cols = [f.name for f in SOURCE_SCHEMAS[t].fields]
+        q[f"extract_incremental_{t}"] = W() + f"\nSELECT {outcols(cols)} FROM ({extract_sql(t)}) e"
+        q[f"stage_load_{t}"] = W() + f"\nSELECT {outcols(cols)} FROM ({staged_sql(t)}) e"
+    ccols = [f.name for f in SOURCE_SCHEMAS["customers"].fields]
+    q["landing_roundtrip"] = W() + f"\nSELECT {outcols(ccols)} FROM ({extract_sql('customers')}) e"
+    q["blanks_as_null"] = W() + f"""
+SELECT customernumber, addressline2 AS addressline2_raw,
+  CASE WHEN trim(addressline2) = '' THEN NULL ELSE addressline2 END AS addressline2
+FROM ({extract_sql('customers')}) e"""
+    ctl = W(_control_ctes())
+    q["current_batch"] = ctl + "\nSELECT * FROM cur"
+    q["batch_log_start"] = ctl + "\nSELECT * FROM log1"
+    q["batch_log_end"] = ctl + "\nSELECT * FROM log2"
+
+    hist = history_ctes("customer_history")
+    q["null_safe_change_filter"] = W(hist) + """
+SELECT a.dw_customer_id, CAST(a.creditlimit AS DOUBLE) AS creditlimit,
+  CAST(b.creditlimit AS DOUBLE) AS previous_creditlimit
+FROM cur_customers a JOIN h_customer_history b ON a.dw_customer_id = b.dw_customer_id
+WHERE b.dw_active_record_ind = 1 AND a.creditlimit IS DISTINCT FROM b.creditlimit"""
+    q["join_inner_orders_details"] = W() + """
+SELECT o.dw_order_id, o.dw_customer_id, o.orderdate, d.dw_product_id, d.quantityordered,
+  CAST(d.priceeach AS DOUBLE) AS priceeach
+FROM cur_orders o JOIN cur_orderdetails d ON d.dw_order_id = o.dw_order_id"""
+    q["join_inner_three_way"] = W() + """
+SELECT o.dw_order_id, o.orderdate, d.dw_product_id, d.quantityordered,
+  CAST(d.priceeach AS DOUBLE) AS priceeach, CAST(p.msrp AS DOUBLE) AS msrp
+FROM cur_orders o JOIN cur_orderdetails d ON d.dw_order_id = o.dw_order_id
+JOIN cur_products p ON p.dw_product_id = d.dw_product_id"""
+    st = lambda t: [(f"st_{t}", staged_sql(t))]
+    q["lookup_left_outer"] = W(st("employees")) + """
+SELECT s.employeenumber, s.officecode, o.dw_office_id
+FROM st_employees s LEFT JOIN prev_offices o ON s.officecode = o.officecode"""
+    q["lookup_required"] = W(st("orders")) + """
+SELECT s.ordernumber, s.customernumber, c.dw_customer_id
+FROM st_orders s LEFT JOIN prev_customers c ON s.customernumber = c.src_customernumber
+WHERE c.dw_customer_id IS NOT NULL"""
+    q["anti_join_new_keys"] = W(st("customers")) + """
+SELECT s.customernumber, s.customername
+FROM st_customers s LEFT JOIN prev_customers d ON s.customernumber = d.src_customernumber
+WHERE d.src_customernumber IS NULL"""
+    q["anti_join_composite"] = W(st("orderdetails")) + """
+SELECT s.ordernumber, s.productcode, s.quantityordered
+FROM st_orderdetails s LEFT JOIN prev_orderdetails d
+  ON s.ordernumber = d.src_ordernumber AND s.productcode = d.src_productcode
+WHERE d.src_ordernumber IS NULL AND d.src_productcode IS NULL"""
+    q["anti_join_month"] = W(monthly_ctes("customer")) + """
+SELECT d.start_of_the_month_date, d.dw_customer_id FROM dm_customer d
+LEFT JOIN pm_customer m ON m.start_of_the_month_date = d.start_of_the_month_date
+  AND m.dw_customer_id = d.dw_customer_id
+WHERE m.start_of_the_month_date IS NULL"""
+    q["self_join_manager"] = W(st("employees")) + """
+SELECT s.employeenumber, s.reportsto, r.dw_employee_id AS dw_reporting_employee_id
+FROM st_employees s LEFT JOIN prev_employees r ON s.reportsto = r.employeenumber"""
+    q["semi_join_changed"] = W(hist) + """
+SELECT h.dw_customer_id, CAST(h.creditlimit AS DOUBLE) AS creditlimit, h.effective_from_date
+FROM h_customer_history h WHERE h.dw_customer_id IN (SELECT dw_customer_id FROM x_customer_history)"""
+    first = """(SELECT dw_customer_id, MIN(paymentdate) AS first_payment_date FROM cur_payments
+        WHERE paymentdate IS NOT NULL GROUP BY dw_customer_id)"""
+    q["first_payment_join"] = W() + f"""
+SELECT p.dw_customer_id, p.checknumber, p.paymentdate, f.first_payment_date
+FROM cur_payments p JOIN {first} f ON f.dw_customer_id = p.dw_customer_id"""
+    q["agg_sum_product"] = W() + """
+SELECT dw_order_id, CAST(SUM(quantityordered * priceeach) AS DOUBLE) AS order_amount,
+  CAST(SUM(quantityordered) AS BIGINT) AS order_qty
+FROM cur_orderdetails GROUP BY dw_order_id"""
+    q["agg_count_distinct"] = W() + """
+SELECT o.orderdate AS summary_date, o.dw_customer_id,
+  COUNT(DISTINCT o.dw_order_id) AS order_count, COUNT(DISTINCT d.dw_product_id) AS products_items_qty
+FROM cur_orders o JOIN cur_orderdetails d ON d.dw_order_id = o.dw_order_id
+GROUP BY o.orderdate, o.dw_customer_id"""
+    dc = daily_customer_ctes()
+    daily_sql = finish(DAILY_CUSTOMER_MEASURES, "dw_customer_id", "dc_all")
+    q["agg_max_flag"] = W(dc + [("dcs", daily_sql)]) + """
+SELECT dw_customer_id, MAX(order_apd) AS order_apm, MAX(payment_apd) AS payment_apm,
+  MAX(new_customer_apd) AS new_customer_apm
+FROM dcs GROUP BY dw_customer_id"""
+    q["agg_conditional_max"] = W() + f"""
+SELECT p.paymentdate, p.dw_customer_id,
+  MAX(CASE WHEN p.paymentdate = f.first_payment_date THEN 1 ELSE 0 END) AS new_customer_paid_apd
+FROM cur_payments p JOIN {first} f ON f.dw_customer_id = p.dw_customer_id
+GROUP BY p.paymentdate, p.dw_customer_id"""
+    q["agg_group_by_month"] = W() + """
+SELECT CAST(date_trunc('month', orderdate) AS DATE) AS start_of_the_month_date, dw_customer_id,
+  COUNT(*) AS order_count
+FROM cur_orders GROUP BY 1, 2"""
+    q["group_by_distinct"] = W() + """
+SELECT CAST(src_create_timestamp AS DATE) AS summary_date, dw_customer_id
+FROM cur_customers GROUP BY 1, 2"""
+    q["sorted_daily_output"] = W(dc) + "\n" + daily_sql + "\nORDER BY summary_date, dw_customer_id"
+    q["union_all_branches"] = W(dc) + "\n" + branch_select(
+        DAILY_CUSTOMER_MEASURES, "dc_all", "dw_customer_id")
+    q["scalar_month_start"] = W() + """
+SELECT dw_order_id, orderdate, CAST(date_trunc('month', orderdate) AS DATE) AS start_of_the_month_date
+FROM cur_orders"""
+    q["scalar_day_before"] = ctl + """
+SELECT etl_batch_no, etl_batch_date, etl_batch_date - 1 AS effective_to_date FROM bc"""
+    q["scalar_status_normalize"] = W() + """
+SELECT dw_order_id, status, lower(trim(status)) AS status_normalized FROM cur_orders"""
+    q["scalar_sticky_flag"] = W(monthly_ctes("customer")) + """
+SELECT m.start_of_the_month_date, m.dw_customer_id, m.order_apm AS month_order_apm,
+  d.order_apd AS day_order_apd,
+  CASE WHEN m.order_apm = 1 THEN 1 ELSE d.order_apd END AS order_apm
+FROM pm_customer m JOIN dm_customer d
+  ON d.start_of_the_month_date = m.start_of_the_month_date AND d.dw_customer_id = m.dw_customer_id"""
+
+
+_build_core = build
+
+
+def build() -> dict[str, str]:  # noqa: F811
+    q = _build_core()
+    build_operators(q)
+    return q

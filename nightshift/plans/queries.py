@@ -192,3 +192,299 @@ for _k in ("customer", "product"):
     register(f"monthly_{_k}_summary")(_monthly_query(_k, "all"))
     register(f"monthly_update_{_k}")(_monthly_query(_k, "update"))
     register(f"monthly_insert_{_k}")(_monthly_query(_k, "insert"))
+
+
+# --- A: extract, land, stage, batch control -------------------------------------
+
+from nightshift.functions import (  # noqa: E402
+    blank_as_null, changed, day, day_before, month_start, normalized, sticky_flag,
+)
+from nightshift.operators.joins import lookup, new_keys  # noqa: E402
+from nightshift.schemas import (  # noqa: E402
+    DAILY_CUSTOMER_MEASURES, SOURCE_SCHEMAS, SOURCE_TABLES,
+)
+from nightshift.session import scratch_path  # noqa: E402
+from nightshift.sources import control, extract  # noqa: E402
+
+
+def _extract_query(table):
+    def q(spark, sf):
+        return extract.extract_incremental(A.source(spark, sf, table), table, A.BATCH.date)
+
+    q.__name__ = f"q_extract_incremental_{table}"
+    return q
+
+
+def _stage_query(table):
+    def q(spark, sf):
+        ex = extract.extract_incremental(A.source(spark, sf, table), table, A.BATCH.date)
+        path = extract.landing_path(spark, table, A.BATCH.date)
+        extract.land(ex, path, fmt="csv")
+        return extract.stage_load(spark, table, path, fmt="csv")
+
+    q.__name__ = f"q_stage_load_{table}"
+    return q
+
+
+for _t in SOURCE_TABLES:
+    register(f"extract_incremental_{_t}")(_extract_query(_t))
+    register(f"stage_load_{_t}")(_stage_query(_t))
+
+
+@register("landing_roundtrip")
+def q_landing_roundtrip(spark, sf):
+    """A2: the customers extract through landing CSV and back, unchanged."""
+    ex = extract.extract_incremental(A.source(spark, sf, "customers"), "customers", A.BATCH.date)
+    path = extract.landing_path(spark, "customers", A.BATCH.date,
+                                root=scratch_path(spark, "landing_roundtrip"))
+    extract.land(ex, path, fmt="csv")
+    return (spark.read.schema(SOURCE_SCHEMAS["customers"]).options(**extract.CSV_READ).csv(path))
+
+
+@register("blanks_as_null")
+def q_blanks_as_null(spark, sf):
+    """A4: the address line as extracted and as staged."""
+    ex = extract.extract_incremental(A.source(spark, sf, "customers"), "customers", A.BATCH.date)
+    return ex.select("customernumber", F.col("addressline2").alias("addressline2_raw"),
+                     blank_as_null("addressline2").alias("addressline2"))
+
+
+@register("current_batch")
+def q_current_batch(spark, sf):
+    """A5 / F1: the batch with the highest number."""
+    return control.current_batch(A.batch_control(spark, sf))
+
+
+@register("batch_log_start")
+def q_batch_log_start(spark, sf):
+    """The log with the current batch's 'R' row appended."""
+    cur = control.current_batch(A.batch_control(spark, sf))
+    return control.log_start(A.previous_log(spark, sf), cur, A.BATCH.run_ts)
+
+
+@register("batch_log_end")
+def q_batch_log_end(spark, sf):
+    """Start, then end with status 'S'."""
+    cur = control.current_batch(A.batch_control(spark, sf))
+    started = control.log_start(A.previous_log(spark, sf), cur, A.BATCH.run_ts)
+    return control.log_end(started, cur, A.END_TS, "S")
+
+
+# --- B/C: predicates and joins -------------------------------------------------------
+
+@register("null_safe_change_filter")
+def q_null_safe_change_filter(spark, sf):
+    """B7 + C10: dimension rows whose tracked value differs from the active version."""
+    dim = A.current(spark, sf, "customers").select("dw_customer_id", "creditlimit")
+    act = A.previous_history(spark, sf, "customer_history").where("dw_active_record_ind = 1") \
+        .select("dw_customer_id", F.col("creditlimit").alias("previous_creditlimit"))
+    return dim.join(act, "dw_customer_id").where(changed("creditlimit", "previous_creditlimit"))
+
+
+@register("join_inner_orders_details")
+def q_join_inner_orders_details(spark, sf):
+    """Orders x order details."""
+    o = A.current(spark, sf, "orders").select("dw_order_id", "dw_customer_id", "orderdate")
+    d = A.current(spark, sf, "orderdetails").select("dw_order_id", "dw_product_id",
+                                                    "quantityordered", "priceeach")
+    return o.join(d, "dw_order_id")
+
+
+@register("join_inner_three_way")
+def q_join_inner_three_way(spark, sf):
+    """Orders x order details x products."""
+    o = A.current(spark, sf, "orders").select("dw_order_id", "orderdate")
+    d = A.current(spark, sf, "orderdetails").select("dw_order_id", "dw_product_id",
+                                                    "quantityordered", "priceeach")
+    p = A.current(spark, sf, "products").select("dw_product_id", "msrp")
+    return o.join(d, "dw_order_id").join(p, "dw_product_id")
+
+
+@register("lookup_left_outer")
+def q_lookup_left_outer(spark, sf):
+    """Staged employees with their office id, NULL when the office is unknown."""
+    st = A.stage(spark, sf, "employees").select("employeenumber", "officecode")
+    return lookup(st, A.previous(spark, sf, "offices"), "officecode", "officecode",
+                  "dw_office_id", "dw_office_id", required=False)
+
+
+@register("lookup_required")
+def q_lookup_required(spark, sf):
+    """C4: staged orders with their customer id; orders of unknown customers dropped."""
+    st = A.stage(spark, sf, "orders").select("ordernumber", "customernumber")
+    return lookup(st, A.previous(spark, sf, "customers"), "customernumber",
+                  "src_customernumber", "dw_customer_id", "dw_customer_id", required=True)
+
+
+@register("anti_join_new_keys")
+def q_anti_join_new_keys(spark, sf):
+    """Staged customers not yet in the warehouse."""
+    st = A.stage(spark, sf, "customers").select("customernumber", "customername")
+    return new_keys(st, A.previous(spark, sf, "customers"), ["customernumber"],
+                    ["src_customernumber"])
+
+
+@register("anti_join_composite")
+def q_anti_join_composite(spark, sf):
+    """Staged order lines whose (order, product) is new."""
+    st = A.stage(spark, sf, "orderdetails").select("ordernumber", "productcode", "quantityordered")
+    return new_keys(st, A.previous(spark, sf, "orderdetails"), ["ordernumber", "productcode"],
+                    ["src_ordernumber", "src_productcode"])
+
+
+@register("anti_join_month")
+def q_anti_join_month(spark, sf):
+    """(month, customer) pairs of the batch absent from the monthly table."""
+    from nightshift.operators.rollforward import MONTH, monthly_delta
+
+    delta = monthly_delta(A.daily_table(spark, sf, "customer"), "dw_customer_id",
+                          DAILY_CUSTOMER_MEASURES, A.BATCH).select(MONTH, "dw_customer_id")
+    prev = A.previous_monthly(spark, sf, "customer")
+    return new_keys(delta, prev, [MONTH, "dw_customer_id"], [MONTH, "dw_customer_id"])
+
+
+@register("self_join_manager")
+def q_self_join_manager(spark, sf):
+    """Staged employees with their manager's id from the table itself."""
+    st = A.stage(spark, sf, "employees").select("employeenumber", "reportsto")
+    return lookup(st, A.previous(spark, sf, "employees"), "reportsto", "employeenumber",
+                  "dw_employee_id", "dw_reporting_employee_id", required=False)
+
+
+@register("semi_join_changed")
+def q_semi_join_changed(spark, sf):
+    """C11: history rows whose id changed (the UPDATE's target set)."""
+    from nightshift.operators.scd2 import ids_to_close
+
+    spec = SCD2_SPECS["customer_history"]
+    hist = A.previous_history(spark, sf, "customer_history")
+    ids = ids_to_close(hist, A.current(spark, sf, "customers"), spec)
+    return hist.join(ids, "dw_customer_id", "left_semi").select(
+        "dw_customer_id", "creditlimit", "effective_from_date")
+
+
+@register("first_payment_join")
+def q_first_payment_join(spark, sf):
+    """Each payment with the customer's first payment day."""
+    pay = A.current(spark, sf, "payments")
+    first = daily.first_payment(pay)
+    return pay.join(first, "dw_customer_id").select(
+        "dw_customer_id", "checknumber", "paymentdate", "first_payment_date")
+
+
+# --- D: aggregations ------------------------------------------------------------------
+
+@register("agg_sum_product")
+def q_agg_sum_product(spark, sf):
+    """SUM(quantity * price) per order (exact decimal)."""
+    d = A.current(spark, sf, "orderdetails")
+    q = F.col("quantityordered")
+    return d.groupBy("dw_order_id").agg(
+        F.sum(q * F.col("priceeach")).cast("decimal(38,2)").alias("order_amount"),
+        F.sum(q).alias("order_qty"),
+    )
+
+
+@register("agg_count_distinct")
+def q_agg_count_distinct(spark, sf):
+    """D3: two COUNT DISTINCTs in one group (orders and products per customer-day)."""
+    lines = q_join_inner_orders_details(spark, sf)
+    return lines.groupBy(F.col("orderdate").alias("summary_date"), "dw_customer_id").agg(
+        F.count_distinct("dw_order_id").alias("order_count"),
+        F.count_distinct("dw_product_id").alias("products_items_qty"),
+    )
+
+
+@register("agg_max_flag")
+def q_agg_max_flag(spark, sf):
+    """MAX of 0/1 flags as a boolean OR, per customer over the batch's days."""
+    dc = daily.daily_customer_summary(A.fact_inputs(spark, sf), A.BATCH)
+    return dc.groupBy("dw_customer_id").agg(
+        F.max("order_apd").alias("order_apm"),
+        F.max("payment_apd").alias("payment_apm"),
+        F.max("new_customer_apd").alias("new_customer_apm"),
+    )
+
+
+@register("agg_conditional_max")
+def q_agg_conditional_max(spark, sf):
+    """MAX(CASE WHEN day = first day THEN 1 ELSE 0 END) per customer-day."""
+    pay = A.current(spark, sf, "payments")
+    j = pay.join(daily.first_payment(pay), "dw_customer_id")
+    return j.groupBy("paymentdate", "dw_customer_id").agg(
+        F.max(F.when(day("paymentdate") == F.col("first_payment_date"), 1).otherwise(0))
+        .alias("new_customer_paid_apd")
+    )
+
+
+@register("agg_group_by_month")
+def q_agg_group_by_month(spark, sf):
+    """GROUP BY an expression (month of the order date)."""
+    o = A.current(spark, sf, "orders")
+    return o.groupBy(month_start("orderdate").alias("start_of_the_month_date"),
+                     "dw_customer_id").agg(F.count(F.lit(1)).alias("order_count"))
+
+
+@register("group_by_distinct")
+def q_group_by_distinct(spark, sf):
+    """GROUP BY without aggregates = DISTINCT (customer creation days)."""
+    c = A.current(spark, sf, "customers")
+    return c.select(day("src_create_timestamp").alias("summary_date"), "dw_customer_id").distinct()
+
+
+# --- F/G/H: order, union, scalars -------------------------------------------------------
+
+@register("sorted_daily_output")
+def q_sorted_daily_output(spark, sf):
+    """the daily rows ordered by (date, customer) (a range-partitioned sort)."""
+    dc = daily.daily_customer_summary(A.fact_inputs(spark, sf), A.BATCH)
+    return dc.orderBy("summary_date", "dw_customer_id")
+
+
+@register("union_all_branches")
+def q_union_all_branches(spark, sf):
+    """G1: the five zero-padded branches, UNION ALL by name (not re-aggregated)."""
+    wh = A.fact_inputs(spark, sf)
+    out = None
+    for fn in daily.CUSTOMER_BRANCHES.values():
+        part = fn(wh, A.BATCH)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("scalar_month_start")
+def q_scalar_month_start(spark, sf):
+    """H2: DATE_TRUNC('month', d) as a date."""
+    o = A.current(spark, sf, "orders")
+    return o.select("dw_order_id", "orderdate",
+                    month_start("orderdate").alias("start_of_the_month_date"))
+
+
+@register("scalar_day_before")
+def q_scalar_day_before(spark, sf):
+    """H3: the day before each batch date (an SCD2 effective_to_date)."""
+    bc = A.batch_control(spark, sf)
+    return bc.select("etl_batch_no", "etl_batch_date",
+                     day_before("etl_batch_date").alias("effective_to_date"))
+
+
+@register("scalar_status_normalize")
+def q_scalar_status_normalize(spark, sf):
+    """H6: LOWER(TRIM(status))."""
+    o = A.current(spark, sf, "orders")
+    return o.select("dw_order_id", "status", normalized("status").alias("status_normalized"))
+
+
+@register("scalar_sticky_flag")
+def q_scalar_sticky_flag(spark, sf):
+    """H7: CASE WHEN month flag = 1 THEN 1 ELSE day flag END on matched month rows."""
+    from nightshift.operators.rollforward import MONTH, monthly_delta
+
+    delta = monthly_delta(A.daily_table(spark, sf, "customer"), "dw_customer_id",
+                          DAILY_CUSTOMER_MEASURES, A.BATCH) \
+        .select(MONTH, "dw_customer_id", F.col("order_apd").alias("day_order_apd"))
+    prev = A.previous_monthly(spark, sf, "customer").select(
+        MONTH, "dw_customer_id", F.col("order_apm").alias("month_order_apm"))
+    j = prev.join(delta, [MONTH, "dw_customer_id"])
+    return j.select(MONTH, "dw_customer_id", "month_order_apm", "day_order_apd",
+                    sticky_flag("month_order_apm", "day_order_apd").alias("order_apm"))

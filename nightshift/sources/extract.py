@@ -34,7 +34,10 @@ CSV_WRITE = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
-CSV_READ = {**CSV_WRITE, "multiLine": "true", "mode": "FAILFAST"}
+# NULL is written as an empty unquoted field and "" as a quoted one; reading
+# with a NUL marker as nullValue keeps the two apart (with the default they
+# would both come back NULL).
+CSV_READ = {**CSV_WRITE, "multiLine": "true", "mode": "FAILFAST", "nullValue": "\u0000"}
 
 
 def extract_incremental(source: DataFrame, table: str, batch_date: dt.date) -> DataFrame:
