@@ -166,9 +166,10 @@ for _name, _short in (("customer_history", "customer"), ("product_history", "pro
 # --- I13-I14 monthly roll-forward ----------------------------------------------
 
 def _monthly_inputs(spark, sf, kind):
+    d = A.daily_table(spark, sf, kind)
     return {
-        f"monthly_{kind}_summary": A.previous_monthly(spark, sf, kind),
-        f"daily_{kind}_summary": A.daily_table(spark, sf, kind),
+        f"monthly_{kind}_summary": A.previous_monthly(spark, sf, kind, d),
+        f"daily_{kind}_summary": d,
     }
 
 
@@ -337,9 +338,10 @@ def q_anti_join_month(spark, sf):
     """(month, customer) pairs of the batch absent from the monthly table."""
     from nightshift.operators.rollforward import MONTH, monthly_delta
 
-    delta = monthly_delta(A.daily_table(spark, sf, "customer"), "dw_customer_id",
-                          DAILY_CUSTOMER_MEASURES, A.BATCH).select(MONTH, "dw_customer_id")
-    prev = A.previous_monthly(spark, sf, "customer")
+    d = A.daily_table(spark, sf, "customer")
+    delta = monthly_delta(d, "dw_customer_id", DAILY_CUSTOMER_MEASURES, A.BATCH) \
+        .select(MONTH, "dw_customer_id")
+    prev = A.previous_monthly(spark, sf, "customer", d)
     return new_keys(delta, prev, [MONTH, "dw_customer_id"], [MONTH, "dw_customer_id"])
 
 
@@ -480,10 +482,10 @@ def q_scalar_sticky_flag(spark, sf):
     """H7: CASE WHEN month flag = 1 THEN 1 ELSE day flag END on matched month rows."""
     from nightshift.operators.rollforward import MONTH, monthly_delta
 
-    delta = monthly_delta(A.daily_table(spark, sf, "customer"), "dw_customer_id",
-                          DAILY_CUSTOMER_MEASURES, A.BATCH) \
+    d = A.daily_table(spark, sf, "customer")
+    delta = monthly_delta(d, "dw_customer_id", DAILY_CUSTOMER_MEASURES, A.BATCH) \
         .select(MONTH, "dw_customer_id", F.col("order_apd").alias("day_order_apd"))
-    prev = A.previous_monthly(spark, sf, "customer").select(
+    prev = A.previous_monthly(spark, sf, "customer", d).select(
         MONTH, "dw_customer_id", F.col("order_apm").alias("month_order_apm"))
     j = prev.join(delta, [MONTH, "dw_customer_id"])
     return j.select(MONTH, "dw_customer_id", "month_order_apm", "day_order_apd",

@@ -607,16 +607,24 @@ def daily_table(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     """The daily summary table after this batch: every day since the epoch."""
     from nightshift.plans import daily
 
+    from nightshift.session import ensure_checkpoint_dir
+
     fn = daily.daily_customer_summary if kind == "customer" else daily.daily_product_summary
-    return _restamp(fn(fact_inputs(spark, sf), FULL_HISTORY))
+    ensure_checkpoint_dir(spark)
+    # A stored table in the warehouse: materialized once in the shared
+    # checkpoint folder, so the monthly programs read it instead of
+    # recomputing the whole history for each use.
+    return _restamp(fn(fact_inputs(spark, sf), FULL_HISTORY)).checkpoint(eager=True)
 
 
-def previous_monthly(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+def previous_monthly(spark: SparkSession, sf: str, kind: str,
+                     daily_rows: DataFrame | None = None) -> DataFrame:
     """The monthly table before this batch: months of the days before it."""
     from nightshift.operators.rollforward import rollup_months
     from nightshift.schemas import DAILY_CUSTOMER_MEASURES, DAILY_PRODUCT_MEASURES
 
     key, measures = (("dw_customer_id", DAILY_CUSTOMER_MEASURES) if kind == "customer"
                      else ("dw_product_id", DAILY_PRODUCT_MEASURES))
-    d = daily_table(spark, sf, kind).where(F.col("summary_date") < F.lit(BATCH.date))
+    d = daily_rows if daily_rows is not None else daily_table(spark, sf, kind)
+    d = d.where(F.col("summary_date") < F.lit(BATCH.date))
     return rollup_months(d, key, measures, PREV_BATCH)
