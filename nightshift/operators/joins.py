@@ -2,22 +2,54 @@
 
 Broadcasting is only ever decided behind a bounded row count: the side is
 counted up to ``limit + 1`` rows (a job that stops early on large inputs)
-and is broadcast only when it fits.  Beyond the bound the ordinary shuffle
-join (with AQE's runtime re-planning and skew splitting) is used.
+and is broadcast only when it fits.  The row limit comes from a byte budget
+divided by the schema's estimated row width (so a wide stage table gets a
+lower limit than a two-column key set), capped by a row maximum.  Beyond
+the bound the ordinary shuffle join (with AQE's runtime re-planning and skew
+splitting) is used.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-CONF_KEY = "spark.nightshift.broadcastMaxRows"
+DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+CONF_ROWS = "spark.nightshift.broadcastMaxRows"
+CONF_BYTES = "spark.nightshift.broadcastMaxBytes"
+
+
+def _width(t: T.DataType) -> int:
+    """Spark's default size estimate per type (strings count 20 bytes)."""
+    if isinstance(t, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(t, T.ShortType):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+        return 8
+    if isinstance(t, T.StringType):
+        return 20
+    if isinstance(t, T.StructType):
+        return sum(_width(f.dataType) for f in t.fields)
+    return 100
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row (type sizes + row header)."""
+    return 16 + sum(_width(f.dataType) for f in df.schema.fields)
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    value = df.sparkSession.conf.get(CONF_KEY, None)
-    return int(value) if value else DEFAULT_BROADCAST_ROWS
+    conf = df.sparkSession.conf
+    rows = int(conf.get(CONF_ROWS, None) or DEFAULT_BROADCAST_ROWS)
+    budget = int(conf.get(CONF_BYTES, None) or DEFAULT_BROADCAST_BYTES)
+    return max(1, min(rows, budget // row_width(df)))
 
 
 def fits(df: DataFrame, max_rows: int | None = None) -> bool:
