@@ -24,6 +24,7 @@ from nightshift.batch import Batch
 from nightshift.functions import month_start, sticky_flag
 from nightshift.operators.joins import fits
 from nightshift.schemas import measure_type
+from nightshift.session import materialize
 
 MONTH = "start_of_the_month_date"
 
@@ -67,7 +68,7 @@ def monthly_insert_rows(delta: DataFrame, key: str, measures, batch: Batch) -> D
 def rollforward_parts(monthly: DataFrame, daily: DataFrame, key: str, measures, batch: Batch):
     """(updated monthly table, inserted rows)."""
     keys = [MONTH, key]
-    delta = monthly_delta(daily, key, measures, batch)
+    delta = materialize(monthly_delta(daily, key, measures, batch))
     small = fits(delta)
     d = delta.select(*keys, *[F.col(c).alias(f"__d_{c}") for c in delta.columns if c not in keys],
                      F.lit(True).alias("__hit"))

@@ -31,6 +31,7 @@ from nightshift.batch import Batch
 from nightshift.operators.joins import fits, lookup
 from nightshift.operators.surrogate import assign_surrogate_keys, max_id
 from nightshift.schemas import Scd1Spec
+from nightshift.session import materialize
 
 HIT = "__hit"
 
@@ -77,7 +78,8 @@ def scd1_merge_parts(
 ) -> Scd1Result:
     parents = parents or {}
     tkeys = spec.target_keys
-    st = _renamed_stage(latest_per_key(stage, spec.stage_keys), spec)
+    # The batch's stage is read by both halves and the lookups: computed once.
+    st = materialize(_renamed_stage(latest_per_key(stage, spec.stage_keys), spec))
     small = fits(st)
 
     # Update half: target LEFT JOIN stage on the natural key.

@@ -21,6 +21,7 @@ from nightshift.batch import Batch
 from nightshift.functions import changed, day_before
 from nightshift.operators.joins import bounded_broadcast
 from nightshift.schemas import HISTORY_COLUMNS, Scd2Spec
+from nightshift.session import materialize
 
 
 def _compare(history: DataFrame, dim: DataFrame, spec: Scd2Spec) -> DataFrame:
@@ -30,19 +31,32 @@ def _compare(history: DataFrame, dim: DataFrame, spec: Scd2Spec) -> DataFrame:
     return dim.select(spec.id_col, spec.tracked).join(active, spec.id_col, "left")
 
 
-def ids_to_close(history: DataFrame, dim: DataFrame, spec: Scd2Spec) -> DataFrame:
-    """C10 + B7: ids whose active row differs from the dimension."""
+def change_set(history: DataFrame, dim: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """Dimension rows needing a new version: (id, value, __close).
+
+    ``__close`` marks ids whose active row differs (C10 + B7); the others
+    have no active row (C7).  One comparison, materialized once: both the
+    close and the open half read it.
+    """
     cmp = _compare(history, dim, spec)
-    return cmp.where(F.col("__active").isNotNull() & changed(spec.tracked, "__old")).select(
-        spec.id_col
-    ).distinct()
+    need = cmp.where(F.col("__active").isNull() | changed(spec.tracked, "__old"))
+    return materialize(need.select(
+        spec.id_col, spec.tracked, F.col("__active").isNotNull().alias("__close")
+    ))
+
+
+def ids_to_close(history: DataFrame, dim: DataFrame, spec: Scd2Spec,
+                 changes: DataFrame | None = None) -> DataFrame:
+    """C10 + B7: ids whose active row differs from the dimension."""
+    ch = change_set(history, dim, spec) if changes is None else changes
+    return ch.where("__close").select(spec.id_col).distinct()
 
 
-def rows_to_open(history: DataFrame, dim: DataFrame, spec: Scd2Spec, batch: Batch) -> DataFrame:
+def rows_to_open(history: DataFrame, dim: DataFrame, spec: Scd2Spec, batch: Batch,
+                 changes: DataFrame | None = None) -> DataFrame:
     """Dimension rows without an active version once changes are closed."""
-    cmp = _compare(history, dim, spec)
-    need = cmp.where(F.col("__active").isNull() | changed(spec.tracked, "__old"))
-    need = need.dropDuplicates([spec.id_col])
+    ch = change_set(history, dim, spec) if changes is None else changes
+    need = ch.dropDuplicates([spec.id_col])
     return need.select(
         spec.id_col,
         spec.tracked,
@@ -58,10 +72,11 @@ def rows_to_open(history: DataFrame, dim: DataFrame, spec: Scd2Spec, batch: Batc
     )
 
 
-def close_changed(history: DataFrame, dim: DataFrame, spec: Scd2Spec, batch: Batch) -> DataFrame:
+def close_changed(history: DataFrame, dim: DataFrame, spec: Scd2Spec, batch: Batch,
+                  changes: DataFrame | None = None) -> DataFrame:
     """The history with changed active rows closed (the update half)."""
     closing_ids = bounded_broadcast(
-        ids_to_close(history, dim, spec).withColumn("__close", F.lit(True))
+        ids_to_close(history, dim, spec, changes).withColumn("__close", F.lit(True))
     )
     h = history.join(closing_ids, spec.id_col, "left")
     close = F.col("__close").isNotNull() & (F.col("dw_active_record_ind") == 1)
@@ -81,6 +96,7 @@ def close_changed(history: DataFrame, dim: DataFrame, spec: Scd2Spec, batch: Bat
 
 def scd2_merge(history: DataFrame, dim: DataFrame, spec: Scd2Spec, batch: Batch) -> DataFrame:
     """The whole new history: closed + untouched rows, then opened rows."""
-    return close_changed(history, dim, spec, batch).unionByName(
-        rows_to_open(history, dim, spec, batch)
+    changes = change_set(history, dim, spec)
+    return close_changed(history, dim, spec, batch, changes).unionByName(
+        rows_to_open(history, dim, spec, batch, changes)
     )

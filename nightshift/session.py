@@ -22,6 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("NIGHTSHIFT_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -56,3 +57,15 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     # The checkpoint dir is <configured>/<uuid>; keep our files beside it.
     return "/".join([root, "nightshift", *parts])
+
+
+def materialize(df):
+    """Write ``df`` once to the reliable checkpoint folder and read it back.
+
+    Used for small per-batch relations that a program reads several times
+    (the de-duplicated stage, a monthly delta, the SCD2 change set): they
+    are computed once, and a lost executor re-reads files instead of
+    recomputing the lineage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
