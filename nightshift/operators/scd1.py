@@ -75,7 +75,14 @@ def scd1_merge_parts(
     spec: Scd1Spec,
     batch: Batch,
     parents: dict[str, DataFrame] | None = None,
+    resolve_within_batch: bool = False,
 ) -> Scd1Result:
+    """Update + insert halves of a type-1 merge (see the module docstring).
+
+    ``resolve_within_batch`` (off by default, as in the reference) lets a
+    self lookup (reports-to) also find rows inserted by the same batch: it
+    is then resolved after the new ids exist.
+    """
     parents = parents or {}
     tkeys = spec.target_keys
     # The batch's stage is read by both halves and the lookups: computed once.
@@ -107,12 +114,23 @@ def scd1_merge_parts(
         matched = target.select(*tkeys).join(st.select(*tkeys), tkeys, "left_semi")
         fresh = st.join(target.select(*tkeys), tkeys, "left_anti")
 
+    late = []
     for lk in spec.lookups:
+        if lk.self_ref and resolve_within_batch:
+            late.append(lk)
+            continue
         parent = target if lk.self_ref else parents[lk.parent]
         fresh = lookup(fresh, parent, _rename(spec, lk.stage_col), lk.parent_key,
                        lk.parent_id, lk.target_col, lk.required, small_rows=small)
     if spec.surrogate:
         fresh = assign_surrogate_keys(fresh, tkeys, spec.surrogate, max_id(target, spec.surrogate))
+    for lk in late:
+        # The table as it will be after the insert: old rows and new ids.
+        ids = target.select(lk.parent_key, lk.parent_id).unionByName(
+            fresh.select(F.col(_rename(spec, lk.parent_key)).alias(lk.parent_key),
+                         F.col(spec.surrogate).alias(lk.parent_id)))
+        fresh = lookup(fresh, ids, _rename(spec, lk.stage_col), lk.parent_key,
+                       lk.parent_id, lk.target_col, lk.required, small_rows=small)
     fresh = fresh.select(
         *[c for c in spec.columns if c in fresh.columns and c not in WAREHOUSE_STAMPS],
         F.col("create_timestamp").alias("src_create_timestamp"),

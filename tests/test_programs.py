@@ -310,3 +310,19 @@ def test_one_pass_equals_branches_on_test_tables(spark, sf, kind):
     else:
         a, b = daily.daily_product_summary(wh, A.BATCH), daily.daily_product_summary_by_branches(wh, A.BATCH)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_manager_same_batch_resolved_when_asked(spark):
+    spec = SCD1_SPECS["employees"]
+    types = {c: ("string" if c in ("lastname", "firstname", "extension", "email", "officecode", "jobtitle")
+                 else "timestamp_ntz" if "timestamp" in c else "date" if c == "etl_batch_date"
+                 else "int" if c == "etl_batch_no" else "bigint") for c in spec.columns}
+    empty = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in types.items()))
+    offices = spark.createDataFrame([(1, "1")], "dw_office_id bigint, officecode string")
+    stage = spark.createDataFrame([
+        (10, "Boss", "B", "x", "e", "1", None, "Mgr", ts(D), ts(D)),
+        (11, "Rep", "R", "x", "e", "1", 10, "Rep", ts(D), ts(D)),
+    ], SOURCE_SCHEMAS["employees"])
+    parts = scd1_merge_parts(empty, stage, spec, B, {"offices": offices}, resolve_within_batch=True)
+    out = {r["employeenumber"]: r for r in parts.table.collect()}
+    assert out[11]["dw_reporting_employee_id"] == out[10]["dw_employee_id"] == 1
