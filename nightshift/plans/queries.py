@@ -13,8 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nightshift.plans import daily
+from nightshift.functions import (
+    blank_as_null, changed, day, day_before, month_start, normalized, sticky_flag,
+)
+from nightshift.operators import scd2 as _scd2
+from nightshift.operators.joins import lookup, new_keys
+from nightshift.plans import daily, programs
+from nightshift.schemas import (
+    DAILY_CUSTOMER_MEASURES, SCD1_ORDER, SCD1_SPECS, SCD2_SPECS, SOURCE_SCHEMAS, SOURCE_TABLES,
+)
+from nightshift.session import scratch_path
 from nightshift.sources import adapters as A
+from nightshift.sources import control, extract
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,9 +95,6 @@ for _b in daily.PRODUCT_BRANCHES:
 
 # --- I1-I8 type-1 upserts, I15 counts, I16 surrogate keys -------------------
 
-from nightshift.plans import programs  # noqa: E402
-from nightshift.schemas import SCD1_ORDER, SCD1_SPECS, SCD2_SPECS  # noqa: E402
-
 
 def _merge_inputs(spark, sf, table):
     spec = SCD1_SPECS[table]
@@ -133,8 +140,6 @@ def q_surrogate_keys(spark, sf):
 
 # --- I9-I10 type-2 history ----------------------------------------------------
 
-from nightshift.operators import scd2 as _scd2  # noqa: E402
-
 
 def _history_inputs(spark, sf, name):
     spec = SCD2_SPECS[name]
@@ -197,16 +202,6 @@ for _k in ("customer", "product"):
 
 # --- A: extract, land, stage, batch control -------------------------------------
 
-from nightshift.functions import (  # noqa: E402
-    blank_as_null, changed, day, day_before, month_start, normalized, sticky_flag,
-)
-from nightshift.operators.joins import lookup, new_keys  # noqa: E402
-from nightshift.schemas import (  # noqa: E402
-    DAILY_CUSTOMER_MEASURES, SOURCE_SCHEMAS, SOURCE_TABLES,
-)
-from nightshift.session import scratch_path  # noqa: E402
-from nightshift.sources import control, extract  # noqa: E402
-
 
 def _extract_query(table):
     def q(spark, sf):

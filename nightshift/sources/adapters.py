@@ -132,8 +132,9 @@ def _office_days(nk: Column) -> tuple[Column, Column]:
 
 def source_offices(spark, sf):
     n = read(spark, sf, "nation")
-    # region has five rows (a fixed TPC-H table): a bounded broadcast.
-    r = F.broadcast(read(spark, sf, "region"))
+    from nightshift.operators.joins import bounded_broadcast
+
+    r = bounded_broadcast(read(spark, sf, "region"))
     nk = F.col("n_nationkey")
     created, updated = _office_days(nk)
     return n.join(r, n["n_regionkey"] == r["r_regionkey"], "left").select(
@@ -363,7 +364,9 @@ def previous_products(spark, sf):
         .when(k % 3 == 1, _money(F.col("msrp") + 10))
         .otherwise(F.lit(None).cast(MONEY))
     )
-    lines = F.broadcast(
+    from nightshift.operators.joins import bounded_broadcast
+
+    lines = bounded_broadcast(
         previous_productlines(spark, sf).select("productline", "dw_product_line_id")
     )
     return s.join(lines, "productline", "left").select(
