@@ -123,6 +123,11 @@ def run_batch(
     cur = control.current_batch(control_table)
     row = cur.first()
     batch = Batch(no=int(row["etl_batch_no"]), date=row["etl_batch_date"], run_ts=run_ts)
+    done_before = store.committed_batch()
+    if done_before is not None and batch.no <= done_before:
+        # A committed batch is final: rerunning it would read and overwrite
+        # its own snapshot (the reference would append its facts twice).
+        raise ValueError(f"batch {batch.no} is not after the committed batch {done_before}")
     published: dict[str, tuple[str, int]] = dict(store.manifest())
 
     def table(name: str) -> DataFrame:

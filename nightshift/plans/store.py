@@ -47,6 +47,11 @@ class Store:
             self._manifest = {r["table_name"]: (r["kind"], r["version"]) for r in rows}
         return self._manifest
 
+    def committed_batch(self) -> int | None:
+        """Number of the newest committed batch (None before the first)."""
+        versions = [v for _, v in self.manifest().values()]
+        return max(versions) if versions else None
+
     def has(self, table: str) -> bool:
         return table in self.manifest()
 

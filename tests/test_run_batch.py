@@ -74,3 +74,31 @@ def test_failed_batch_publishes_nothing(spark, sf, scratch):
     assert store.manifest() == before
     failed = spark.read.parquet(f"{scratch}/wh/batch_control_log_failed")
     assert failed.where("etl_batch_status = 'F'").count() == 1
+
+
+def test_committed_batch_is_not_rerun(spark, sf, scratch):
+    store = Store(spark, f"{scratch}/wh")
+    src = lambda t: A.source(spark, sf, t)
+    first_day = A.batch_control(spark, sf).agg(F.min("etl_batch_date")).first()[0]
+    ctl = _control(spark, sf, first_day)
+    run_batch(spark, store, src, ctl, dt.datetime(1995, 1, 2, 1, 0), f"{scratch}/landing")
+    try:
+        run_batch(spark, store, src, ctl, dt.datetime(1995, 1, 2, 5, 0), f"{scratch}/landing")
+        raise AssertionError("expected refusal")
+    except ValueError:
+        pass
+
+
+def test_cli_runs_a_batch(spark, sf, scratch):
+    from nightshift.__main__ import main
+    from nightshift.schemas import SOURCE_TABLES
+
+    for t in SOURCE_TABLES:
+        A.source(spark, sf, t).write.parquet(f"{scratch}/src/{t}")
+    first_day = A.batch_control(spark, sf).agg(F.min("etl_batch_date")).first()[0]
+    _control(spark, sf, first_day).write.parquet(f"{scratch}/control")
+    assert main(["run-batch", "--sources", f"{scratch}/src", "--control", f"{scratch}/control",
+                 "--warehouse", f"{scratch}/wh", "--landing-format", "csv",
+                 "--run-ts", "1995-01-02T01:00:00"]) == 0
+    store = Store(spark, f"{scratch}/wh")
+    assert store.read("customers").count() == A.source(spark, sf, "customers").count()
