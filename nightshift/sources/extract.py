@@ -10,7 +10,7 @@
 * ``stage_load`` (A3 + A4): read one batch's landing files with the
   explicit schema, then empty / blank text -> NULL on every text column.
 * ``read_jdbc_incremental``: A1 against a live database (the reference's
-  Oracle extract), partitioned on the natural key.
+  database extract), partitioned on the natural key.
 """
 
 from __future__ import annotations
