@@ -28,6 +28,8 @@ from nightshift.operators.joins import bounded_broadcast
 from nightshift.schemas import (
     DAILY_CUSTOMER_MEASURES,
     DAILY_PRODUCT_MEASURES,
+    STATUS_CANCELLED,
+    STATUS_SHIPPED,
     measure_type,
 )
 
@@ -143,12 +145,12 @@ def _status_branch(wh, batch: Batch, date_col: str, status: str, prefix: str) ->
 
 def customer_cancelled(wh, batch: Batch) -> DataFrame:
     """Branch 3: cancelled orders (date set *and* status 'cancelled')."""
-    return _status_branch(wh, batch, "cancelleddate", "cancelled", "cancelled")
+    return _status_branch(wh, batch, "cancelleddate", STATUS_CANCELLED, "cancelled")
 
 
 def customer_shipped(wh, batch: Batch) -> DataFrame:
     """Branch 4: shipped orders (date set and status 'shipped')."""
-    return _status_branch(wh, batch, "shippeddate", "shipped", "shipped")
+    return _status_branch(wh, batch, "shippeddate", STATUS_SHIPPED, "shipped")
 
 
 def first_payment(payments: DataFrame, customers: DataFrame | None = None) -> DataFrame:
@@ -246,9 +248,9 @@ def daily_customer_summary(wh, batch: Batch) -> DataFrame:
     events = F.array(
         ev("O", ordered, "od", "dw_order_id", amount, q, q * msrp),
         ev("P", ordered, "od", PRODUCT_KEY),
-        ev("C", F.col("cd").isNotNull() & (F.col("cd") >= D) & (F.col("st") == "cancelled"),
+        ev("C", F.col("cd").isNotNull() & (F.col("cd") >= D) & (F.col("st") == STATUS_CANCELLED),
            "cd", "dw_order_id", amount),
-        ev("S", F.col("sd").isNotNull() & (F.col("sd") >= D) & (F.col("st") == "shipped"),
+        ev("S", F.col("sd").isNotNull() & (F.col("sd") >= D) & (F.col("st") == STATUS_SHIPPED),
            "sd", "dw_order_id", amount),
     )
     exploded = lines.select(CUSTOMER_KEY, F.inline(F.filter(events, lambda e: e.isNotNull())))

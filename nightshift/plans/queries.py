@@ -263,7 +263,7 @@ def q_batch_log_end(spark, sf):
     """Start, then end with status 'S'."""
     cur = control.current_batch(A.batch_control(spark, sf))
     started = control.log_start(A.previous_log(spark, sf), cur, A.BATCH.run_ts)
-    return control.log_end(started, cur, A.END_TS, "S")
+    return control.log_end(started, cur, A.END_TS)
 
 
 # --- B/C: predicates and joins -------------------------------------------------------

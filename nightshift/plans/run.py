@@ -20,6 +20,7 @@ from nightshift.operators.rollforward import monthly_columns
 from nightshift.plans import programs
 from nightshift.plans.store import Store
 from nightshift.schemas import (
+    LOG_FAILED, LOG_SUCCEEDED,
     DAILY_CUSTOMER_MEASURES, DAILY_PRODUCT_MEASURES, HISTORY_COLUMNS, SCD1_ORDER,
     SCD1_SPECS, SCD2_SPECS, SOURCE_TABLES, measure_type,
 )
@@ -203,12 +204,12 @@ def run_batch(
         for name in programs.MONTHLY:
             published[name] = ("snapshot", batch.no)
 
-        done = control.log_end(log, cur, end_ts or run_ts, "S")
+        done = control.log_end(log, cur, end_ts or run_ts, LOG_SUCCEEDED)
         store.write_snapshot(LOG, done, batch.no)
         published[LOG] = ("snapshot", batch.no)
         store.commit(batch.no, published)
     except Exception:
-        failed = control.log_end(log, cur, end_ts or run_ts, "F")
+        failed = control.log_end(log, cur, end_ts or run_ts, LOG_FAILED)
         store.write_snapshot(f"{LOG}_failed", failed, batch.no)
         store.commit_failure(batch.no)
         raise

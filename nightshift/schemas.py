@@ -11,6 +11,17 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+# --- fixed values (must equal the reference's for the same results) ---------
+# Order status words, compared after LOWER(TRIM(status)).
+STATUS_CANCELLED = "cancelled"
+STATUS_SHIPPED = "shipped"
+# Batch log status codes: running, succeeded (the reference's default end
+# status); ours adds failed.
+LOG_RUNNING = "R"
+LOG_SUCCEEDED = "S"
+LOG_FAILED = "F"
+# ---------------------------------------------------------------------------
+
 MONEY = T.DecimalType(12, 2)
 # Sums of money keep two decimals and enough integer digits for any total.
 MONEY_SUM = T.DecimalType(38, 2)

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nightshift.schemas import LOG_RUNNING, LOG_SUCCEEDED
+
 LOG_SCHEMA = T.StructType([
     T.StructField("etl_batch_no", T.IntegerType()),
     T.StructField("etl_batch_date", T.DateType()),
@@ -40,14 +42,15 @@ def log_start(log: DataFrame, current: DataFrame, start: dt.datetime) -> DataFra
     row = current.select(
         F.col("etl_batch_no").cast("int").alias("etl_batch_no"),
         F.col("etl_batch_date").cast("date").alias("etl_batch_date"),
-        F.lit("R").alias("etl_batch_status"),
+        F.lit(LOG_RUNNING).alias("etl_batch_status"),
         _ts(start).alias("etl_batch_start_time"),
         F.lit(None).cast("timestamp_ntz").alias("etl_batch_end_time"),
     )
     return log.select(*LOG_SCHEMA.fieldNames()).unionByName(row)
 
 
-def log_end(log: DataFrame, current: DataFrame, end: dt.datetime, status: str = "S") -> DataFrame:
+def log_end(log: DataFrame, current: DataFrame, end: dt.datetime,
+            status: str = LOG_SUCCEEDED) -> DataFrame:
     """Status and end time on every log row of the current batch."""
     # ``current`` is a single row (a LIMIT 1): broadcasting it is bounded.
     hit = F.broadcast(current.select("etl_batch_no", "etl_batch_date", F.lit(True).alias("__hit")))
