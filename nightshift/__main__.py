@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     run_ts = (dt.datetime.fromisoformat(args.run_ts) if args.run_ts
               else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0))
     timings: dict[str, float] = {}
+    counts: dict[str, dict[str, int]] = {}
     batch = run_batch(
         spark,
         Store(spark, args.warehouse),
@@ -54,8 +55,10 @@ def main(argv: list[str] | None = None) -> int:
         args.landing or f"{args.warehouse.rstrip('/')}/_landing",
         landing_format=args.landing_format,
         timings=timings,
+        counts=counts,
     )
-    print(json.dumps({"batch_no": batch.no, "batch_date": batch.date.isoformat(), "steps": timings}))
+    print(json.dumps({"batch_no": batch.no, "batch_date": batch.date.isoformat(),
+                      "rows": counts, "steps": timings}))
     return 0
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from nightshift.batch import Batch
@@ -114,10 +114,12 @@ def run_batch(
     end_ts: dt.datetime | None = None,
     landing_format: str = "parquet",
     timings: dict[str, float] | None = None,
+    counts: dict[str, dict[str, int]] | None = None,
 ) -> Batch:
     """Run the batch named by ``control_table`` (highest number) into ``store``.
 
-    ``timings``, when given, receives the wall time of every table step.
+    ``timings``, when given, receives the wall time of every table step;
+    ``counts`` the rows updated and inserted per type-1 table (I15).
     """
     from nightshift.schemas import SOURCE_SCHEMAS
 
@@ -158,7 +160,19 @@ def run_batch(
                 for lk in SCD1_SPECS[t].lookups:
                     if not lk.self_ref:
                         inputs[lk.parent] = wh[lk.parent]
-                return store.write_snapshot(t, programs.upsert(t, inputs, staged[t], batch), batch.no)
+                new = programs.upsert(t, inputs, staged[t], batch)
+                # I15's row counts, gathered while the table is written (no
+                # extra job): stamped by this batch = updated or inserted;
+                # created by this run = inserted.
+                obs = Observation(f"merge_{t}")
+                stamped = F.col("etl_batch_no") == F.lit(batch.no)
+                created = F.col("dw_create_timestamp") == batch.ts_col
+                new = new.observe(obs, F.count_if(stamped & ~created).alias("updated"),
+                                  F.count_if(stamped & created).alias("inserted"))
+                out = store.write_snapshot(t, new, batch.no)
+                if counts is not None:
+                    counts[t] = dict(obs.get)
+                return out
             return go
 
         def history(name):

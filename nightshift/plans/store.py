@@ -26,9 +26,16 @@ MANIFEST_SCHEMA = T.StructType([
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    """Versioned warehouse tables under ``root``.
+
+    ``as_of`` pins reads to an earlier committed batch (a rollback view: the
+    versions of that batch are still on disk).
+    """
+
+    def __init__(self, spark: SparkSession, root: str, as_of: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.as_of = as_of
         self._manifest: dict[str, tuple[str, int]] | None = None
 
     # -- reading ---------------------------------------------------------------
@@ -40,6 +47,8 @@ class Store:
                     T.StructType(MANIFEST_SCHEMA.fields + [T.StructField("batch_no", T.IntegerType())])
                 ).parquet(f"{self.root}/{MANIFEST}")
                 # One row per table of one batch: a bounded, tiny result.
+                if self.as_of is not None:
+                    m = m.where(F.col("batch_no") <= F.lit(self.as_of))
                 top = m.agg(F.max("batch_no")).first()[0]
                 rows = m.where(F.col("batch_no") == top).collect() if top is not None else []
             except Exception:  # noqa: BLE001 - no manifest yet

@@ -33,8 +33,14 @@ def test_two_batches(spark, sf, scratch):
     h = store.read("customer_history")
     assert h.where("dw_active_record_ind = 1").count() == n_cust
 
+    counts = {}
     b2 = run_batch(spark, store, src, _control(spark, sf, A.BATCH.date),
-                   dt.datetime(2001, 6, 16, 2, 0), f"{scratch}/landing")
+                   dt.datetime(2001, 6, 16, 2, 0), f"{scratch}/landing", counts=counts)
+    staged_customers = src("customers").where(F.to_date("update_timestamp") >= F.lit(b2.date)).count()
+    assert counts["customers"]["updated"] + counts["customers"]["inserted"] == staged_customers
+    # The first batch stays readable as it was.
+    old = Store(spark, f"{scratch}/wh", as_of=b1.no)
+    assert old.read("customers").count() == n_cust
     assert b2.date <= A.BATCH.date and b2.no > b1.no
     cust = store.read("customers")
     assert cust.count() == cust.select("src_customernumber").distinct().count()
