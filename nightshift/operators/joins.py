@@ -72,6 +72,7 @@ def lookup(
     out_col: str,
     required: bool,
     small_rows: bool = False,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``parent.parent_id`` as ``out_col`` by ``row_col = parent_key``.
 
@@ -86,8 +87,10 @@ def lookup(
         ids = ids.where(F.col(out_col).isNotNull())
     if small_rows:
         # Few rows to look up: cut the parent down map-side first, so a large
-        # parent is scanned but never shuffled.
-        wanted = rows.select(F.col(row_col).alias("__lk_key"))
+        # parent is scanned but never shuffled.  ``keys_from`` (a superset of
+        # ``rows`` with the same column) avoids re-running earlier lookups.
+        source = rows if keys_from is None else keys_from
+        wanted = source.select(F.col(row_col).alias("__lk_key"))
         ids = ids.join(F.broadcast(wanted), "__lk_key", "left_semi")
     joined = rows.join(ids, rows[row_col] == ids["__lk_key"], "inner" if required else "left")
     return joined.drop("__lk_key")

@@ -109,19 +109,23 @@ def scd1_merge_parts(
     # Insert half: stage rows whose key is not in the target (anti join).
     if small:
         matched = target.select(*tkeys).join(F.broadcast(st.select(*tkeys)), tkeys, "left_semi")
-        fresh = st.join(matched, tkeys, "left_anti")
+        # The new rows feed every lookup's map-side filter and the insert:
+        # one scan of the target keys, not one per use.
+        fresh = materialize(st.join(matched, tkeys, "left_anti"))
     else:
         matched = target.select(*tkeys).join(st.select(*tkeys), tkeys, "left_semi")
         fresh = st.join(target.select(*tkeys), tkeys, "left_anti")
 
     late = []
+    base = fresh
     for lk in spec.lookups:
         if lk.self_ref and resolve_within_batch:
             late.append(lk)
             continue
         parent = target if lk.self_ref else parents[lk.parent]
         fresh = lookup(fresh, parent, _rename(spec, lk.stage_col), lk.parent_key,
-                       lk.parent_id, lk.target_col, lk.required, small_rows=small)
+                       lk.parent_id, lk.target_col, lk.required, small_rows=small,
+                       keys_from=base)
     if spec.surrogate:
         fresh = assign_surrogate_keys(fresh, tkeys, spec.surrogate, max_id(target, spec.surrogate))
     for lk in late:
