@@ -554,3 +554,66 @@ def build() -> dict[str, str]:  # noqa: F811
     q = _build_core()
     build_operators(q)
     return q
+
+
+def build_extra(q: dict[str, str]) -> None:
+    W = with_fixtures
+    fc = daily_customer_ctes(EPOCH, "fc")
+    fp = daily_product_ctes(EPOCH, "fp")
+    # The backfill batch is dated at its cutoff, the epoch.
+    q["daily_customer_summary_full"] = W(fc) + "\n" + finish(
+        DAILY_CUSTOMER_MEASURES, "dw_customer_id", "fc_all", bdate=EPOCH)
+    q["daily_product_summary_full"] = W(fp) + "\n" + finish(
+        DAILY_PRODUCT_MEASURES, "dw_product_id", "fp_all", bdate=EPOCH)
+    spec = SCD1_SPECS["customers"]
+    cols = []
+    for c in spec.columns:
+        if c == "dw_customer_id":
+            cols.append("row_number() OVER (ORDER BY customernumber) AS dw_customer_id")
+        elif c == "src_customernumber":
+            cols.append("customernumber AS src_customernumber")
+        elif c == "src_create_timestamp":
+            cols.append("create_timestamp AS src_create_timestamp")
+        elif c == "src_update_timestamp":
+            cols.append("update_timestamp AS src_update_timestamp")
+        elif c in ("dw_create_timestamp", "dw_update_timestamp"):
+            cols.append(f"{RUN_TS} AS {c}")
+        elif c == "etl_batch_no":
+            cols.append(f"{BNO} AS etl_batch_no")
+        elif c == "etl_batch_date":
+            cols.append(f"{BDATE} AS etl_batch_date")
+        else:
+            cols.append(c)
+    staged_all = staged_sql("customers").replace(BDATE, EPOCH)
+    q["upsert_first_load_customers"] = W([("fl", f"SELECT {', '.join(cols)} FROM ({staged_all}) s")]) + (
+        f"\nSELECT {outcols(spec.columns)} FROM fl")
+    hcols = ["dw_product_id", "msrp", "effective_from_date", "effective_to_date", "dw_active_record_ind",
+             "dw_create_timestamp", "dw_update_timestamp", "create_etl_batch_no", "create_etl_batch_date",
+             "update_etl_batch_no", "update_etl_batch_date"]
+    q["scd2_first_load_product"] = W() + f"""
+SELECT {outcols(hcols)} FROM (
+  SELECT dw_product_id, msrp, {BDATE} AS effective_from_date, CAST(NULL AS DATE) AS effective_to_date,
+    1 AS dw_active_record_ind, {RUN_TS} AS dw_create_timestamp, {RUN_TS} AS dw_update_timestamp,
+    {BNO} AS create_etl_batch_no, {BDATE} AS create_etl_batch_date,
+    CAST(NULL AS INTEGER) AS update_etl_batch_no, CAST(NULL AS DATE) AS update_etl_batch_date
+  FROM cur_products) h"""
+    q["agg_min_date"] = W() + """
+SELECT dw_customer_id, MIN(paymentdate) AS first_payment_date FROM cur_payments
+WHERE paymentdate IS NOT NULL GROUP BY dw_customer_id"""
+    q["agg_max_lineage"] = W(daily_table_ctes("customer")) + """
+SELECT CAST(date_trunc('month', summary_date) AS DATE) AS start_of_the_month_date,
+  MAX(etl_batch_no) AS etl_batch_no, MAX(etl_batch_date) AS etl_batch_date,
+  MAX(dw_update_timestamp) AS dw_update_timestamp
+FROM daily_customer GROUP BY 1"""
+    dp = daily_product_ctes()
+    q["union_all_product_branches"] = W(dp) + "\n" + branch_select(
+        DAILY_PRODUCT_MEASURES, "dp_all", "dw_product_id")
+
+
+_build_ops = build
+
+
+def build() -> dict[str, str]:  # noqa: F811
+    q = _build_ops()
+    build_extra(q)
+    return q

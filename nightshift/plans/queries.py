@@ -485,3 +485,64 @@ def q_scalar_sticky_flag(spark, sf):
     j = prev.join(delta, [MONTH, "dw_customer_id"])
     return j.select(MONTH, "dw_customer_id", "month_order_apm", "day_order_apd",
                     sticky_flag("month_order_apm", "day_order_apd").alias("order_apm"))
+
+
+# --- full-history and first-load variants, remaining inventory rows ------------------
+
+@register("daily_customer_summary_full")
+def q_daily_customer_summary_full(spark, sf):
+    """I11 over the whole history (cutoff at the epoch): the backfill case."""
+    return daily.daily_customer_summary(A.fact_inputs(spark, sf), A.FULL_HISTORY)
+
+
+@register("daily_product_summary_full")
+def q_daily_product_summary_full(spark, sf):
+    """I12 over the whole history."""
+    return daily.daily_product_summary(A.fact_inputs(spark, sf), A.FULL_HISTORY)
+
+
+@register("upsert_first_load_customers")
+def q_upsert_first_load_customers(spark, sf):
+    """I3 + I16 into an empty table: every source customer inserted, ids 1..n."""
+    from nightshift.plans.run import empty_table
+
+    target = empty_table(spark, "customers", SOURCE_SCHEMAS)
+    stage = extract.blanks_as_null(
+        extract.extract_incremental(A.source(spark, sf, "customers"), "customers", A.EPOCH))
+    return programs.upsert("customers", {"customers": target}, stage, A.BATCH)
+
+
+@register("scd2_first_load_product")
+def q_scd2_first_load_product(spark, sf):
+    """I10 on an empty history: one active version per product."""
+    from nightshift.plans.run import empty_table
+
+    hist = empty_table(spark, "product_history", SOURCE_SCHEMAS)
+    wh = {"product_history": hist, "products": A.current(spark, sf, "products")}
+    return programs.history("product_history", wh, A.BATCH)
+
+
+@register("agg_min_date")
+def q_agg_min_date(spark, sf):
+    """MIN(date) per customer (the first-payment subquery)."""
+    return daily.first_payment(A.current(spark, sf, "payments"))
+
+
+@register("agg_max_lineage")
+def q_agg_max_lineage(spark, sf):
+    """MAX of the batch columns per month over the daily table."""
+    from nightshift.operators.rollforward import MONTH
+
+    d = A.daily_table(spark, sf, "customer")
+    return d.groupBy(month_start("summary_date").alias(MONTH)).agg(
+        F.max("etl_batch_no").alias("etl_batch_no"),
+        F.max("etl_batch_date").alias("etl_batch_date"),
+        F.max("dw_update_timestamp").alias("dw_update_timestamp"),
+    )
+
+
+@register("union_all_product_branches")
+def q_union_all_product_branches(spark, sf):
+    """The two product branches, UNION ALL by name."""
+    wh = A.fact_inputs(spark, sf)
+    return daily.product_ordered(wh, A.BATCH).unionByName(daily.product_cancelled(wh, A.BATCH))
