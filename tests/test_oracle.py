@@ -54,3 +54,20 @@ def test_entry_smoke(spark):
 
     df = entry(spark)
     assert df.count() >= 0 and "summary_date" in df.columns
+
+
+SHUFFLE_PATH = ["daily_customer_summary", "daily_product_summary", "upsert_orders",
+                "upsert_orderdetails", "upsert_employees", "scd2_customer_history",
+                "monthly_customer_summary", "surrogate_keys"]
+
+
+@pytest.mark.parametrize("name", SHUFFLE_PATH)
+def test_shuffle_fallback_matches_oracle(spark, sf, con, name):
+    """The same programs with every size-checked broadcast refused."""
+    spark.conf.set("spark.nightshift.broadcastMaxRows", "1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        test_query_matches_oracle(spark, sf, con, name)
+    finally:
+        spark.conf.unset("spark.nightshift.broadcastMaxRows")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
