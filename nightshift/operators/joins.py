@@ -100,3 +100,23 @@ def new_keys(rows: DataFrame, existing: DataFrame, keys: list[str], existing_key
     """Rows whose key is absent from ``existing`` (explicit left anti join)."""
     ex = existing.select(*[F.col(e).alias(k) for k, e in zip(keys, existing_keys)])
     return rows.join(ex, keys, "left_anti")
+
+
+def join_small_side(big: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``big`` joined with a usually-small ``small`` side on ``key``.
+
+    One aggregate over ``small`` gives its row count and key range.  The
+    range becomes a plain ``key BETWEEN lo AND hi`` filter on ``big``, which
+    Parquet turns into row-group skipping when ``big`` is clustered on the
+    key (tables written in id order are); the count decides the broadcast.
+    Both are exact: rows of ``big`` outside the range cannot match.
+    """
+    stats = small.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"),
+                      F.max(key).alias("hi")).first()
+    n, lo, hi = stats["n"], stats["lo"], stats["hi"]
+    if lo is None:
+        big = big.where(F.lit(False))
+    else:
+        big = big.where(F.col(key).between(F.lit(lo), F.lit(hi)))
+    side = F.broadcast(small) if n <= broadcast_limit(small) else small
+    return big.join(side, key, how)

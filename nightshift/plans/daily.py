@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from nightshift.batch import Batch
 from nightshift.functions import day, flag, normalized, on_or_after
-from nightshift.operators.joins import bounded_broadcast
+from nightshift.operators.joins import bounded_broadcast, join_small_side
 from nightshift.schemas import (
     DAILY_CUSTOMER_MEASURES,
     DAILY_PRODUCT_MEASURES,
@@ -221,7 +221,7 @@ def _order_events(wh, batch: Batch) -> DataFrame:
     )
     details = wh["orderdetails"].select("dw_order_id", PRODUCT_KEY, "quantityordered", "priceeach")
     products = wh["products"].select(PRODUCT_KEY, "msrp", F.lit(True).alias("has_product"))
-    lines = details.join(bounded_broadcast(orders), "dw_order_id")
+    lines = join_small_side(details, orders, "dw_order_id")
     return lines.join(bounded_broadcast(products), PRODUCT_KEY, "left")
 
 
@@ -367,7 +367,7 @@ def daily_product_summary(wh, batch: Batch) -> DataFrame:
     ).select("dw_order_id", day("orderdate").alias("od"), day("cancelleddate").alias("cd"))
     details = wh["orderdetails"].select("dw_order_id", PRODUCT_KEY, "quantityordered", "priceeach")
     products = wh["products"].select(PRODUCT_KEY, "msrp")
-    lines = details.join(bounded_broadcast(orders), "dw_order_id").join(
+    lines = join_small_side(details, orders, "dw_order_id").join(
         bounded_broadcast(products), PRODUCT_KEY
     )
     q = F.col("quantityordered")
