@@ -326,3 +326,10 @@ def test_manager_same_batch_resolved_when_asked(spark):
     parts = scd1_merge_parts(empty, stage, spec, B, {"offices": offices}, resolve_within_batch=True)
     out = {r["employeenumber"]: r for r in parts.table.collect()}
     assert out[11]["dw_reporting_employee_id"] == out[10]["dw_employee_id"] == 1
+
+
+def test_daily_with_no_events_is_empty(spark):
+    wh = _wh(spark, [(1, 7, OLD, None, None, "x")], [(1, 1, 1, "1.00")],
+             payments=[(7, OLD, "5.00")], customers=[(7, ts(OLD))])
+    assert daily.daily_customer_summary(wh, B).count() == 0
+    assert daily.daily_product_summary(wh, B).count() == 0
