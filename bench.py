@@ -43,6 +43,17 @@ def main() -> None:
     results: dict[str, float] = {}
     steps: dict[str, dict[str, float]] = {}
 
+    # Warm-up: one small first-load batch (sf0.001 if present) so that JIT
+    # compilation and class loading are not charged to the timed batches.
+    warm_sf = os.path.join(os.path.dirname(sf), "sf0.001")
+    if os.path.isdir(warm_sf):
+        warm = scratch_path(spark, "bench-warmup", str(int(time.time() * 1000)))
+        wctl = A.batch_control(spark, warm_sf)
+        wday = wctl.agg(F.min("etl_batch_date")).first()[0]
+        run_batch(spark, Store(spark, f"{warm}/wh"), lambda t: A.source(spark, warm_sf, t),
+                  wctl.where(F.col("etl_batch_date") <= F.lit(wday)),
+                  dt.datetime(1995, 1, 2, 1, 0), f"{warm}/landing")
+
     root = scratch_path(spark, "bench", str(int(time.time() * 1000)))
     store = Store(spark, f"{root}/wh")
     landing = f"{root}/landing"

@@ -86,7 +86,8 @@ class Store:
     def write_snapshot(self, table: str, df: DataFrame, batch_no: int) -> DataFrame:
         path = f"{self.root}/{table}/batch={batch_no}"
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        # Known schema: no footer-inference job on the way back.
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def write_append(self, table: str, rows: DataFrame, batch_no: int,
                      sort_cols: list[str] | None = None) -> None:
