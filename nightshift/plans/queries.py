@@ -211,10 +211,18 @@ def _extract_query(table):
     return q
 
 
+def _own_root(spark, name):
+    """A landing root of this call only: a second call never overwrites
+    files that an earlier, still unread DataFrame lists."""
+    import uuid
+
+    return scratch_path(spark, "queries", name, uuid.uuid4().hex)
+
+
 def _stage_query(table):
     def q(spark, sf):
         ex = extract.extract_incremental(A.source(spark, sf, table), table, A.BATCH.date)
-        path = extract.landing_path(spark, table, A.BATCH.date)
+        path = extract.landing_path(spark, table, A.BATCH.date, root=_own_root(spark, "stage"))
         extract.land(ex, path, fmt="csv")
         return extract.stage_load(spark, table, path, fmt="csv")
 
@@ -232,7 +240,7 @@ def q_landing_roundtrip(spark, sf):
     """A2: the customers extract through landing CSV and back, unchanged."""
     ex = extract.extract_incremental(A.source(spark, sf, "customers"), "customers", A.BATCH.date)
     path = extract.landing_path(spark, "customers", A.BATCH.date,
-                                root=scratch_path(spark, "landing_roundtrip"))
+                                root=_own_root(spark, "landing_roundtrip"))
     extract.land(ex, path, fmt="csv")
     return (spark.read.schema(SOURCE_SCHEMAS["customers"]).options(**extract.CSV_READ).csv(path))
 
