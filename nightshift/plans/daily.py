@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightshift.batch import Batch
-from nightshift.functions import day, flag, normalized, on_or_after
+from nightshift.functions import day, flag, normalized, on_or_after, status_is
 from nightshift.operators.joins import bounded_broadcast, join_small_side
 from nightshift.schemas import (
     DAILY_CUSTOMER_MEASURES,
@@ -41,10 +41,6 @@ def _zero(name: str) -> Column:
     return F.lit(0).cast(measure_type(name))
 
 
-def _null(name: str) -> Column:
-    return F.lit(None).cast(measure_type(name))
-
-
 def _row(date: Column, key: Column, key_name: str, measures, values: dict[str, Column],
          default=_zero) -> list[Column]:
     """A branch row: the given measures, the others padded (0 by default)."""
@@ -126,7 +122,7 @@ def _status_branch(wh, batch: Batch, date_col: str, status: str, prefix: str) ->
     o = wh["orders"].where(
         on_or_after(date_col, batch.date)
         & F.col(date_col).isNotNull()
-        & (normalized("status") == F.lit(status))
+        & status_is("status", status)
     )
     lines = _lines({"orders": o, "orderdetails": wh["orderdetails"]})
     g = lines.groupBy(day(date_col).alias("summary_date"), CUSTOMER_KEY).agg(
