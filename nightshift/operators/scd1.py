@@ -127,7 +127,13 @@ def scd1_merge_parts(
                        lk.parent_id, lk.target_col, lk.required, small_rows=small,
                        keys_from=base)
     if spec.surrogate:
-        fresh = assign_surrogate_keys(fresh, tkeys, spec.surrogate, max_id(target, spec.surrogate))
+        if small and base.isEmpty():
+            # Nothing new this batch (common for slow dimensions): skip the
+            # id assignment jobs.
+            fresh = fresh.withColumn(spec.surrogate, F.lit(None).cast("bigint"))
+        else:
+            fresh = assign_surrogate_keys(fresh, tkeys, spec.surrogate,
+                                          max_id(target, spec.surrogate))
     for lk in late:
         # The table as it will be after the insert: old rows and new ids.
         ids = target.select(lk.parent_key, lk.parent_id).unionByName(
