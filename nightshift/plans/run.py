@@ -80,7 +80,8 @@ UPSERT_LEVELS = (
 )
 
 
-def _together(tasks: dict[str, Callable[[], object]], timings: dict[str, float] | None) -> dict:
+def _together(tasks: dict[str, Callable[[], object]], timings: dict[str, float] | None,
+              prefix: str = "") -> dict:
     """Run independent table programs as concurrent Spark jobs.
 
     The reference starts one process per table; here one driver thread per
@@ -93,7 +94,7 @@ def _together(tasks: dict[str, Callable[[], object]], timings: dict[str, float]
         t0 = time.perf_counter()
         out = fn()
         if timings is not None:
-            timings[name] = round(time.perf_counter() - t0, 3)
+            timings[prefix + name] = round(time.perf_counter() - t0, 3)
         return out
 
     if len(tasks) == 1:
@@ -148,8 +149,7 @@ def run_batch(
                 return extract.stage_load(spark, t, path, landing_format)
             return go
 
-        staged = _together({t: land(t) for t in SOURCE_TABLES},
-                           None if timings is None else _prefixed(timings, "land_"))
+        staged = _together({t: land(t) for t in SOURCE_TABLES}, timings, prefix="land_")
 
         # Type-1 upserts level by level; each reads its parents as just written.
         wh: dict[str, DataFrame] = {}
@@ -228,14 +228,3 @@ def run_batch(
         store.commit_failure(batch.no)
         raise
     return batch
-
-
-class _prefixed(dict):
-    """A view of ``timings`` that stores keys with a prefix."""
-
-    def __init__(self, target: dict, prefix: str):
-        super().__init__()
-        self._target, self._prefix = target, prefix
-
-    def __setitem__(self, key, value):
-        self._target[self._prefix + key] = value
