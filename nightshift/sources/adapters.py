@@ -543,12 +543,12 @@ def stage(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return blanks_as_null(extract_incremental(source(spark, sf, table), table, BATCH.date))
 
 
-def batch_control(spark: SparkSession, sf: str) -> DataFrame:
-    """One batch per order day up to the scenario's batch date."""
+def batch_control(spark: SparkSession, sf: str, upto: dt.date | None = None) -> DataFrame:
+    """One batch per order day up to ``upto`` (default: the scenario's batch date)."""
     days = (
         read(spark, sf, "orders")
         .select(F.col("o_orderdate").cast("date").alias("etl_batch_date"))
-        .where(F.col("etl_batch_date") <= F.lit(BATCH.date))
+        .where(F.col("etl_batch_date") <= F.lit(upto or BATCH.date))
         .distinct()
     )
     return days.select(

@@ -10,7 +10,7 @@ from nightshift.sources import adapters as A
 
 
 def _control(spark, sf, upto):
-    return A.batch_control(spark, sf).where(F.col("etl_batch_date") <= F.lit(upto))
+    return A.batch_control(spark, sf, upto)
 
 
 def test_two_batches(spark, sf, scratch):
@@ -57,6 +57,21 @@ def test_two_batches(spark, sf, scratch):
     monthly = store.read("monthly_customer_summary")
     assert monthly.count() > 0
 
+    # A third consecutive batch carries the state forward again.
+    b3 = run_batch(spark, store, src, _control(spark, sf, dt.date(2001, 7, 15)),
+                   dt.datetime(2001, 7, 16, 2, 0), f"{scratch}/landing")
+    assert b3.no > b2.no
+    cust3 = store.read("customers")
+    assert cust3.count() == cust3.select("src_customernumber").distinct().count()
+    h3 = store.read("customer_history")
+    assert h3.where("dw_active_record_ind = 1").groupBy("dw_customer_id").count() \
+        .where("count > 1").count() == 0
+    # Every dimension row has exactly one active version.
+    assert h3.where("dw_active_record_ind = 1").count() == cust3.count()
+    log3 = store.read("batch_control_log").orderBy("etl_batch_no").collect()
+    assert [r["etl_batch_no"] for r in log3] == [b1.no, b2.no, b3.no]
+    assert store.read("daily_customer_summary").select("etl_batch_no").distinct().count() == 3
+
 
 def test_failed_batch_publishes_nothing(spark, sf, scratch):
     store = Store(spark, f"{scratch}/wh")
