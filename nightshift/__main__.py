@@ -33,6 +33,9 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--landing-format", default="parquet", choices=("parquet", "csv"))
     r.add_argument("--run-ts", default=None, help="run timestamp (default: now, UTC)")
     args = p.parse_args(argv)
+    import logging
+
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
 
     from nightshift.plans.run import run_batch
     from nightshift.plans.store import Store

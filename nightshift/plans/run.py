@@ -10,6 +10,7 @@ and is raised (the reference prints child failures and carries on).
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,6 +28,7 @@ from nightshift.schemas import (
 from nightshift.sources import control, extract
 
 LOG = "batch_control_log"
+logger = logging.getLogger("nightshift")
 CONTROL = "batch_control"
 
 
@@ -93,8 +95,10 @@ def _together(tasks: dict[str, Callable[[], object]], timings: dict[str, float]
     def timed(name, fn):
         t0 = time.perf_counter()
         out = fn()
+        took = round(time.perf_counter() - t0, 3)
+        logger.info("%s%s done in %.1f s", prefix, name, took)
         if timings is not None:
-            timings[prefix + name] = round(time.perf_counter() - t0, 3)
+            timings[prefix + name] = took
         return out
 
     if len(tasks) == 1:
@@ -170,8 +174,10 @@ def run_batch(
                 new = new.observe(obs, F.count_if(stamped & ~created).alias("updated"),
                                   F.count_if(stamped & created).alias("inserted"))
                 out = store.write_snapshot(t, new, batch.no)
+                rows = dict(obs.get)
+                logger.info("[%s] updated=%s inserted=%s", t.upper(), rows["updated"], rows["inserted"])
                 if counts is not None:
-                    counts[t] = dict(obs.get)
+                    counts[t] = rows
                 return out
             return go
 
@@ -222,9 +228,11 @@ def run_batch(
         store.write_snapshot(LOG, done, batch.no)
         published[LOG] = ("snapshot", batch.no)
         store.commit(batch.no, published)
+        logger.info("batch %s (%s) committed", batch.no, batch.date)
     except Exception:
         failed = control.log_end(log, cur, end_ts or run_ts, LOG_FAILED)
         store.write_snapshot(f"{LOG}_failed", failed, batch.no)
         store.commit_failure(batch.no)
+        logger.exception("batch %s (%s) failed; nothing published", batch.no, batch.date)
         raise
     return batch
