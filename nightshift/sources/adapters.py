@@ -71,7 +71,8 @@ def updated_day(key: Column, rule: tuple[int, int, int]) -> Column:
 
 
 def _before(day_col: Column) -> Column:
-    return day_col < F.lit(BATCH_DAY)
+    """The creation day (days since the epoch) falls before the batch date."""
+    return _d(day_col) < F.lit(BATCH.date)
 
 
 # --- source system -----------------------------------------------------------

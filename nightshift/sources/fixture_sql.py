@@ -141,7 +141,8 @@ CUR_AUDIT = f"""create_timestamp AS src_create_timestamp, update_timestamp AS sr
 
 
 def _known(col: str, rule) -> str:
-    return f"({cday(col, rule)} < {BDAY})"
+    """The parent's creation date falls before the batch date."""
+    return f"({d(cday(col, rule))} < {BDATE})"
 
 
 PREV = {
