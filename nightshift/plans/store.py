@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 MANIFEST = "_manifest"
 MANIFEST_SCHEMA = T.StructType([
@@ -42,17 +43,22 @@ class Store:
     def manifest(self) -> dict[str, tuple[str, int]]:
         """Table -> (kind, version) of the newest committed batch ({} if none)."""
         if self._manifest is None:
+            schema = T.StructType(MANIFEST_SCHEMA.fields + [T.StructField("batch_no", T.IntegerType())])
             try:
-                m = self.spark.read.schema(
-                    T.StructType(MANIFEST_SCHEMA.fields + [T.StructField("batch_no", T.IntegerType())])
-                ).parquet(f"{self.root}/{MANIFEST}")
-                # One row per table of one batch: a bounded, tiny result.
+                m = self.spark.read.schema(schema).parquet(f"{self.root}/{MANIFEST}")
+            except AnalysisException as e:
+                # Only "no batch committed yet" means an empty warehouse; any
+                # other failure must not be mistaken for it.
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                m = None
+            rows = []
+            if m is not None:
                 if self.as_of is not None:
                     m = m.where(F.col("batch_no") <= F.lit(self.as_of))
+                # One row per table of one batch: a bounded, tiny result.
                 top = m.agg(F.max("batch_no")).first()[0]
                 rows = m.where(F.col("batch_no") == top).collect() if top is not None else []
-            except Exception:  # noqa: BLE001 - no manifest yet
-                rows = []
             self._manifest = {r["table_name"]: (r["kind"], r["version"]) for r in rows}
         return self._manifest
 
