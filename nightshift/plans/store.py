@@ -109,7 +109,8 @@ class Store:
 
     def commit(self, batch_no: int, tables: dict[str, tuple[str, int]]) -> None:
         rows = [(t, k, int(v)) for t, (k, v) in sorted(tables.items())]
-        df = self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
+        # ≤ 20 rows: one file, written (and committed) by one task.
+        df = self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1)
         df.write.mode("overwrite").parquet(f"{self.root}/{MANIFEST}/batch_no={batch_no}")
         self._manifest = None
 
