@@ -23,15 +23,16 @@ from nightshift.schemas import (
 
 
 def upsert_parts(table: str, warehouse: dict[str, DataFrame], stage: DataFrame,
-                 batch: Batch) -> Scd1Result:
+                 batch: Batch, resolve_within_batch: bool = False) -> Scd1Result:
     spec = SCD1_SPECS[table]
     parents = {lk.parent: warehouse[lk.parent] for lk in spec.lookups if not lk.self_ref}
-    return scd1_merge_parts(warehouse[table], stage, spec, batch, parents)
+    return scd1_merge_parts(warehouse[table], stage, spec, batch, parents,
+                            resolve_within_batch=resolve_within_batch)
 
 
-def upsert(table: str, warehouse, stage, batch) -> DataFrame:
+def upsert(table: str, warehouse, stage, batch, resolve_within_batch: bool = False) -> DataFrame:
     """``upsert_<table>``."""
-    return upsert_parts(table, warehouse, stage, batch).table
+    return upsert_parts(table, warehouse, stage, batch, resolve_within_batch).table
 
 
 def history(name: str, warehouse, batch: Batch) -> DataFrame:

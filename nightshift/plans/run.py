@@ -120,11 +120,14 @@ def run_batch(
     landing_format: str = "parquet",
     timings: dict[str, float] | None = None,
     counts: dict[str, dict[str, int]] | None = None,
+    resolve_within_batch: bool = False,
 ) -> Batch:
     """Run the batch named by ``control_table`` (highest number) into ``store``.
 
     ``timings``, when given, receives the wall time of every table step;
     ``counts`` the rows updated and inserted per type-1 table (I15).
+    ``resolve_within_batch`` lets a new employee find a manager inserted by
+    the same batch (off by default, as in the reference).
     """
     from nightshift.schemas import SOURCE_SCHEMAS
 
@@ -164,7 +167,7 @@ def run_batch(
                 for lk in SCD1_SPECS[t].lookups:
                     if not lk.self_ref:
                         inputs[lk.parent] = wh[lk.parent]
-                new = programs.upsert(t, inputs, staged[t], batch)
+                new = programs.upsert(t, inputs, staged[t], batch, resolve_within_batch)
                 # I15's row counts, gathered while the table is written (no
                 # extra job): stamped by this batch = updated or inserted;
                 # created by this run = inserted.
