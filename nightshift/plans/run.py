@@ -215,7 +215,7 @@ def run_batch(
         # Monthly roll-forward of the daily rows written for this batch.
         def monthly_task(name, src):
             def go():
-                daily_rows = store.read_append_upto(src, batch.no)
+                daily_rows = store.read_append_upto(src, batch.no, since=batch.date)
                 new = programs.monthly(name, {name: table(name), src: daily_rows}, batch)
                 return store.write_snapshot(name, new, batch.no)
             return go

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 MANIFEST = "_manifest"
+MONTH_PART = "summary_month"
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("kind", T.StringType()),      # "snapshot" | "append"
@@ -70,23 +71,33 @@ class Store:
     def has(self, table: str) -> bool:
         return table in self.manifest()
 
-    def read(self, table: str) -> DataFrame:
+    def read(self, table: str, since=None) -> DataFrame:
+        """The committed version of ``table``.
+
+        For append tables, ``since`` (a date) prunes to the month partitions
+        that can hold rows dated on or after it.
+        """
         kind, version = self.manifest()[table]
         if kind == "snapshot":
             return self.spark.read.parquet(f"{self.root}/{table}/batch={version}")
-        df = self.spark.read.parquet(f"{self.root}/{table}")
         # Partitions of failed or later batches are not part of the table.
-        return df.where(F.col("etl_batch_no") <= F.lit(version))
+        return self._append_rows(table, F.col("etl_batch_no") <= F.lit(version), since)
 
-    def read_append_upto(self, table: str, batch_no: int) -> DataFrame:
+    def read_append_upto(self, table: str, batch_no: int, since=None) -> DataFrame:
         """The committed append table plus the running batch's own partition.
 
         Partitions of batches that failed (never committed) are left out.
         """
-        df = self.spark.read.parquet(f"{self.root}/{table}")
         committed = self.manifest().get(table, ("append", -1))[1]
-        return df.where((F.col("etl_batch_no") <= F.lit(committed))
-                        | (F.col("etl_batch_no") == F.lit(batch_no)))
+        keep = (F.col("etl_batch_no") <= F.lit(committed)) | (F.col("etl_batch_no") == F.lit(batch_no))
+        return self._append_rows(table, keep, since)
+
+    def _append_rows(self, table: str, keep, since) -> DataFrame:
+        df = self.spark.read.parquet(f"{self.root}/{table}").where(keep)
+        if since is not None:
+            # Partition pruning: only months that can hold rows >= since.
+            df = df.where(F.col(MONTH_PART) >= F.trunc(F.lit(since), "month"))
+        return df.drop(MONTH_PART)
 
     # -- writing ---------------------------------------------------------------
     def write_snapshot(self, table: str, df: DataFrame, batch_no: int) -> DataFrame:
@@ -96,16 +107,21 @@ class Store:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def write_append(self, table: str, rows: DataFrame, batch_no: int,
-                     sort_cols: list[str] | None = None) -> None:
-        """Append one batch's rows as partition ``etl_batch_no=<no>`` (rerun-safe)."""
-        out = rows.where(F.col("etl_batch_no") == F.lit(batch_no))
+                     sort_cols: list[str] | None = None, date_col: str = "summary_date") -> None:
+        """Append one batch's rows under ``etl_batch_no=<no>/summary_month=<m>``.
+
+        The batch directory is replaced as a whole, so a rerun of a failed
+        batch leaves no stale month behind; the month level lets readers
+        prune to the months a cutoff can reach.
+        """
+        out = rows.where(F.col("etl_batch_no") == F.lit(batch_no)).drop("etl_batch_no")
+        out = out.withColumn(MONTH_PART, F.trunc(F.col(date_col), "month"))
         if sort_cols:
             # rows laid out in (date, id) order inside each file.
             out = out.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
         (out.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("etl_batch_no")
-         .parquet(f"{self.root}/{table}"))
+         .partitionBy(MONTH_PART)
+         .parquet(f"{self.root}/{table}/etl_batch_no={batch_no}"))
 
     def commit(self, batch_no: int, tables: dict[str, tuple[str, int]]) -> None:
         rows = [(t, k, int(v)) for t, (k, v) in sorted(tables.items())]
