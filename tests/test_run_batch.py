@@ -123,3 +123,16 @@ def test_cli_runs_a_batch(spark, sf, scratch):
                  "--run-ts", "1995-01-02T01:00:00"]) == 0
     store = Store(spark, f"{scratch}/wh")
     assert store.read("customers").count() == A.source(spark, sf, "customers").count()
+
+
+def test_append_rerun_leaves_no_stale_month(spark, scratch):
+    store = Store(spark, f"{scratch}/wh")
+    schema = "summary_date date, dw_customer_id bigint, order_count bigint, etl_batch_no int"
+    first = spark.createDataFrame([(dt.date(2001, 6, 20), 1, 1, 5), (dt.date(2001, 7, 2), 1, 1, 5)], schema)
+    store.write_append("daily_x", first, 5)
+    again = spark.createDataFrame([(dt.date(2001, 6, 21), 2, 3, 5)], schema)
+    store.write_append("daily_x", again, 5)
+    rows = store.read_append_upto("daily_x", 5).collect()
+    assert [(r["summary_date"], r["order_count"]) for r in rows] == [(dt.date(2001, 6, 21), 3)]
+    # Month pruning keeps only months a cutoff can reach.
+    assert store.read_append_upto("daily_x", 5, since=dt.date(2001, 7, 1)).count() == 0
