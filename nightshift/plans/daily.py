@@ -264,7 +264,10 @@ def daily_customer_summary(wh, batch: Batch) -> DataFrame:
     # versa) so that NULL sums behave as in the branch form; other branches
     # pad with 0.
     ordered_family = k.isin("O", "P")
-    zero_or_null = lambda: F.when(ordered_family, F.lit(None)).otherwise(F.lit(0))
+
+    def zero_or_null() -> Column:
+        return F.when(ordered_family, F.lit(None)).otherwise(F.lit(0))
+
     order_rows = grain.select(*_cm(
         {
             "order_count": only("O", F.lit(1), zero_or_null()),
