@@ -212,12 +212,17 @@ def run_batch(
                                                 "dw_product_id"),
         }, timings)
 
-        # Monthly roll-forward of the daily rows written for this batch.
+        # Monthly roll-forward of the daily rows written for this batch.  Only
+        # months from the batch's month on can still change (later batches
+        # have later dates): earlier months are sealed, and the table's
+        # rewritable part stays a month or two of rows.
         def monthly_task(name, src):
             def go():
                 daily_rows = store.read_append_upto(src, batch.no, since=batch.date)
-                new = programs.monthly(name, {name: table(name), src: daily_rows}, batch)
-                return store.write_snapshot(name, new, batch.no)
+                current = store.read_open(name) if store.has(name) else table(name)
+                new = programs.monthly(name, {name: current, src: daily_rows}, batch)
+                final = F.col("start_of_the_month_date") < F.trunc(batch.date_col, "month")
+                store.write_split(name, new, batch.no, final)
             return go
 
         _together({name: monthly_task(name, src) for name, (src, _k, _m) in programs.MONTHLY.items()},
@@ -225,7 +230,7 @@ def run_batch(
         for name in ("daily_customer_summary", "daily_product_summary"):
             published[name] = ("append", batch.no)
         for name in programs.MONTHLY:
-            published[name] = ("snapshot", batch.no)
+            published[name] = ("split", batch.no)
 
         done = control.log_end(log, cur, end_ts or run_ts, LOG_SUCCEEDED)
         store.write_snapshot(LOG, done, batch.no)

@@ -18,11 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from nightshift.session import materialize
+
 MANIFEST = "_manifest"
 MONTH_PART = "summary_month"
+SEALED = "__sealed"
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
-    T.StructField("kind", T.StringType()),      # "snapshot" | "append"
+    T.StructField("kind", T.StringType()),      # "snapshot" | "append" | "split"
     T.StructField("version", T.IntegerType()),  # batch number of the snapshot / last partition
 ])
 
@@ -80,9 +83,20 @@ class Store:
         kind, version = self.manifest()[table]
         if kind == "snapshot":
             return self.spark.read.parquet(f"{self.root}/{table}/batch={version}")
+        if kind == "split":
+            return self.read_open(table).unionByName(self._sealed(table, version))
         # Partitions of failed or later batches are not part of the table.
         return self._append_rows(table, F.col("etl_batch_no") <= F.lit(version), since)
 
+    def read_open(self, table: str) -> DataFrame:
+        """The rewritable part of a split table (its newest snapshot)."""
+        _, version = self.manifest()[table]
+        return self.spark.read.parquet(f"{self.root}/{table}/batch={version}")
+
+    def _sealed(self, table: str, upto: int) -> DataFrame:
+        df = self.spark.read.parquet(f"{self.root}/{table}{SEALED}")
+        return df.where(F.col("sealed_by") <= F.lit(upto)).drop("sealed_by")
+
     def read_append_upto(self, table: str, batch_no: int, since=None) -> DataFrame:
         """The committed append table plus the running batch's own partition.
 
@@ -123,6 +137,16 @@ class Store:
          .partitionBy(MONTH_PART)
          .parquet(f"{self.root}/{table}/etl_batch_no={batch_no}"))
 
+    def write_split(self, table: str, rows: DataFrame, batch_no: int, final) -> None:
+        """A table whose rows become final: ``final`` rows are appended to the
+        sealed part (never rewritten again), the others form the new
+        snapshot of the open part.  Nightly rewrites stay the size of the
+        open part, not of the whole history."""
+        rows = materialize(rows)
+        (rows.where(final).write.mode("overwrite")
+         .parquet(f"{self.root}/{table}{SEALED}/sealed_by={batch_no}"))
+        self.write_snapshot(table, rows.where(~final), batch_no)
+
     def commit(self, batch_no: int, tables: dict[str, tuple[str, int]]) -> None:
         rows = [(t, k, int(v)) for t, (k, v) in sorted(tables.items())]
         # ≤ 20 rows: one file, written (and committed) by one task.

@@ -71,6 +71,13 @@ def test_two_batches(spark, sf, scratch):
     log3 = store.read("batch_control_log").orderBy("etl_batch_no").collect()
     assert [r["etl_batch_no"] for r in log3] == [b1.no, b2.no, b3.no]
     assert store.read("daily_customer_summary").select("etl_batch_no").distinct().count() == 3
+    # Monthly: sealed months and the open part never overlap, and only months
+    # from the last batch's month on remain rewritable.
+    mon = store.read("monthly_customer_summary")
+    assert mon.count() == mon.select("start_of_the_month_date", "dw_customer_id").distinct().count()
+    opened = store.read_open("monthly_customer_summary")
+    assert opened.where(F.col("start_of_the_month_date") < F.trunc(F.lit(b3.date), "month")).count() == 0
+    assert mon.count() > opened.count()
 
 
 def test_failed_batch_publishes_nothing(spark, sf, scratch):
