@@ -188,8 +188,12 @@ def run_batch(
             spec = SCD2_SPECS[name]
 
             def go():
-                new = programs.history(name, {name: table(name), spec.dim: wh[spec.dim]}, batch)
-                return store.write_snapshot(name, new, batch.no)
+                # Closed versions are final (only active rows are ever
+                # updated): they are sealed, and the rewritable part of the
+                # history stays one active row per dimension row.
+                current = store.read_open(name) if store.has(name) else table(name)
+                new = programs.history(name, {name: current, spec.dim: wh[spec.dim]}, batch)
+                store.write_split(name, new, batch.no, F.col("dw_active_record_ind") == 0)
             return go
 
         for i, level in enumerate(UPSERT_LEVELS):
@@ -198,8 +202,10 @@ def run_batch(
                 # Histories need only their (already merged) dimension.
                 tasks.update({name: history(name) for name in SCD2_SPECS})
             wh.update(_together(tasks, timings))
-        for t in list(SCD1_ORDER) + list(SCD2_SPECS):
+        for t in SCD1_ORDER:
             published[t] = ("snapshot", batch.no)
+        for t in SCD2_SPECS:
+            published[t] = ("split", batch.no)
 
         # Daily summaries: append this batch's rows as a partition.
         def daily_task(name, fn, key):

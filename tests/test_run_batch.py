@@ -68,6 +68,8 @@ def test_two_batches(spark, sf, scratch):
         .where("count > 1").count() == 0
     # Every dimension row has exactly one active version.
     assert h3.where("dw_active_record_ind = 1").count() == cust3.count()
+    # The rewritable part of the history holds only the active versions.
+    assert store.read_open("customer_history").where("dw_active_record_ind = 0").count() == 0
     log3 = store.read("batch_control_log").orderBy("etl_batch_no").collect()
     assert [r["etl_batch_no"] for r in log3] == [b1.no, b2.no, b3.no]
     assert store.read("daily_customer_summary").select("etl_batch_no").distinct().count() == 3
@@ -143,3 +145,29 @@ def test_append_rerun_leaves_no_stale_month(spark, scratch):
     assert [(r["summary_date"], r["order_count"]) for r in rows] == [(dt.date(2001, 6, 21), 3)]
     # Month pruning keeps only months a cutoff can reach.
     assert store.read_append_upto("daily_x", 5, since=dt.date(2001, 7, 1)).count() == 0
+
+
+def test_history_closes_are_sealed(spark, sf, scratch):
+    store = Store(spark, f"{scratch}/wh")
+    src = lambda t: A.source(spark, sf, t)
+    first_day = A.batch_control(spark, sf).agg(F.min("etl_batch_date")).first()[0]
+    run_batch(spark, store, src, _control(spark, sf, first_day),
+              dt.datetime(1995, 1, 2, 1, 0), f"{scratch}/landing")
+
+    def changed(t):
+        df = src(t)
+        if t == "customers":
+            bump = F.to_date("update_timestamp") >= F.lit(A.BATCH.date)
+            df = df.withColumn("creditlimit", F.when(bump, F.coalesce("creditlimit", F.lit(0)) + 1)
+                               .otherwise(F.col("creditlimit")).cast("decimal(12,2)"))
+        return df
+
+    b2 = run_batch(spark, store, changed, _control(spark, sf, A.BATCH.date),
+                   dt.datetime(2001, 6, 16, 2, 0), f"{scratch}/landing")
+    bumped = src("customers").where(F.to_date("update_timestamp") >= F.lit(b2.date)).count()
+    hist = store.read("customer_history")
+    closed = hist.where("dw_active_record_ind = 0")
+    assert closed.count() == bumped > 0
+    assert closed.where(F.col("effective_to_date") == F.date_sub(F.lit(b2.date), 1)).count() == bumped
+    assert store.read_open("customer_history").where("dw_active_record_ind = 0").count() == 0
+    assert hist.where("dw_active_record_ind = 1").count() == store.read("customers").count()
