@@ -171,3 +171,26 @@ def test_history_closes_are_sealed(spark, sf, scratch):
     assert closed.where(F.col("effective_to_date") == F.date_sub(F.lit(b2.date), 1)).count() == bumped
     assert store.read_open("customer_history").where("dw_active_record_ind = 0").count() == 0
     assert hist.where("dw_active_record_ind = 1").count() == store.read("customers").count()
+
+
+def test_split_table_union_and_rerun(spark, scratch):
+    store = Store(spark, f"{scratch}/wh")
+    schema = "m date, k bigint, v bigint"
+    rows = spark.createDataFrame([(dt.date(2001, 5, 1), 1, 1), (dt.date(2001, 6, 1), 1, 2)], schema)
+    final = F.col("m") < F.lit(dt.date(2001, 6, 1))
+    store.write_split("t", rows, 7, final)
+    store.write_split("t", rows, 7, final)  # a rerun replaces its own files
+    store.commit(7, {"t": ("split", 7)})
+    assert sorted(tuple(r) for r in store.read("t").collect()) == [
+        (dt.date(2001, 5, 1), 1, 1), (dt.date(2001, 6, 1), 1, 2)]
+    assert [tuple(r) for r in store.read_open("t").collect()] == [(dt.date(2001, 6, 1), 1, 2)]
+    # The next batch rewrites only the open part; sealed rows stay as they were.
+    nxt = spark.createDataFrame([(dt.date(2001, 6, 1), 1, 5), (dt.date(2001, 7, 1), 1, 1)], schema)
+    store.write_split("t", nxt, 8, F.col("m") < F.lit(dt.date(2001, 7, 1)))
+    store.commit(8, {"t": ("split", 8)})
+    assert sorted(tuple(r) for r in store.read("t").collect()) == [
+        (dt.date(2001, 5, 1), 1, 1), (dt.date(2001, 6, 1), 1, 5), (dt.date(2001, 7, 1), 1, 1)]
+    # The store as of batch 7 still reads the old version.
+    old = Store(spark, f"{scratch}/wh", as_of=7)
+    assert sorted(tuple(r) for r in old.read("t").collect()) == [
+        (dt.date(2001, 5, 1), 1, 1), (dt.date(2001, 6, 1), 1, 2)]
