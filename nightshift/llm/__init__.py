@@ -1 +1,8 @@
 """Operators of a training-data pipeline; nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel by value: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,16 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from nightshift.llm.common import table
 from nightshift.llm.simhash import simhash_digest
+from nightshift.llm.toxicity import toxicity_scores
 
 SIMHASH_WORDS = 3
 SIMHASH_BITS = 2
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_digest(table(spark, sf_dir, "documents"), SIMHASH_WORDS, SIMHASH_BITS)
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
