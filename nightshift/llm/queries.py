@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from nightshift.llm.chat import format_events, read_back, turns_as_events
 from nightshift.llm.common import table
+from nightshift.llm.fingerprints import document_fingerprints
 from nightshift.llm.licenses import license_scan
+from nightshift.llm.linededup import dedup_lines
 from nightshift.llm.sharding import shard_digest
 from nightshift.llm.simhash import simhash_digest
 from nightshift.llm.toxicity import toxicity_scores
@@ -15,6 +18,10 @@ SIMHASH_WORDS = 3
 SIMHASH_BITS = 2
 
 
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,15 +43,21 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_events(turns_as_events(turns)))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", F.col("n_removed").cast("long").alias("n_removed"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_digest(table(spark, sf_dir, "documents"), SIMHASH_WORDS, SIMHASH_BITS)
 
 
 QUERIES = {
+    "op1_document_fingerprints": op1_document_fingerprints,
     "op2_toxicity": op2_toxicity,
     "op3_license_scans": op3_license_scans,
     "op4_sharding": op4_sharding,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_line_dedup": op7_line_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
