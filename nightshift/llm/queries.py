@@ -13,6 +13,7 @@ from nightshift.llm.linededup import dedup_lines
 from nightshift.llm.sharding import shard_digest
 from nightshift.llm.simhash import simhash_digest
 from nightshift.llm.toxicity import toxicity_scores
+from nightshift.llm.vectors import vector_digest
 
 SIMHASH_WORDS = 3
 SIMHASH_BITS = 2
@@ -47,6 +48,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", F.col("n_removed").cast("long").alias("n_removed"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_digest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_digest(table(spark, sf_dir, "documents"), SIMHASH_WORDS, SIMHASH_BITS)
 
@@ -58,6 +63,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_line_dedup": op7_line_dedup,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
