@@ -10,6 +10,8 @@ from nightshift.llm.common import table
 from nightshift.llm.fingerprints import document_fingerprints
 from nightshift.llm.licenses import license_scan
 from nightshift.llm.linededup import dedup_lines
+from nightshift.llm.mixing import mixing_rates, quality_domains
+from nightshift.llm.pieces import piece_digest
 from nightshift.llm.sharding import shard_digest
 from nightshift.llm.simhash import simhash_digest
 from nightshift.llm.toxicity import toxicity_scores
@@ -17,6 +19,8 @@ from nightshift.llm.vectors import vector_digest
 
 SIMHASH_WORDS = 3
 SIMHASH_BITS = 2
+#: Shares of the tokens that the mixture should have.
+MIX = {"good": 0.85, "junk": 0.10, "toxic": 0.05}
 
 
 def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +39,15 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digest(table(spark, sf_dir, "documents"))
+
+
+def op10_mixing_to_target_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = quality_domains(table(spark, sf_dir, "labels"))
+    return mixing_rates(table(spark, sf_dir, "documents"), labelled, MIX).drop("text_key")
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame(
@@ -61,10 +74,12 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_license_scans": op3_license_scans,
     "op4_sharding": op4_sharding,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_line_dedup": op7_line_dedup,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_mixing_to_target_weights": op10_mixing_to_target_weights,
 }
 
 ORACLE_SQL: dict[str, str] = {}
