@@ -6,11 +6,12 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from nightshift.oracle import build
+from nightshift.plans.queries import REGISTRY
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-SQL = oracle_sql()
+SQL = build()
 
 
 @pytest.fixture(scope="module")
@@ -33,13 +34,13 @@ def _norm(rows, cols):
 
 
 def test_every_query_has_oracle():
-    missing = sorted(set(queries()) - set(SQL))
+    missing = sorted(set(REGISTRY) - set(SQL))
     assert missing == []
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_matches_oracle(spark, sf, con, name):
-    df = queries()[name](spark, sf)
+    df = REGISTRY[name](spark, sf)
     srows, scols = [tuple(r) for r in df.collect()], df.columns
     res = con.execute(SQL[name])
     ocols = [d[0] for d in res.description]
