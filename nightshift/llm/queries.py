@@ -11,6 +11,7 @@ from nightshift.llm.fingerprints import document_fingerprints
 from nightshift.llm.licenses import license_scan
 from nightshift.llm.linededup import dedup_lines
 from nightshift.llm.mixing import mixing_rates, quality_domains
+from nightshift.llm.oracles import ORACLE_SQL
 from nightshift.llm.pieces import piece_digest
 from nightshift.llm.sharding import shard_digest
 from nightshift.llm.simhash import simhash_digest
@@ -82,4 +83,4 @@ QUERIES = {
     "op10_mixing_to_target_weights": op10_mixing_to_target_weights,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
