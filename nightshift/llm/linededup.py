@@ -21,8 +21,8 @@ Lines under ``min_words`` words neither go nor match.
    who matches it can't find an earlier one there.  Only the others are
    joined with the earlier lines of their token, so copies with small
    changes aren't paired with each other.
-5. Candidates are verified on whole sets, which are taken once more from the
-   documents that hold a candidate.
+5. Candidates are verified on whole sets, which are made once more for the
+   lines that share a prefix token alone.
 6. Lines behind the first line of the same words go, and so do first lines
    that match an earlier one.
 
@@ -34,6 +34,8 @@ input are kept and only the text changes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -78,7 +80,7 @@ def bucket_ranks(docs: DataFrame, min_words: int) -> str:
     return ranked.select(F.array_join(F.col("r.rank").cast("array<string>"), ",")).first()[0]
 
 
-def line_sets(docs: DataFrame, ranks: str, min_words: int) -> DataFrame:
+def line_sets(lines: DataFrame, ranks: str) -> DataFrame:
     """``(place, key, codes)``: each line's set of token codes, rare ones first."""
     # Folds into one array literal at planning.
     table = F.split(F.lit(ranks), ",").cast("array<long>")
@@ -89,7 +91,7 @@ def line_sets(docs: DataFrame, ranks: str, min_words: int) -> DataFrame:
         return F.shiftleft(F.get(table, t.bitwiseAND(low).cast("int")), 64 - COUNT_BITS).bitwiseOR(rest)
 
     hashes = F.array_distinct(F.transform(_shingles(), lambda s: F.xxhash64(s)))
-    return _lines(docs, min_words).select("place", "key", F.sort_array(F.transform(hashes, code)).alias("codes"))
+    return lines.select("place", "key", F.sort_array(F.transform(hashes, code)).alias("codes"))
 
 
 def _needed(n: Column) -> Column:
@@ -97,14 +99,22 @@ def _needed(n: Column) -> Column:
     return F.floor((NUMER * n + (DENOM - 1)) / DENOM).cast("int")
 
 
-def shared_prefixes(sets: DataFrame) -> DataFrame:
+def first_places(docs: DataFrame, min_words: int) -> DataFrame:
+    """``(key, first, n)``: first place and count of the lines of the same words."""
+    lines = _lines(docs, min_words).select("place", "key")
+    return cut(lines.groupBy("key").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")), "line-firsts")
+
+
+def shared_prefixes(sets: DataFrame, firsts: DataFrame) -> DataFrame:
     """``(token, key, place, n, at)`` for prefix tokens that several different lines share."""
     n = F.size("codes")
     prefix = F.slice("codes", 1, n - _needed(n) + 1)
-    firsts = sets.select("key", F.struct("place", n.alias("n"), prefix.alias("prefix")).alias("s")).groupBy("key").agg(F.min("s").alias("s"))
-    posts = firsts.select("key", "s.place", "s.n", F.posexplode("s.prefix").alias("at", "token"))
-    shared = posts.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token")))
-    return cut(shared.where("m > 1").select("token", "key", "place", "n", "at"), "line-prefixes")
+    once = sets.select("key", F.struct(n.alias("n"), prefix.alias("prefix")).alias("s")).groupBy("key").agg(F.first("s").alias("s"))
+    # Only hashes and small numbers are dealt by token; places join what is shared.
+    posts = once.select("key", "s.n", F.posexplode("s.prefix").alias("at", "token"))
+    shared = posts.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("m > 1")
+    placed = shared.select("token", "key", "n", "at").join(firsts.select("key", F.col("first").alias("place")), "key")
+    return cut(placed, "line-prefixes")
 
 
 def _possible(x: str, y: str) -> Column:
@@ -126,18 +136,19 @@ def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     )
 
 
-def earlier_matches(docs: DataFrame, sets_of, posts: DataFrame) -> DataFrame:
-    """``(key)`` of the lines whose first place comes after a different line that matches."""
+def earlier_matches(sets_of: Callable[[Callable[[DataFrame], DataFrame]], DataFrame], posts: DataFrame) -> DataFrame:
+    """``(key)`` of the lines whose first place comes after a different line that matches.
+
+    ``sets_of`` gives the sets of the lines that a function picks.
+    """
     first = posts.groupBy("token").agg(F.min(F.struct("place", "key", "n", "at")).alias("e"))
     star = posts.alias("x").join(first.select("token", "e.*").alias("y"), "token").where(F.col("y.place") < F.col("x.place"))
     possible = star.where(_possible("x", "y")).select(F.col("x.key").alias("key"), F.col("y.key").alias("other"))
     star_pairs = cut(possible.distinct(), "line-star")
 
-    # Whole sets of every line that shares a prefix token.
-    held = posts.select("key", "place").distinct()
-    ids = bounded_broadcast(cut(held.select(F.col("place.d").alias("doc_id")).distinct(), "line-docs"))
-    part = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    whole = cut(sets_of(part).join(held, ["key", "place"]).groupBy("key").agg(F.first("codes").alias("codes")), "line-sets")
+    # Whole sets of the lines that share a prefix token, each from its first place.
+    held = bounded_broadcast(cut(posts.select("key", "place").distinct(), "line-keys"))
+    whole = cut(sets_of(lambda lines: lines.join(held, ["key", "place"], "left_semi")).groupBy("key").agg(F.first("codes").alias("codes")), "line-sets")
 
     found = cut(_verified(star_pairs, whole), "line-found")
     # A line that matched some token's earliest line goes; only the others look further.
@@ -156,14 +167,14 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     ranks = bucket_ranks(texts, min_words)
 
-    def sets_of(part: DataFrame) -> DataFrame:
-        return line_sets(part, ranks, min_words)
+    def sets_of(pick: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        return line_sets(pick(_lines(texts, min_words)), ranks)
 
-    matched = earlier_matches(texts, sets_of, shared_prefixes(sets_of(texts)))
+    firsts = first_places(texts, min_words)
+    matched = earlier_matches(sets_of, shared_prefixes(sets_of(lambda lines: lines), firsts))
     lines = _lines(texts, min_words).select("place", "key")
     # One row per line that occurs twice or matches an earlier one.
-    again = lines.groupBy("key").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
-    marked = again.join(matched.withColumn("gone", F.lit(True)), "key", "left").where("n > 1 or gone")
+    marked = firsts.join(matched.withColumn("gone", F.lit(True)), "key", "left").where("n > 1 or gone")
     going = lines.join(marked, "key").where(F.col("gone") | (F.col("place") > F.col("first")))
     gone = going.groupBy(F.col("place.d").alias("__d")).agg(F.collect_set("place.line").alias("__gone"))
     kept = F.filter(F.split(F.col("text").cast("string"), "\n"), lambda s, i: ~F.array_contains("__gone", i))
