@@ -62,16 +62,36 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     return each.select(F.struct("d", "line").alias("place"), F.xxhash64("w").alias("key"), "w")
 
 
-def _shingles() -> Column:
+def _joined(a: Column, b: Column) -> Column:
+    """A shingle's hash joins its words' hashes: pairs, then pairs of pairs, then the last word."""
+    return F.xxhash64(a, b)
+
+
+def _shingle_words() -> Column:
     """The shingles of ``w`` as structs of words."""
     n = F.greatest(F.size("w") - (SHINGLE - 1), F.lit(1))
     return F.arrays_zip(*[F.slice("w", k + 1, n).alias(f"w{k}") for k in range(SHINGLE)])
 
 
+def _with_shingles(lines: DataFrame) -> DataFrame:
+    """``(place, key, tokens)``: the hashes of each line's shingles, from shifted arrays of word hashes."""
+    def shifted(c: str, by: int) -> Column:
+        return F.slice(c, by + 1, F.size(c))
+
+    # Generators keep arrays from being made anew at every use.
+    words = lines.select("place", "key", F.explode(F.array(F.transform("w", lambda x: F.xxhash64(x)))).alias("h"))
+    twos = words.select("place", "key", "h", F.explode(F.array(F.zip_with("h", shifted("h", 1), _joined))).alias("two"))
+    fours = F.zip_with("two", shifted("two", 2), _joined)
+    n = F.greatest(F.size("h") - (SHINGLE - 1), F.lit(1))
+    return twos.select("place", "key", F.slice(F.zip_with(fours, shifted("h", 4), _joined), 1, n).alias("tokens"))
+
+
 def bucket_ranks(docs: DataFrame, min_words: int) -> str:
     """For each hash bucket its rank by token count, from -2^(bits-1), comma-joined: a fixed number of ranks."""
     size = 1 << COUNT_BITS
-    tokens = _lines(docs, min_words).select(F.explode(_shingles()).alias("s")).select(F.xxhash64("s").alias("t"))
+    h = [F.xxhash64(f"s.w{k}") for k in range(SHINGLE)]
+    t = _joined(_joined(_joined(h[0], h[1]), _joined(h[2], h[3])), h[4])
+    tokens = _lines(docs, min_words).select(F.explode(_shingle_words()).alias("s")).select(t.alias("t"))
     counts = tokens.groupBy(F.col("t").bitwiseAND(size - 1).alias("id")).agg(F.count(F.lit(1)).alias("n"))
     buckets = docs.sparkSession.range(size).join(counts, "id", "left").na.fill(0, ["n"])
     # 2^COUNT_BITS rows, whatever the input.
@@ -90,8 +110,8 @@ def line_sets(lines: DataFrame, ranks: str) -> DataFrame:
         rest = F.shiftrightunsigned(t, COUNT_BITS)
         return F.shiftleft(F.get(table, t.bitwiseAND(low).cast("int")), 64 - COUNT_BITS).bitwiseOR(rest)
 
-    hashes = F.array_distinct(F.transform(_shingles(), lambda s: F.xxhash64(s)))
-    return lines.select("place", "key", F.sort_array(F.transform(hashes, code)).alias("codes"))
+    codes = F.transform(F.array_distinct("tokens"), code)
+    return _with_shingles(lines).select("place", "key", F.sort_array(codes).alias("codes"))
 
 
 def _needed(n: Column) -> Column:
