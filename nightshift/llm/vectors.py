@@ -40,9 +40,8 @@ from nightshift.llm.common import cut
 from nightshift.llm.components import connected_components
 
 THRESHOLD = 0.98
-SHARD_ROWS = 800
-MAX_CENTROIDS = 2_048
-SAMPLE_ROWS = 20_000
+SHARD_ROWS = 300
+MAX_CENTROIDS = 8_192
 BLOCK_ROWS = 1_500
 OVERLAP = 3
 DEGREE = 20
