@@ -27,7 +27,6 @@ from nightshift.schemas import (
 )
 from nightshift.sources import control, extract
 
-LOG = "batch_control_log"
 logger = logging.getLogger("nightshift")
 CONTROL = "batch_control"
 
@@ -68,8 +67,6 @@ def empty_table(spark: SparkSession, table: str, stage_schemas) -> DataFrame:
                  "dw_create_timestamp": "timestamp_ntz", "dw_update_timestamp": "timestamp_ntz",
                  "etl_batch_no": "int", "etl_batch_date": "date"}
         return _empty(spark, [(c, fixed.get(c) or measure_type(c).simpleString()) for c in cols])
-    if table == LOG:
-        return _empty(spark, [(f.name, f.dataType.simpleString()) for f in control.LOG_SCHEMA.fields])
     raise KeyError(table)
 
 
@@ -144,9 +141,10 @@ def run_batch(
     def table(name: str) -> DataFrame:
         return store.read(name) if store.has(name) else empty_table(spark, name, SOURCE_SCHEMAS)
 
-    # The 'R' row is visible at once (as its own table); the committed log
-    # gets the final status together with the batch's tables.
-    log = store.write_snapshot(f"{LOG}_running", control.log_start(table(LOG), cur, run_ts), batch.no)
+    # The 'R' row is visible at once; the final status is added at the end.
+    started = control.log_start(_empty(spark, [(f.name, f.dataType.simpleString()) for f in control.LOG_SCHEMA.fields]),
+                                cur, run_ts)
+    store.write_log(started)
     try:
         # Extract -> landing -> stage, all tables at once.
         def land(t):
@@ -219,16 +217,17 @@ def run_batch(
         }, timings)
 
         # Monthly roll-forward of the daily rows written for this batch.  Only
-        # months from the batch's month on can still change (later batches
-        # have later dates): earlier months are sealed, and the table's
-        # rewritable part stays a month or two of rows.
+        # months from the batch's month on can change: earlier months are
+        # sealed, and the table's rewritable part stays a month or two of rows.
+        # A batch dated before sealed months opens the table as a whole again.
         def monthly_task(name, src):
             def go():
                 daily_rows = store.read_append_upto(src, batch.no, since=batch.date)
-                current = store.read_open(name) if store.has(name) else table(name)
-                new = programs.monthly(name, {name: current, src: daily_rows}, batch)
                 final = F.col("start_of_the_month_date") < F.trunc(batch.date_col, "month")
-                store.write_split(name, new, batch.no, final)
+                back = store.has(name) and not store.read_sealed(name).where(~final).isEmpty()
+                current = table(name) if back or not store.has(name) else store.read_open(name)
+                new = programs.monthly(name, {name: current, src: daily_rows}, batch)
+                store.write_split(name, new, batch.no, final, whole=back)
             return go
 
         _together({name: monthly_task(name, src) for name, (src, _k, _m) in programs.MONTHLY.items()},
@@ -238,14 +237,11 @@ def run_batch(
         for name in programs.MONTHLY:
             published[name] = ("split", batch.no)
 
-        done = control.log_end(log, cur, end_ts or run_ts, LOG_SUCCEEDED)
-        store.write_snapshot(LOG, done, batch.no)
-        published[LOG] = ("snapshot", batch.no)
         store.commit(batch.no, published)
+        store.write_log(control.log_end(started, cur, end_ts or run_ts, LOG_SUCCEEDED))
         logger.info("batch %s (%s) committed", batch.no, batch.date)
     except Exception:
-        failed = control.log_end(log, cur, end_ts or run_ts, LOG_FAILED)
-        store.write_snapshot(f"{LOG}_failed", failed, batch.no)
+        store.write_log(control.log_end(started, cur, end_ts or run_ts, LOG_FAILED))
         store.commit_failure(batch.no)
         logger.exception("batch %s (%s) failed; nothing published", batch.no, batch.date)
         raise

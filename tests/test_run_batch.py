@@ -38,9 +38,6 @@ def test_two_batches(spark, sf, scratch):
                    dt.datetime(2001, 6, 16, 2, 0), f"{scratch}/landing", counts=counts)
     staged_customers = src("customers").where(F.to_date("update_timestamp") >= F.lit(b2.date)).count()
     assert counts["customers"]["updated"] + counts["customers"]["inserted"] == staged_customers
-    # The first batch stays readable as it was.
-    old = Store(spark, f"{scratch}/wh", as_of=b1.no)
-    assert old.read("customers").count() == n_cust
     assert b2.date <= A.BATCH.date and b2.no > b1.no
     cust = store.read("customers")
     assert cust.count() == cust.select("src_customernumber").distinct().count()
@@ -102,8 +99,7 @@ def test_failed_batch_publishes_nothing(spark, sf, scratch):
     except RuntimeError:
         pass
     assert store.manifest() == before
-    failed = spark.read.parquet(f"{scratch}/wh/batch_control_log_failed")
-    assert failed.where("etl_batch_status = 'F'").count() == 1
+    assert [r["etl_batch_status"] for r in store.read("batch_control_log").orderBy("etl_batch_no").collect()] == ["S", "F"]
 
 
 def test_committed_batch_is_not_rerun(spark, sf, scratch):
@@ -190,7 +186,82 @@ def test_split_table_union_and_rerun(spark, scratch):
     store.commit(8, {"t": ("split", 8)})
     assert sorted(tuple(r) for r in store.read("t").collect()) == [
         (dt.date(2001, 5, 1), 1, 1), (dt.date(2001, 6, 1), 1, 5), (dt.date(2001, 7, 1), 1, 1)]
-    # The store as of batch 7 still reads the old version.
-    old = Store(spark, f"{scratch}/wh", as_of=7)
-    assert sorted(tuple(r) for r in old.read("t").collect()) == [
-        (dt.date(2001, 5, 1), 1, 1), (dt.date(2001, 6, 1), 1, 2)]
+    # A batch that failed after writing leaves nothing in the next one.
+    store.write_split("t", rows, 9, final)
+    store.commit_failure(9)
+    store.write_split("t", nxt, 10, F.col("m") < F.lit(dt.date(2001, 7, 1)))
+    store.commit(10, {"t": ("split", 10)})
+    assert store.read("t").where("m = '2001-05-01'").count() == 1
+    assert store.read("t").where("m = '2001-06-01'").count() == 2  # sealed by 8 and by 10
+    # Written as a whole, the table is just that.
+    store.write_split("t", nxt, 11, F.col("m") < F.lit(dt.date(2001, 7, 1)), whole=True)
+    store.commit(11, {"t": ("split", 11)})
+    assert store.read("t").count() == 2
+
+
+def _batch(spark, no, day):
+    return spark.createDataFrame([(no, day)], "etl_batch_no int, etl_batch_date date")
+
+
+def test_failure_after_the_facts_leaves_no_rows(spark, sf, scratch, monkeypatch):
+    """A batch that fails late: none of its rows is in any table of the next one."""
+    from nightshift.plans import programs
+
+    store = Store(spark, f"{scratch}/wh")
+    src = lambda t: A.source(spark, sf, t)
+    run_batch(spark, store, src, _batch(spark, 1, dt.date(2001, 5, 10)), dt.datetime(2001, 5, 11), f"{scratch}/landing")
+    seen = []
+
+    def broken(name, *args):
+        # The log shows the running batch while it runs.
+        seen.append([r["etl_batch_status"] for r in store.read("batch_control_log").orderBy("etl_batch_no").collect()])
+        raise RuntimeError("no months today")
+
+    with monkeypatch.context() as m:
+        m.setattr(programs, "monthly", broken)
+        try:
+            run_batch(spark, store, src, _batch(spark, 2, dt.date(2001, 6, 10)), dt.datetime(2001, 6, 11), f"{scratch}/landing")
+            raise AssertionError("expected failure")
+        except RuntimeError:
+            pass
+    assert seen[0] == ["S", "R"]
+    run_batch(spark, store, src, _batch(spark, 3, dt.date(2001, 6, 20)), dt.datetime(2001, 6, 21), f"{scratch}/landing")
+    for t in store.manifest():
+        cols = [c for c in store.read(t).columns if c.endswith("etl_batch_no")]
+        for c in cols:
+            assert 2 not in {r[0] for r in store.read(t).select(c).distinct().collect()}, (t, c)
+    assert {r[0] for r in store.read("daily_customer_summary").select("etl_batch_no").distinct().collect()} == {1, 3}
+    assert [r["etl_batch_status"] for r in store.read("batch_control_log").orderBy("etl_batch_no").collect()] == ["S", "F", "S"]
+
+
+def test_dates_that_go_back_update_sealed_months(spark, sf, scratch):
+    store = Store(spark, f"{scratch}/wh")
+    src = lambda t: A.source(spark, sf, t)
+    for no, day in ((1, dt.date(2001, 5, 10)), (2, dt.date(2001, 6, 10)), (3, dt.date(2001, 5, 20))):
+        run_batch(spark, store, src, _batch(spark, no, day), dt.datetime(2001, 7, no), f"{scratch}/landing{no}")
+    for name, key in (("monthly_customer_summary", "dw_customer_id"), ("monthly_product_summary", "dw_product_id")):
+        m = store.read(name)
+        assert m.count() == m.select("start_of_the_month_date", key).distinct().count() > 0
+    # The sealed month took the late rows of batch 3.
+    m = store.read("monthly_customer_summary")
+    assert m.where("start_of_the_month_date = '2001-05-01' AND etl_batch_no = 3").count() > 0
+
+
+def test_first_batch_without_events(spark, sf, scratch):
+    store = Store(spark, f"{scratch}/wh")
+    src = lambda t: A.source(spark, sf, t)
+    run_batch(spark, store, src, _batch(spark, 1, dt.date(2030, 1, 1)), dt.datetime(2030, 1, 2), f"{scratch}/landing")
+    assert {t: store.read(t).count() for t in store.manifest()} == {t: 0 for t in store.manifest()}
+    run_batch(spark, store, src, _batch(spark, 2, dt.date(2030, 1, 2)), dt.datetime(2030, 1, 3), f"{scratch}/landing")
+
+
+def test_rows_of_another_batch_are_refused(spark, scratch):
+    store = Store(spark, f"{scratch}/wh")
+    rows = spark.createDataFrame([(dt.date(2001, 6, 20), 1, 5), (dt.date(2001, 6, 20), 2, 4)],
+                                 "summary_date date, dw_customer_id bigint, etl_batch_no int")
+    try:
+        store.write_append("daily_x", rows, 5)
+    except Exception as e:
+        assert "another batch" in str(e)
+    else:
+        raise AssertionError("expected refusal")
