@@ -41,8 +41,10 @@ from nightshift.llm.common import cut, text_of
 from nightshift.llm.features import features_udf
 
 MAX_LABELLED = 12_000
-STEPS = 60
+STEPS = 40
 TOLERANCE = 1e-3
+#: Relative gain of a step under which the fit counts as settled.
+STALLED = 1e-3
 
 
 def quality_domains(labels: DataFrame) -> DataFrame:
@@ -97,14 +99,17 @@ def _posterior(k: int) -> Column:
 
 
 def _rate(history: list[np.ndarray], max_rate: float | None) -> Column:
-    """The rate after all steps of ``history``."""
+    """The rate after all steps of ``history``, folded over them as data: every step runs the same code."""
+    if not history:
+        return F.lit(1.0)
+    steps = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in history])
 
-    def step(rate: Column, g: np.ndarray) -> Column:
-        moved = rate - sum((_posterior(k) * float(x) for k, x in enumerate(g)), F.lit(0.0))
+    def step(rate: Column, g: Column) -> Column:
+        moved = rate - reduce(lambda a, b: a + b, [_posterior(k) * g[k] for k in range(len(history[0]))])
         kept = F.greatest(F.lit(0.0), moved)
         return kept if max_rate is None else F.least(F.lit(float(max_rate)), kept)
 
-    return reduce(step, history, F.lit(1.0))
+    return F.aggregate(steps, F.lit(1.0), step)
 
 
 def solve_rates(rows: DataFrame, targets: np.ndarray, max_rate: float | None = None, steps: int = STEPS, tolerance: float = TOLERANCE) -> list[np.ndarray]:
@@ -125,7 +130,8 @@ def solve_rates(rows: DataFrame, targets: np.ndarray, max_rate: float | None = N
         ).first()
         left = np.array([got[f"t_{k}"] or 0.0 for k in many]) - targets
         loss = float((weight * left * left).sum())
-        if np.abs(left).max() <= tolerance * scale or loss >= before * (1 - 1e-6):
+        # Done, or as near as the bounds allow.
+        if np.abs(left).max() <= tolerance * scale or loss >= before * (1 - STALLED):
             break
         before = loss
         history.append(step * weight * left)
