@@ -1,17 +1,16 @@
 """Join helpers: size-checked broadcast, lookups and anti joins.
 
-Broadcasting is only ever decided behind a bounded row count: the side is
-counted up to ``limit + 1`` rows (a job that stops early on large inputs)
-and is broadcast only when it fits.  The row limit comes from a byte budget
-divided by the schema's estimated row width (so a wide stage table gets a
-lower limit than a two-column key set), capped by a row maximum.  Beyond
-the bound the ordinary shuffle join (with AQE's runtime re-planning and skew
-splitting) is used.
+Broadcasting is only ever decided behind a measured size: one aggregate over
+the side gives its row count and the bytes of its texts and other columns of
+variable width, to which the fixed columns' widths are added.  The side is
+broadcast only when both the rows and the bytes are within their limits.
+Beyond them the ordinary shuffle join (with AQE's runtime re-planning and
+skew splitting) is used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,46 +19,35 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 CONF_ROWS = "spark.nightshift.broadcastMaxRows"
 CONF_BYTES = "spark.nightshift.broadcastMaxBytes"
 
+# A row in memory: a header, then eight bytes per column (decimals up to 16).
+ROW_HEADER = 16
+FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType)
 
-def _width(t: T.DataType) -> int:
-    """Spark's default size estimate per type (strings count 20 bytes)."""
-    if isinstance(t, (T.ByteType, T.BooleanType)):
-        return 1
-    if isinstance(t, T.ShortType):
-        return 2
-    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(t, T.DecimalType):
-        return 8 if t.precision <= 18 else 16
-    if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-        return 8
-    if isinstance(t, T.StringType):
-        return 20
-    if isinstance(t, T.StructType):
-        return sum(_width(f.dataType) for f in t.fields)
-    return 100
 
+def _size_columns(df: DataFrame) -> list[Column]:
+    """Aggregates for the row count and the bytes of ``df`` in memory."""
+    fields = df.schema.fields
+    fixed = ROW_HEADER + sum(16 if isinstance(f.dataType, T.DecimalType) else 8 for f in fields)
+    wide = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)).cast("bigint")
+            for f in fields if not isinstance(f.dataType, FIXED)]
+    each = sum(wide, F.lit(fixed).cast("bigint"))
+    return [F.count(F.lit(1)).alias("__rows"), F.coalesce(F.sum(each), F.lit(0)).alias("__bytes")]
 
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row (type sizes + row header)."""
-    return 16 + sum(_width(f.dataType) for f in df.schema.fields)
 
-
-def broadcast_limit(df: DataFrame) -> int:
+def _within(df: DataFrame, rows: int, size: int, max_rows: int | None = None) -> bool:
     conf = df.sparkSession.conf
-    rows = int(conf.get(CONF_ROWS, None) or DEFAULT_BROADCAST_ROWS)
-    budget = int(conf.get(CONF_BYTES, None) or DEFAULT_BROADCAST_BYTES)
-    return max(1, min(rows, budget // row_width(df)))
+    row_limit = int(conf.get(CONF_ROWS, None) or DEFAULT_BROADCAST_ROWS) if max_rows is None else max_rows
+    return rows <= row_limit and size <= int(conf.get(CONF_BYTES, None) or DEFAULT_BROADCAST_BYTES)
 
 
 def fits(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded count)."""
-    bound = broadcast_limit(df) if max_rows is None else max_rows
-    return df.limit(bound + 1).count() <= bound
+    """True when ``df`` is measured to be within the limits for a broadcast."""
+    got = df.agg(*_size_columns(df)).first()
+    return _within(df, got["__rows"], got["__bytes"], max_rows)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if its row count is within the bound, else ``df``."""
+    """``broadcast(df)`` if its measured size is within the limits, else ``df``."""
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
@@ -105,18 +93,17 @@ def new_keys(rows: DataFrame, existing: DataFrame, keys: list[str], existing_key
 def join_small_side(big: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``big`` joined with a usually-small ``small`` side on ``key``.
 
-    One aggregate over ``small`` gives its row count and key range.  The
+    One aggregate over ``small`` gives its size and key range.  The
     range becomes a plain ``key BETWEEN lo AND hi`` filter on ``big``, which
     Parquet turns into row-group skipping when ``big`` is clustered on the
-    key (tables written in id order are); the count decides the broadcast.
+    key (tables written in id order are); the size decides the broadcast.
     Both are exact: rows of ``big`` outside the range cannot match.
     """
-    stats = small.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"),
-                      F.max(key).alias("hi")).first()
-    n, lo, hi = stats["n"], stats["lo"], stats["hi"]
+    stats = small.agg(*_size_columns(small), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    lo, hi = stats["lo"], stats["hi"]
     if lo is None:
         big = big.where(F.lit(False))
     else:
         big = big.where(F.col(key).between(F.lit(lo), F.lit(hi)))
-    side = F.broadcast(small) if n <= broadcast_limit(small) else small
+    side = F.broadcast(small) if _within(small, stats["__rows"], stats["__bytes"]) else small
     return big.join(side, key, how)

@@ -421,11 +421,11 @@ from nightshift.sources.fixture_sql import END_TS  # noqa: E402
 
 def _control_ctes() -> list[tuple[str, str]]:
     bc = f"""SELECT CAST(d - {EPOCH} + 1 AS INTEGER) AS etl_batch_no, d AS etl_batch_date
-  FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) x WHERE d <= {BDATE}"""
+  FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) x"""
     log0 = f"""SELECT etl_batch_no, etl_batch_date, 'S' AS etl_batch_status,
     CAST(etl_batch_date + 1 AS TIMESTAMP) + INTERVAL 2 HOUR AS etl_batch_start_time,
     CAST(etl_batch_date + 1 AS TIMESTAMP) + INTERVAL 3 HOUR AS etl_batch_end_time
-  FROM bc WHERE etl_batch_date < {BDATE}"""
+  FROM bc WHERE etl_batch_date < (SELECT MAX(etl_batch_date) FROM bc)"""
     cur = "SELECT etl_batch_no, etl_batch_date FROM bc ORDER BY etl_batch_no DESC LIMIT 1"
     log1 = f"""SELECT * FROM log0 UNION ALL
   SELECT etl_batch_no, etl_batch_date, 'R', {RUN_TS}, CAST(NULL AS TIMESTAMP) FROM cur"""

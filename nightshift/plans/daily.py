@@ -161,17 +161,26 @@ def first_payment(payments: DataFrame, customers: DataFrame | None = None) -> Da
     return p.groupBy(CUSTOMER_KEY).agg(F.min(day("paymentdate")).alias("first_payment_date"))
 
 
+def paid_days(pay: DataFrame, first: DataFrame) -> DataFrame:
+    """``(summary_date, customer, amount, first)``, one row per customer and day.
+
+    Payments are summed per day first and the first day joined after: whether
+    a day is the first depends on the day alone.  So a customer with many
+    payments is reduced map-side and reaches the join with a row per day.
+    """
+    days = pay.groupBy(day("paymentdate").alias("summary_date"), CUSTOMER_KEY).agg(F.sum("amount").alias("amount"))
+    return days.join(first, CUSTOMER_KEY).select(
+        "summary_date", CUSTOMER_KEY, "amount",
+        flag(F.col("summary_date") == F.col("first_payment_date")).alias("first"),
+    )
+
+
 def customer_paid(wh, batch: Batch) -> DataFrame:
     """Branch 5: payments by day, with the first-payment flag."""
     pay = wh["payments"].where(
         on_or_after("paymentdate", batch.date) & F.col("paymentdate").isNotNull()
     )
-    first = first_payment(wh["payments"], pay.select(CUSTOMER_KEY).distinct())
-    d = day("paymentdate")
-    g = pay.join(first, CUSTOMER_KEY).groupBy(d.alias("summary_date"), CUSTOMER_KEY).agg(
-        F.sum("amount").alias("amount"),
-        F.max(flag(d == F.col("first_payment_date"))).alias("first"),
-    )
+    g = paid_days(pay, first_payment(wh["payments"], pay.select(CUSTOMER_KEY).distinct()))
     return g.select(*_cm(
         {
             "payment_apd": F.lit(1),
@@ -292,15 +301,14 @@ def daily_customer_summary(wh, batch: Batch) -> DataFrame:
     pay = wh["payments"].where(
         on_or_after("paymentdate", batch.date) & F.col("paymentdate").isNotNull()
     )
-    first = first_payment(wh["payments"], pay.select(CUSTOMER_KEY).distinct())
-    pd_ = day("paymentdate")
-    pay_rows = pay.join(first, CUSTOMER_KEY).select(*_cm(
+    paid = paid_days(pay, first_payment(wh["payments"], pay.select(CUSTOMER_KEY).distinct()))
+    pay_rows = paid.select(*_cm(
         {
             "payment_apd": F.lit(1),
             "payment_amount": F.col("amount"),
-            "new_customer_paid_apd": flag(pd_ == F.col("first_payment_date")),
+            "new_customer_paid_apd": F.col("first"),
         },
-        pd_, F.col(CUSTOMER_KEY),
+        F.col("summary_date"), F.col(CUSTOMER_KEY),
     ))
     rows = order_rows.unionByName(new_rows).unionByName(pay_rows)
     return _finish(rows, CUSTOMER_KEY, DAILY_CUSTOMER_MEASURES, batch)

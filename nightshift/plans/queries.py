@@ -415,7 +415,9 @@ def q_agg_max_flag(spark, sf):
 def q_agg_conditional_max(spark, sf):
     """MAX(CASE WHEN day = first day THEN 1 ELSE 0 END) per customer-day."""
     pay = A.current(spark, sf, "payments")
-    j = pay.join(daily.first_payment(pay), "dw_customer_id")
+    # The flag depends on the day alone: days are made distinct before the join.
+    days = pay.groupBy("paymentdate", "dw_customer_id").agg(F.count(F.lit(1)).alias("n"))
+    j = days.join(daily.first_payment(pay), "dw_customer_id")
     return j.groupBy("paymentdate", "dw_customer_id").agg(
         F.max(F.when(day("paymentdate") == F.col("first_payment_date"), 1).otherwise(0))
         .alias("new_customer_paid_apd")

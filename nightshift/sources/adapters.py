@@ -238,7 +238,7 @@ def source_orderdetails(spark, sf):
 
 
 def source_payments(spark, sf):
-    o = read(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
+    o = read(spark, sf, "orders")
     k = F.col("o_orderkey")
     paid = F.date_add(F.col("o_orderdate").cast("date"), (k % 11).cast("int"))
     return o.select(
@@ -545,13 +545,10 @@ def stage(spark: SparkSession, sf: str, table: str) -> DataFrame:
 
 
 def batch_control(spark: SparkSession, sf: str, upto: dt.date | None = None) -> DataFrame:
-    """One batch per order day up to ``upto`` (default: the scenario's batch date)."""
-    days = (
-        read(spark, sf, "orders")
-        .select(F.col("o_orderdate").cast("date").alias("etl_batch_date"))
-        .where(F.col("etl_batch_date") <= F.lit(upto or BATCH.date))
-        .distinct()
-    )
+    """One batch per order day; ``upto`` gives the table as it was on that day."""
+    days = read(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("etl_batch_date")).distinct()
+    if upto is not None:
+        days = days.where(F.col("etl_batch_date") <= F.lit(upto))
     return days.select(
         (F.datediff("etl_batch_date", F.lit(EPOCH)) + 1).cast("int").alias("etl_batch_no"),
         "etl_batch_date",
@@ -559,8 +556,10 @@ def batch_control(spark: SparkSession, sf: str, upto: dt.date | None = None) ->
 
 
 def previous_log(spark: SparkSession, sf: str) -> DataFrame:
-    """The log after earlier batches: every earlier batch ran and succeeded."""
-    bc = batch_control(spark, sf).where(F.col("etl_batch_date") < F.lit(BATCH.date))
+    """The log before the last batch: every earlier batch ran and succeeded."""
+    bc = batch_control(spark, sf)
+    last = bc.agg(F.max("etl_batch_date")).first()[0]
+    bc = bc.where(F.col("etl_batch_date") < F.lit(last))
     nxt = F.date_add("etl_batch_date", 1)
     return bc.select(
         "etl_batch_no",

@@ -125,7 +125,7 @@ SRC = {
                'CHK' || CAST(o_orderkey AS VARCHAR) AS checknumber,
                CAST(o_orderdate AS DATE) + CAST(o_orderkey % 11 AS INTEGER) AS paymentdate,
                CAST(o_totalprice AS {M}) AS amount
-        FROM orders WHERE o_orderstatus = 'F') p""",
+        FROM orders) p""",
 }
 
 CHANGED = f"CAST(update_timestamp AS DATE) >= {BDATE}"

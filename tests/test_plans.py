@@ -61,3 +61,31 @@ def test_no_count_distinct_expand_in_one_pass_daily(stored):
     assert "Expand" not in text
     ref = plan(daily.daily_customer_summary_by_branches(stored, A.BATCH))
     assert "Expand" in ref  # the branch form needs it for two COUNT DISTINCTs
+
+
+def test_broadcast_is_bounded_by_measured_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from nightshift.operators.joins import fits
+
+    wide = spark.range(200_000).withColumn("text", F.repeat(F.lit("x"), 2_000))
+    assert not fits(wide)  # 400 MB of text in few rows
+    assert fits(wide.select("id"))
+    assert not fits(wide.select("id"), max_rows=1_000)
+
+
+def test_hot_customer_is_reduced_before_the_first_payment_join(spark, stored):
+    """On the shuffle path a (date, customer) exchange above a partial aggregate feeds the join."""
+    spark.conf.set("spark.nightshift.broadcastMaxRows", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pay = stored["payments"]
+        text = plan(daily.paid_days(pay, daily.first_payment(pay)))
+    finally:
+        spark.conf.unset("spark.nightshift.broadcastMaxRows")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tree = text.split("(1) Scan")[0]
+    join = next(i for i, x in enumerate(tree.split("\n")) if "SortMergeJoin" in x)
+    below = tree.split("\n")[join + 1 :]
+    assert sum("HashAggregate" in x for x in below) >= 4  # partial and final, days and first days
+    assert not any("HashAggregate" in x for x in tree.split("\n")[:join])
