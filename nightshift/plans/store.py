@@ -22,7 +22,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from nightshift.session import materialize
 from nightshift.sources.control import LOG_SCHEMA
@@ -71,14 +70,14 @@ class Store:
     def _if_present(self, path: str, schema: T.StructType) -> DataFrame | None:
         """Parquet under ``path``, or None where nothing has been written.
 
-        Any other failure must not be mistaken for an empty warehouse.
+        Asked of the file system: a failure to read must not be mistaken for
+        an empty warehouse.
         """
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        if not place.getFileSystem(conf).exists(place):
             return None
+        return self.spark.read.schema(schema).parquet(path)
 
     def committed_batch(self) -> int | None:
         """Number of the newest committed batch (None before the first)."""

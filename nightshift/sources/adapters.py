@@ -267,6 +267,21 @@ def source(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return SOURCES[table](spark, sf)
 
 
+def source_before(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """The source table as it was before the scenario's batch.
+
+    Rows created since are absent; rows updated since stand as created, with
+    the tracked value (credit limit, list price) they had then.
+    """
+    changed = F.to_date("update_timestamp") >= F.lit(BATCH.date)
+    df = source(spark, sf, table).where(F.to_date("create_timestamp") < F.lit(BATCH.date))
+    tracked = {"customers": "creditlimit", "products": "msrp"}.get(table)
+    if tracked:
+        kind = df.schema[tracked].dataType
+        df = df.withColumn(tracked, F.when(changed, F.col(tracked) - 100).otherwise(F.col(tracked)).cast(kind))
+    return df.withColumn("update_timestamp", F.when(changed, F.col("create_timestamp")).otherwise(F.col("update_timestamp")))
+
+
 # --- warehouse before the batch -------------------------------------------
 
 def _prev_audit(changed: Column) -> list[Column]:
