@@ -32,6 +32,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -40,7 +42,9 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 WORD = re.compile(r" *[^ \n]+| +|\n")
-BLOCK_CHARS = 1_500_000
+BLOCK_CHARS = 300_000
+#: Bytes of text after which a result is handed back to Spark.
+RESULT_BYTES = 2_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SIEVE_BITS = 18
 SIEVE_SHIFT = np.uint64(64 - SIEVE_BITS)
@@ -306,6 +310,32 @@ def decode(df: DataFrame, ids: Column, model: str = MODEL) -> DataFrame:
 
 
 def piece_digest(docs: DataFrame, model: str = MODEL, alpha: float = 1.0, seed: int = 0) -> DataFrame:
-    """``(doc_id, ids, n_ids, lossless)`` per row of ``docs``."""
-    coded = encode(docs.select("doc_id", "text"), F.col("doc_id"), F.col("text"), model, alpha, seed)
-    return coded.select("doc_id", "pieces.ids", F.size("pieces.ids").cast("long").alias("n_ids"), "pieces.lossless")
+    """``(doc_id, ids, n_ids, lossless)`` per row of ``docs``.
+
+    Results leave the worker in small parts, however many rows or bytes Spark
+    hands over at once.
+    """
+    vocabulary = Vocabulary.load(model)
+
+    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler = Sampler(vocabulary, alpha, seed)
+        for batch in batches:
+            size = np.cumsum([0, *pc.fill_null(pc.binary_length(batch.column(2)), 0).to_pylist()])
+            at = 0
+            while at < batch.num_rows:
+                end = max(at + 1, int(np.searchsorted(size, size[at] + RESULT_BYTES, side="right")) - 1)
+                part = batch.slice(at, end - at)
+                texts = [t or "" for t in part.column(2).to_pylist()]
+                keys = ["" if k is None else f"={k}" for k in part.column(1).to_pylist()]
+                ids = sampler.encode(keys, texts)
+                same = [decode_ids(x.tolist(), sampler.table) == t for x, t in zip(ids, texts)]
+                counts = [len(x) for x in ids]
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), lists, pa.array(counts, pa.int64()), pa.array(same, pa.bool_())], ["doc_id", "ids", "n_ids", "lossless"]
+                )
+                at = end
+
+    rows = docs.select("doc_id", F.col("doc_id").cast("string").alias("key"), F.col("text").cast("string").alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(segment, f"doc_id {kind}, ids array<int>, n_ids bigint, lossless boolean")
