@@ -274,7 +274,12 @@ def history_ctes(name: str) -> list[tuple[str, str]]:
     src_create_timestamp AS dw_create_timestamp, src_create_timestamp AS dw_update_timestamp,
     {PNO} AS create_etl_batch_no, CAST(src_create_timestamp AS DATE) AS create_etl_batch_date,
     CAST(NULL AS INTEGER) AS update_etl_batch_no, CAST(NULL AS DATE) AS update_etl_batch_date
-  FROM prev_{dim}"""
+  FROM prev_{dim}
+  UNION ALL
+  SELECT {i}, CAST({v} - 25 AS DECIMAL(12,2)), CAST(src_create_timestamp AS DATE) - 30,
+    CAST(src_create_timestamp AS DATE) - 1, 0, src_create_timestamp, src_create_timestamp,
+    {PNO}, CAST(src_create_timestamp AS DATE) - 30, {PNO}, CAST(src_create_timestamp AS DATE)
+  FROM prev_{dim} WHERE {i} % 4 = 0"""
     close_ids = f"""SELECT DISTINCT a.{i} FROM cur_{dim} a JOIN h_{name} b ON a.{i} = b.{i}
   WHERE b.dw_active_record_ind = 1 AND a.{v} IS DISTINCT FROM b.{v}"""
     c = f"(h.dw_active_record_ind = 1 AND h.{i} IN (SELECT {i} FROM x_{name}))"

@@ -107,6 +107,9 @@ def source_customers(spark, sf):
     )
 
 
+UNKNOWN_OFFICE = "999"
+
+
 def source_employees(spark, sf):
     s = read(spark, sf, "supplier")
     k = F.col("s_suppkey")
@@ -116,8 +119,9 @@ def source_employees(spark, sf):
         F.concat(F.lit("E"), _s(k)).alias("firstname"),
         F.concat(F.lit("x"), _s(k + 100)).alias("extension"),
         F.concat(F.lit("e"), _s(k), F.lit("@example.com")).alias("email"),
-        _s("s_nationkey").alias("officecode"),
-        F.when(k == 0, F.lit(None).cast("bigint")).otherwise(F.floor(k / 10).cast("bigint"))
+        # Every third office is unknown, every fourth employee has no manager.
+        F.when(k % 3 == 1, F.lit(UNKNOWN_OFFICE)).otherwise(_s("s_nationkey")).alias("officecode"),
+        F.when((k == 0) | (k % 4 == 2), F.lit(None).cast("bigint")).otherwise(F.floor(k / 10).cast("bigint"))
         .alias("reportsto"),
         F.when(k < 10, F.lit("Sales Manager")).otherwise(F.lit("Sales Rep")).alias("jobtitle"),
         _at(_d(created_day(k, EMPLOYEE_DAYS)), 9).alias("create_timestamp"),
@@ -586,25 +590,36 @@ def previous_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def previous_history(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """History before the batch: one active version per known dimension row."""
+    """History before the batch: an active version per known dimension row,
+    and for every fourth one a closed version before it."""
     from nightshift.schemas import SCD2_SPECS
 
     spec = SCD2_SPECS[name]
     dim = previous(spark, sf, spec.dim)
     since = F.col("src_create_timestamp").cast("date")
-    return dim.select(
-        spec.id_col,
-        spec.tracked,
-        since.alias("effective_from_date"),
-        F.lit(None).cast("date").alias("effective_to_date"),
-        F.lit(1).alias("dw_active_record_ind"),
-        F.col("src_create_timestamp").alias("dw_create_timestamp"),
-        F.col("src_create_timestamp").alias("dw_update_timestamp"),
-        PREV_BATCH.no_col.alias("create_etl_batch_no"),
-        since.alias("create_etl_batch_date"),
-        F.lit(None).cast("int").alias("update_etl_batch_no"),
-        F.lit(None).cast("date").alias("update_etl_batch_date"),
-    )
+
+    def version(rows, value, begin, end, active, update_no, update_date):
+        return rows.select(
+            spec.id_col,
+            value.alias(spec.tracked),
+            begin.alias("effective_from_date"),
+            end.cast("date").alias("effective_to_date"),
+            F.lit(active).alias("dw_active_record_ind"),
+            F.col("src_create_timestamp").alias("dw_create_timestamp"),
+            F.col("src_create_timestamp").alias("dw_update_timestamp"),
+            PREV_BATCH.no_col.alias("create_etl_batch_no"),
+            begin.alias("create_etl_batch_date"),
+            update_no.cast("int").alias("update_etl_batch_no"),
+            update_date.cast("date").alias("update_etl_batch_date"),
+        )
+
+    none = F.lit(None)
+    tracked = F.col(spec.tracked)
+    older = (tracked - 25).cast(dim.schema[spec.tracked].dataType)
+    active = version(dim, tracked, since, none, 1, none, none)
+    closed = version(dim.where(F.col(spec.id_col) % 4 == 0), older, F.date_sub(since, 30),
+                     F.date_sub(since, 1), 0, PREV_BATCH.no_col, since)
+    return active.unionByName(closed)
 
 
 def _restamp(df: DataFrame) -> DataFrame:

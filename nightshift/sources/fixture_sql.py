@@ -60,8 +60,8 @@ SRC = {
     'E' || CAST(s_suppkey AS VARCHAR) AS firstname,
     'x' || CAST(s_suppkey + 100 AS VARCHAR) AS extension,
     'e' || CAST(s_suppkey AS VARCHAR) || '@example.com' AS email,
-    CAST(s_nationkey AS VARCHAR) AS officecode,
-    CASE WHEN s_suppkey = 0 THEN NULL ELSE s_suppkey // 10 END AS reportsto,
+    CASE WHEN s_suppkey % 3 = 1 THEN '{A.UNKNOWN_OFFICE}' ELSE CAST(s_nationkey AS VARCHAR) END AS officecode,
+    CASE WHEN s_suppkey = 0 OR s_suppkey % 4 = 2 THEN NULL ELSE s_suppkey // 10 END AS reportsto,
     CASE WHEN s_suppkey < 10 THEN 'Sales Manager' ELSE 'Sales Rep' END AS jobtitle,
     {at(d(cday('s_suppkey', A.EMPLOYEE_DAYS)), 9)} AS create_timestamp,
     {at(d(uday('s_suppkey', A.EMPLOYEE_DAYS)), 17)} AS update_timestamp
