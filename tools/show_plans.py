@@ -53,24 +53,31 @@ def main() -> None:
     store = Store(spark, f"{root}/wh")
     ctl = A.batch_control(spark, sf)
     first = ctl.agg(F.min("etl_batch_date")).first()[0]
-    for upto, ts in ((first, dt.datetime(1995, 1, 2, 1)), (A.BATCH.date, A.BATCH.run_ts)):
-        batch = run_batch(spark, store, lambda t: A.source(spark, sf, t),
+    before = {}
+    for upto, ts, source in ((first, dt.datetime(1995, 1, 2, 1), A.source_before), (A.BATCH.date, A.BATCH.run_ts, A.source)):
+        before = {t: store.read(t) for t in store.manifest()}
+        batch = run_batch(spark, store, lambda t, f=source: f(spark, sf, t),
                           ctl.where(F.col("etl_batch_date") <= F.lit(upto)), ts, f"{root}/landing")
     wh = {t: store.read(t) for t in store.manifest()}
     stage = {t: extract.stage_load(spark, t, extract.landing_path(spark, t, batch.date, root=f"{root}/landing"))
              for t in ("customers", "orderdetails")}
+
+    def old(table):
+        """The warehouse with ``table`` as it was before the batch."""
+        return {**wh, table: before[table]}
+
     progs = {
         "daily_customer_summary (nightly cutoff)": lambda: daily.daily_customer_summary(wh, batch),
         "daily_product_summary (nightly cutoff)": lambda: daily.daily_product_summary(wh, batch),
-        "upsert_customers (surrogate ids, no lookups)": lambda: programs.upsert("customers", wh, stage["customers"], batch),
-        "upsert_orderdetails (two required lookups)": lambda: programs.upsert("orderdetails", wh, stage["orderdetails"], batch),
-        "scd2_customer_history": lambda: programs.history("customer_history", wh, batch),
-        "monthly_customer_summary": lambda: programs.monthly("monthly_customer_summary", wh, batch),
+        "upsert_customers (surrogate ids, no lookups)": lambda: programs.upsert("customers", old("customers"), stage["customers"], batch),
+        "upsert_orderdetails (two required lookups)": lambda: programs.upsert("orderdetails", old("orderdetails"), stage["orderdetails"], batch),
+        "scd2_customer_history": lambda: programs.history("customer_history", old("customer_history"), batch),
+        "monthly_customer_summary": lambda: programs.monthly("monthly_customer_summary", old("monthly_customer_summary"), batch),
     }
     print(f"# Physical plans of the programs\n\nGenerated by `tools/show_plans.py` on {sf} "
-          f"(stored warehouse tables after a first load and the {batch.date} batch, local[*]).\n"
+          f"(stored warehouse tables before and after the {batch.date} batch, local[*]).\n"
           "AQE may still re-plan shuffles at run time; broadcasts shown here were chosen "
-          "behind the bounded row count of `operators/joins.fits`.\n")
+          "behind the measured size of `operators/joins.fits`.\n")
     for name, fn in progs.items():
         print(f"## {name}\n\n```\n{compact(fn())}\n```\n")
 
