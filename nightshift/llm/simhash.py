@@ -147,8 +147,9 @@ def simhash_digest(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
 def keep_first_of_group(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
     """One document of each group stays: the one with the smallest doc_id.
 
-    Rows with a null doc_id can't be chosen as a group's first and stay only
-    when their fingerprint belongs to no other row.
+    Rows with a null doc_id can't be a group's first among rows with ids, nor
+    be told apart: they all stay if one of them has no such row in its group,
+    else none does.
     """
     found = simhash_components(docs, shingle, max_bits)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
