@@ -29,8 +29,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Good documents stay whole and set the total; nothing is repeated."""
-    return mix(docs, quality_domains(table(spark, sf_dir, "labels")), MIX, max_rate=1.0, anchor="good")
+    """Good documents set the total, nothing is repeated; the toxicity stage has removed the toxic ones, so they have no target."""
+    return mix(docs, quality_domains(table(spark, sf_dir, "labels")), MIX, max_rate=1.0, anchor="good", left_out=("toxic",))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,17 +3,24 @@
 A classifier learned from a labelled table gives every document a posterior
 over domains (multinomial logistic regression on the dense features of its
 whole text).  The mixture's decision is a rate per document, the expected
-number of its copies: nonnegative rates whose expected domain token totals
-``T_k = sum_d rate_d * tokens_d * p_dk`` match the targets in the least-squares
-sense, found by projected gradient from rate 1.
-
-A step needs only the K totals: with gradients g_k (residuals times step
-and weight) every rate moves by ``-sum_k p_dk g_k`` and is cut at 0 (and at
-``max_rate``).  The history of gradients, K numbers a step, therefore
-determines all rates; each step is one aggregation over narrow rows and
-carries no state between jobs.  Residuals are weighted by the inverse
-curvature of their domain, and the step is one over the largest eigenvalue
-of the K x K Gram matrix in that weighting.
+number of its copies: rates in ``[0, max_rate]`` whose expected domain token
+totals ``T_k = sum_d rate_d * tokens_d * p_dk`` match the targets in the
+least-squares sense (each domain weighted by its inverse curvature), and of
+those the nearest to rate 1 (by tokens).
+
+That problem has K dual numbers l_k, and every rate follows from them alone:
+``1 - sum_k p_dk l_k``, cut at 0 and ``max_rate``.  They are found by Newton's
+method on the concave dual: one aggregation over narrow rows gives the K
+totals and the K x K Gram matrix of the rates that aren't cut, a second one
+tries shorter steps where the full step doesn't gain.  ``SOFT`` weighs the
+distance from rate 1 against the misses; it is lowered in steps, so it
+leaves next to nothing of targets that can be reached.  The fit ends when the
+dual's gradient vanishes, never because a step gains little; a fit that does
+not get there raises.  Then a target that is still missed is out of reach of
+any rates (together with the others): ``missed_<domain>`` tells by how much,
+as a share of its target, and a warning is logged.  Domains in ``left_out``
+(an earlier stage removed them) have no target: their total is free and the
+other targets are shares among themselves.
 
 ``max_labelled`` bounds the labelled rows that are learned from (a hash
 sample when there are more); totals and rates cover all rows.
@@ -23,11 +30,13 @@ get what their posterior implies); labelled rows with a null id or domain
 aren't learned from; without two labelled domains every document gets the
 domains' shares (or equal ones) as posterior; rows that repeat are decided
 alike; domains without a target get target 0, targets without labelled rows
-stay unmet; an empty table gives an empty result.
+stay unmet (``missed_<domain>`` -1); an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -41,10 +50,15 @@ from nightshift.llm.common import cut, text_of
 from nightshift.llm.features import features_udf
 
 MAX_LABELLED = 12_000
-STEPS = 40
-TOLERANCE = 1e-3
-#: Relative gain of a step under which the fit counts as settled.
-STALLED = 1e-3
+#: Newton steps for each weight of ``SOFT``; a fit that needs more raises.
+STEPS = 200
+#: The dual's gradient at which a fit is done, and the miss from which a target counts as unmet; shares of all targets.
+TOLERANCE, UNMET = 1e-7, 1e-3
+#: Weights of the distance from rate 1, the last one holds.
+SOFT = (1e-2, 1e-4, 1e-6, 1e-8)
+TRIED = tuple(0.5**k for k in range(1, 13))
+
+LOG = logging.getLogger(__name__)
 
 
 def quality_domains(labels: DataFrame) -> DataFrame:
@@ -99,47 +113,103 @@ def _posterior(k: int) -> Column:
 
 
 def _rate(history: list[np.ndarray], max_rate: float | None) -> Column:
-    """The rate after all steps of ``history``, folded over them as data: every step runs the same code."""
-    if not history:
-        return F.lit(1.0)
-    steps = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in history])
+    """The rate after all steps of ``history`` from 1; the dual numbers are one step."""
+    rate = F.lit(1.0)
+    for g in history:
+        moved = rate - reduce(lambda a, b: a + b, [_posterior(k) * float(x) for k, x in enumerate(g)])
+        rate = F.greatest(F.lit(0.0), moved)
+        if max_rate is not None:
+            rate = F.least(F.lit(float(max_rate)), rate)
+    return rate
+
+
+def _dual_sums(rows: DataFrame, many: range, max_rate: float | None, duals: list[np.ndarray], whole: bool) -> list[tuple]:
+    """``(distance from rate 1, totals, Gram matrix of the free rates or None)`` at each of ``duals``, in one aggregation."""
+    n, sums = F.col("n_tokens").cast("double"), []
+    rates = [_rate([x], max_rate).alias(f"r_{t}") for t, x in enumerate(duals)]
+    held = rows.select(n.alias("n"), *[_posterior(k) for k in many], *rates)
+    for t in range(len(duals)):
+        r, n = F.col(f"r_{t}"), F.col("n")
+        sums += [F.sum(n * (r - 1) * (r - 1))] + [F.sum(n * r * _posterior(k)) for k in many]
+        if whole:
+            free = (r > 0) if max_rate is None else (r > 0) & (r < float(max_rate))
+            sums += [F.sum(F.when(free, n * _posterior(i) * _posterior(j)).otherwise(0.0)) for i in many for j in many if i <= j]
+    got = [x or 0.0 for x in held.agg(*[x.alias(f"s_{i}") for i, x in enumerate(sums)]).first()]
+    k, out = len(many), []
+    each = len(got) // len(duals)
+    for t in range(len(duals)):
+        mine = got[t * each : (t + 1) * each]
+        gram = None
+        if whole:
+            gram = np.zeros((k, k))
+            gram[np.triu_indices(k)] = mine[1 + k :]
+            gram = gram + np.triu(gram, 1).T
+        out.append((0.5 * mine[0], np.array(mine[1 : 1 + k]), gram))
+    return out
+
+
+def dual_newton(sums: Callable, targets: np.ndarray, weight: np.ndarray, steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[np.ndarray, np.ndarray]:
+    """The dual numbers and the totals they give; ``sums(duals, whole)`` is as ``_dual_sums``."""
+    scale = max(targets.sum(), 1.0)
+    x = np.zeros(len(targets))
+    for soft in SOFT:
+        bend = soft / weight
+
+        def value(distance: float, totals: np.ndarray, at: np.ndarray) -> float:
+            return distance + at @ (totals - targets) - 0.5 * (bend * at * at).sum()
+
+        distance, totals, gram = sums([x], True)[0]
+        for _ in range(steps):
+            left = totals - targets - bend * x
+            if np.abs(left).max() <= tolerance * scale:
+                break
+            root = np.sqrt(weight)
+            move = root * np.linalg.solve(root[:, None] * (gram + np.diag(bend)) * root, root * left)
+            now = value(distance, totals, x)
+            after = sums([x + move], True)[0]
+            if value(after[0], after[1], x + move) < now + 1e-4 * (left @ move):
+                tried = [x + s * move for s in TRIED]
+                gains = [value(d, t, at) for at, (d, t, _) in zip(tried, sums(tried, False))]
+                x = tried[int(np.argmax(gains))]
+                after = sums([x], True)[0]
+            else:
+                x = x + move
+            distance, totals, gram = after
+        else:
+            raise RuntimeError(f"mixing did not converge in {steps} steps: off by {np.abs(left).max() / scale:.2e} of the total")
+    return x, totals
+
+
+def fit_rates(rows: DataFrame, targets: np.ndarray, max_rate: float | None = None, steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[list[np.ndarray], np.ndarray]:
+    """The steps of ``_rate`` and the totals they give; ``targets`` are token totals by domain, nan where a domain has none."""
+    n, has = F.col("n_tokens").cast("double"), np.flatnonzero(~np.isnan(targets))
+    x = np.zeros(len(targets))
+    every = range(len(targets))
+
+    def sums(duals: list[np.ndarray], whole: bool) -> list[tuple]:
+        full = []
+        for d in duals:
+            f = np.zeros(len(targets))
+            f[has] = d
+            full.append(f)
+        return [(a, t[has], g[np.ix_(has, has)] if whole else None) for a, t, g in _dual_sums(rows, every, max_rate, full, whole)]
+
+    if len(has):
+        diagonal = rows.agg(*[F.sum(n * _posterior(int(k)) * _posterior(int(k))).alias(f"g_{k}") for k in has]).first()
+        weight = 1.0 / np.maximum([g or 0.0 for g in diagonal], 1.0)
+        x[has], _ = dual_newton(sums, targets[has], weight, steps, tolerance)
+    return [x], _dual_sums(rows, every, max_rate, [x], False)[0][1]
 
-    def step(rate: Column, g: Column) -> Column:
-        moved = rate - reduce(lambda a, b: a + b, [_posterior(k) * g[k] for k in range(len(history[0]))])
-        kept = F.greatest(F.lit(0.0), moved)
-        return kept if max_rate is None else F.least(F.lit(float(max_rate)), kept)
 
-    return F.aggregate(steps, F.lit(1.0), step)
+def solve_rates(rows: DataFrame, targets: np.ndarray, max_rate: float | None = None, steps: int = STEPS, tolerance: float = TOLERANCE) -> list[np.ndarray]:
+    """The steps of ``_rate`` that meet ``targets`` as nearly as rates can."""
+    return fit_rates(rows, targets, max_rate, steps, tolerance)[0]
 
 
-def solve_rates(rows: DataFrame, targets: np.ndarray, max_rate: float | None = None, steps: int = STEPS, tolerance: float = TOLERANCE) -> list[np.ndarray]:
-    """The gradients of projected gradient descent; ``targets`` are token totals by domain."""
-    n, many = F.col("n_tokens").cast("double"), range(len(targets))
-    gram = rows.agg(*[F.sum(n * _posterior(i) * _posterior(j)).alias(f"g_{i}_{j}") for i in many for j in many]).first()
-    gram = np.array([[gram[f"g_{i}_{j}"] or 0.0 for j in many] for i in many])
-    weight = 1.0 / np.maximum(np.diag(gram), 1.0)
-    root = np.sqrt(weight)
-    step = 1.0 / max(np.linalg.eigvalsh(root[:, None] * gram * root).max(), 1e-12)
-    history: list[np.ndarray] = []
-    scale = max(targets.sum(), 1.0)
-    before = np.inf
-    for _ in range(steps):
-        rate = _rate(history, max_rate)
-        got = rows.select(n.alias("n_tokens"), rate.alias("r"), *[_posterior(k) for k in many]).agg(
-            *[F.sum(F.col("n_tokens") * F.col("r") * _posterior(k)).alias(f"t_{k}") for k in many]
-        ).first()
-        left = np.array([got[f"t_{k}"] or 0.0 for k in many]) - targets
-        loss = float((weight * left * left).sum())
-        # Done, or as near as the bounds allow.
-        if np.abs(left).max() <= tolerance * scale or loss >= before * (1 - STALLED):
-            break
-        before = loss
-        history.append(step * weight * left)
-    return history
-
-
-def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], max_rate: float | None = None, anchor: str | None = None, seed: int = 0) -> DataFrame:
-    """``(doc_id, text_key, n_tokens, p_<domain>..., rate, copies)`` per row of ``docs``.
+def mixing_rates(
+    docs: DataFrame, labelled: DataFrame, targets: dict[str, float], max_rate: float | None = None, anchor: str | None = None, seed: int = 0, left_out: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(doc_id, text_key, n_tokens, p_<domain>..., rate, copies, missed_<domain>...)`` per row of ``docs``.
 
     ``targets`` are shares of the total; the total is that of ``docs``, or
     what makes the target of domain ``anchor`` equal its present total.
@@ -149,22 +219,31 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     rows = cut(model.describe(docs), "mixing-posteriors")
     many = range(len(model.domains))
     sums = rows.agg(F.sum("n_tokens").alias("n"), *[F.sum(F.col("n_tokens") * _posterior(k)).alias(f"t_{k}") for k in many]).first()
-    share = np.array([float(targets.get(d, 0.0)) for d in model.domains])
-    total = float(sums["n"] or 0)
-    if anchor in model.domains and targets.get(anchor):
-        total = float(sums[f"t_{model.domains.index(anchor)}"] or 0.0) / targets[anchor]
-    history = solve_rates(rows, share / max(sum(targets.values()), 1e-12) * total, max_rate)
+    held = {d: float(t) for d, t in targets.items() if d not in left_out}
+    shares = {d: t / max(sum(held.values()), 1e-12) for d, t in held.items()}
+    here = {d: float(sums[f"t_{k}"] or 0.0) for k, d in enumerate(model.domains)}
+    total = float(sums["n"] or 0) - sum(here.get(d, 0.0) for d in left_out)
+    if anchor in here and shares.get(anchor):
+        total = here[anchor] / shares[anchor]
+    wanted = np.array([np.nan if d in left_out else shares.get(d, 0.0) * total for d in model.domains])
+    history, got = fit_rates(rows, wanted, max_rate)
+    missed = {d: -1.0 if total else 0.0 for d, t in shares.items() if t and d not in model.domains}
+    missed |= {d: float(g / w - 1) for d, g, w in zip(model.domains, got, wanted) if w > 0}
+    unmet = {d: m for d, m in missed.items() if abs(m) * shares[d] > UNMET}
+    if unmet:
+        LOG.warning("mixing: targets out of reach, missed by these shares of them: %s", unmet)
     rated = rows.withColumn("rate", _rate(history, max_rate))
     u = F.pmod(F.xxhash64("doc_id", "text_key", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     copies = F.floor("rate") + F.when(u < F.col("rate") - F.floor("rate"), 1).otherwise(0)
     return rated.select(
-        "doc_id", "text_key", "n_tokens", *[_posterior(k).alias(f"p_{d}") for k, d in enumerate(model.domains)], "rate", copies.cast("long").alias("copies")
+        "doc_id", "text_key", "n_tokens", *[_posterior(k).alias(f"p_{d}") for k, d in enumerate(model.domains)], "rate", copies.cast("long").alias("copies"),
+        *[F.lit(missed.get(d, 0.0)).alias(f"missed_{d}") for d in sorted(shares)],
     )
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], max_rate: float | None = None, anchor: str | None = None, seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], max_rate: float | None = None, anchor: str | None = None, seed: int = 0, left_out: tuple[str, ...] = ()) -> DataFrame:
     """The rows of ``docs``, each as often as its ``copies`` say."""
-    rates = mixing_rates(docs, labelled, targets, max_rate, anchor, seed)
+    rates = mixing_rates(docs, labelled, targets, max_rate, anchor, seed, left_out)
     by = rates.groupBy(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k")).agg(F.max("copies").cast("int").alias("__n")).where("__n > 0")
     key = F.xxhash64(text_of(F.col("text")))
     kept = docs.join(by, docs["doc_id"].eqNullSafe(by["__d"]) & (key == by["__k"]))

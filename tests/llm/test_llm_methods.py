@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from nightshift.llm import chat, fingerprints, licenses, linededup, mixing, pieces, sharding, simhash, toxicity, vectors
 from nightshift.llm.components import connected_components
-from nightshift.llm.queries import QUERIES
+from nightshift.llm.queries import MIX, QUERIES
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -344,6 +344,45 @@ def test_mixture_totals(spark):
     assert (got.copies >= np.floor(got.rate)).all() and (got.copies <= np.floor(got.rate) + 1).all()
 
 
+@pytest.mark.parametrize(("domains", "pull"), [(3, 0.5), (8, 1.0)])
+def test_overlapping_posteriors_meet_their_targets(spark, domains, pull):
+    rng = np.random.default_rng(domains)
+    z, own = rng.normal(size=(5_000, domains)), rng.integers(domains, size=5_000)
+    z[np.arange(5_000), own] += pull
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    n = rng.integers(1, 1_000, size=5_000)
+    rows = spark.createDataFrame([(int(t), *map(float, x)) for t, x in zip(n, p)], ["n_tokens", *[f"p_{k}" for k in range(domains)]])
+    targets = np.array([0.4, *[0.6 / (domains - 1)] * (domains - 1)]) * n.sum()
+    rate = np.array([r["r"] for r in rows.select(mixing._rate(mixing.solve_rates(rows, targets), None).alias("r")).collect()])
+    assert np.abs((n * rate) @ p / targets - 1).max() < 1e-3
+
+
+def test_rates_that_do_not_converge_raise(spark):
+    rows = spark.createDataFrame([(10, 0.9, 0.1), (10, 0.2, 0.8)], "n_tokens long, p_0 double, p_1 double")
+    with pytest.raises(RuntimeError, match="converge"):
+        mixing.solve_rates(rows, np.array([19.0, 3.0]), steps=1)
+
+
+def test_pipeline_mixture_totals(spark):
+    """The rates of the pipeline's mixing stage are the least-squares optimum, and misses are told."""
+    docs = corpus_pipeline.toxicity(spark, spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "/root/testdata/sf0.01")
+    labels = mixing.quality_domains(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    got = mixing.mixing_rates(docs, labels, MIX, max_rate=1.0, anchor="good", left_out=("toxic",)).toPandas()
+    p, n, r = got[["p_good", "p_junk"]].to_numpy(), got.n_tokens.to_numpy(dtype=float), got.rate.to_numpy()
+    total = (n * p[:, 0]).sum() / (0.85 / 0.95)
+    targets = np.array([0.85, 0.10]) / 0.95 * total
+    left = (n * r) @ p - targets
+    assert np.allclose(got[["missed_good", "missed_junk"]].iloc[0], left / targets, atol=1e-6) and "missed_toxic" not in got
+    # Good is met; junk, of which there is too little and nothing may be repeated, is there as a whole.
+    assert abs(left[0] / targets[0]) < 1e-6 and left[1] < 0 and np.allclose(r, 1)
+    assert r.min() >= 0 and r.max() <= 1
+    # Where a rate isn't at a bound the gradient is 0, at a bound it points outward.
+    weight = 1 / ((p * p) * n[:, None]).sum(axis=0)
+    slope = p @ (weight * left)
+    assert np.abs(slope[(r > 1e-6) & (r < 1 - 1e-6)]).max(initial=0) < 1e-4
+    assert slope[r == 0].min(initial=0) > -1e-4 and slope[r == 1].max(initial=0) < 1e-4
+
+
 # -- all ---------------------------------------------------------------------
 LABELS = "doc_id long, quality int, toxic int"
 
