@@ -21,8 +21,12 @@ collapse to one with a multiplicity.
    threshold.  Of the units that hold both ends, the smallest counts it for
    both, so counts need no list of pairs; components come from the spanning
    forest of each unit's links.
-6. Audit: ``audit_recall`` compares a bounded sample of queries with all
-   rows; while recall stays under ``RECALL`` the overlap is doubled.
+6. Audit: the vectors with a vec_id divisible by 50 are compared with all rows
+   of their label by brute force, in blocks; with fewer than ``AUDIT_LINKED``
+   linked ones among them those divisible by 10 too, then all.  Recall is a
+   mean over the queries that have links, and over those of each group size;
+   while the lowest stays under ``RECALL`` the overlap is doubled, and a
+   recall under ``LEAST_RECALL`` in the end raises.
 
 Nulls and ties: a null vec_id takes part under its own row with component
 null; rows with the same vec_id and vector are copies of each other; an
@@ -31,13 +35,17 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from nightshift.llm.common import cut
 from nightshift.llm.components import connected_components
+from nightshift.session import scratch_path
 
 THRESHOLD = 0.98
 SHARD_ROWS = 300
@@ -48,8 +56,12 @@ DEGREE = 20
 CANDIDATES = 60
 ALPHA = 1.2
 BEAM = 40
-RECALL = 0.95
-AUDIT_QUERIES = 500
+RECALL, LEAST_RECALL = 0.95, 0.9
+#: The audit's queries have vec_ids divisible by the first; the next follow while fewer than ``AUDIT_LINKED`` have links.
+AUDIT_STEPS = (50, 10, 1)
+AUDIT_LINKED = 20
+AUDIT_BLOCK = 2_000
+AUDIT_ROWS = 1_000
 
 
 def _usable(df: DataFrame):
@@ -59,11 +71,15 @@ def _usable(df: DataFrame):
 
 
 def distinct_vectors(rows: DataFrame) -> DataFrame:
-    """``(key, label, v, n, first)``: different vectors of a label with their count and smallest id."""
+    """``(key, label, v, n, first, asked)``: different vectors of a label with their count, smallest id and audit step."""
     good = rows.where(_usable(rows))
+    last = len(AUDIT_STEPS) - 1
+    asked = F.lit(last)
+    for k in reversed(range(last)):
+        asked = F.when(F.pmod("vec_id", F.lit(AUDIT_STEPS[k])) == 0, F.lit(k)).otherwise(asked)
     # Zero has two signs; they are one vector.
     v = F.transform("v", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
-    one = good.withColumn("v", v).groupBy("label", "v").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first"))
+    one = good.withColumn("v", v).groupBy("label", "v").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first"), F.min(asked).alias("asked"))
     return one.withColumn("key", F.xxhash64("label", "v"))
 
 
@@ -284,45 +300,84 @@ def _forest(m: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def near_vectors(rows: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, audit: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(key, links)`` and ``(key, component)`` of the different vectors that link at all."""
-    vectors = distinct_vectors(rows)
+    vectors = cut(distinct_vectors(rows), "vector-audited")
     points = centroids(vectors)
+    truth = true_links(vectors, threshold) if audit else None
     while True:
         placed = cut(units(shard_members(vectors, points, overlap)), "vector-units")
         found = cut(unit_links(placed, cut(build_graph(placed), "vector-graph"), threshold), "vector-links")
         counts = found.groupBy("key").agg(F.sum("links").alias("links"))
-        if not audit or overlap >= max([1, *map(len, points.values())]) or audit_recall(vectors, counts, threshold) >= RECALL:
+        recall = audit_recall(truth, counts) if audit else 1.0
+        if recall >= RECALL:
+            break
+        if overlap >= max([1, *map(len, points.values())]):
+            if recall < LEAST_RECALL:
+                raise RuntimeError(f"recall of near vectors is {recall:.3f}, under {LEAST_RECALL}, with every shard searched")
             break
         overlap *= 2
     return counts, found.select("key", "root")
 
 
-def audit_recall(vectors: DataFrame, counts: DataFrame, threshold: float, queries: int = AUDIT_QUERIES) -> float:
-    """Share of the links of a bounded hash sample of linked vectors that were counted.
+def _blocks(rows: Iterator[Row]) -> Iterator[list[Row]]:
+    block: list[Row] = []
+    for r in rows:
+        block.append(r)
+        if len(block) == AUDIT_BLOCK:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
+def _compared(vectors: DataFrame, block: list[Row], threshold: float) -> DataFrame:
+    """``(key, true)`` of the block's queries that have links, by comparing them with every row."""
+    parts: dict = {}
+    for r in block:
+        parts.setdefault((r["label"], len(r["v"])), []).append((r["key"], r["v"]))
+    by = {k: (np.array([x[0] for x in v]), _unit(np.array([x[1] for x in v]))) for k, v in parts.items()}
+    # Away from the last digits, which differ from the search's.
+    sure, step = threshold + 1e-12, AUDIT_ROWS
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for kind, group in pdf.groupby([pdf["label"], pdf["v"].map(len)]):
+                if kind not in by:
+                    continue
+                asked, q = by[kind]
+                true = np.zeros(len(asked), dtype=np.int64)
+                for at in range(0, len(group), step):
+                    part = group.iloc[at : at + step]
+                    hit = q @ _unit(np.stack(part["v"].to_numpy())).T >= sure
+                    hit &= asked[:, None] != part["key"].to_numpy()[None, :]
+                    true += hit @ part["n"].to_numpy(dtype=np.int64)
+                yield pd.DataFrame({"key": asked, "true": true})[true > 0]
+
+    found = vectors.select("label", "key", "v", "n").mapInPandas(near, "key long, true long")
+    return found.groupBy("key").agg(F.sum("true").alias("true"))
+
+
+def true_links(vectors: DataFrame, threshold: float) -> DataFrame:
+    """``(key, true)``: the audit's queries that have links to other vectors, with their number, by brute force."""
+    spark = vectors.sparkSession
+    path = scratch_path(spark, "llm", f"vector-truth-{uuid.uuid4().hex}")
+    spark.createDataFrame([], "key long, true long").write.parquet(path)
+    for k in range(len(AUDIT_STEPS)):
+        for block in _blocks(vectors.where(F.col("asked") == k).select("label", "key", "v").toLocalIterator()):
+            _compared(vectors, block, threshold).write.mode("append").parquet(path)
+        truth = spark.read.schema("key long, true long").parquet(path)
+        if truth.count() >= AUDIT_LINKED:
+            break
+    return truth
 
-    The sample is compared with every row in blocks, by brute force.
-    """
-    picked = vectors.join(counts, "key", "left").orderBy(F.xxhash64("key", F.lit(3))).limit(queries).select("label", "key", "v", F.coalesce("links", F.lit(0)).alias("links")).collect()
-    if not picked:
-        return 1.0
-    by: dict = {}
-    for r in picked:
-        by.setdefault((r["label"], len(r["v"])), []).append((r["key"], r["v"]))
-    by = {k: (np.array([x[0] for x in v]), _unit(np.array([x[1] for x in v]))) for k, v in by.items()}
-
-    @F.pandas_udf("long")
-    def near(labels: pd.Series, keys: pd.Series, vs: pd.Series, n: pd.Series) -> pd.Series:
-        out = []
-        for label, key, v, count in zip(labels, keys, vs, n):
-            hit = by.get((label, len(v)))
-            if hit is None:
-                out.append(0)
-                continue
-            sims = hit[1] @ (v / np.sqrt((v * v).sum()))
-            out.append(int(((sims >= threshold) & (hit[0] != key)).sum()) * count)
-        return pd.Series(out, dtype="int64")
 
-    true = vectors.select(near("label", "key", "v", "n").alias("m")).agg(F.sum("m")).first()[0] or 0
-    return sum(r["links"] for r in picked) / true if true else 1.0
+def audit_recall(truth: DataFrame, counts: DataFrame) -> float:
+    """The lowest mean share of a query's true links that were counted: of all queries, and of each group size (by powers of 2) with enough of them."""
+    share = F.least(F.lit(1.0), F.coalesce(F.col("links"), F.lit(0)) / F.col("true"))
+    each = truth.join(counts, "key", "left").select(F.floor(F.log2("true")).alias("size"), share.alias("share"))
+    sizes = [(r["n"], r["s"]) for r in each.groupBy("size").agg(F.count(F.lit(1)).alias("n"), F.sum("share").alias("s")).collect()]
+    if not sizes:
+        return 1.0
+    return min([sum(s for _, s in sizes) / sum(n for n, _ in sizes), *[s / n for n, s in sizes if n >= AUDIT_LINKED]])
 
 
 def vector_digest(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -269,6 +269,34 @@ def test_oversize_shards_are_cut_into_blocks(spark, monkeypatch):
     assert sum(r["n_links"] for r in got) == 1_200 and all(r["component_id"] == r["vec_id"] // 3 * 3 for r in got)
 
 
+def _sparse_links(spark):
+    """20 pairs and one group of 60 near copies among 3,000 vectors."""
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(3_000, 24))
+    v[1:40:2] = v[0:40:2] + rng.normal(size=(20, 24)) * 0.01
+    v[100:160] = v[100] + rng.normal(size=(60, 24)) * 0.01
+    rows = [(i, [float(y) for y in x], 1) for i, x in enumerate(v)]
+    return spark.createDataFrame(rows, "vec_id long, v array<double>, label int")
+
+
+def test_audit_sees_missed_pairs_beside_a_large_group(spark):
+    made = vectors.distinct_vectors(_sparse_links(spark)).cache()
+    truth = vectors.true_links(made, 0.98)
+    want = {i: 1 for i in range(40)} | {i: 59 for i in range(100, 160)}
+    asked = {r["first"]: r["true"] for r in truth.join(made, "key").collect()}
+    assert len(asked) >= vectors.AUDIT_LINKED and all(want[i] == n for i, n in asked.items())
+    whole = made.select("key", F.when(F.col("first") < 40, 1).when(F.col("first").between(100, 159), 59).otherwise(0).alias("links"))
+    assert vectors.audit_recall(truth, whole) == 1.0
+    assert vectors.audit_recall(truth, whole.where("links <> 1")) < 0.9
+
+
+def test_too_low_recall_raises(spark, monkeypatch):
+    links = vectors.unit_links
+    monkeypatch.setattr(vectors, "unit_links", lambda *a: links(*a).where("links > 1"))
+    with pytest.raises(RuntimeError, match="recall"):
+        vectors.near_vectors(_sparse_links(spark))
+
+
 # -- op9 ---------------------------------------------------------------------
 def _simhash(text, shingle):
     words = text.encode().translate(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))).split()
