@@ -1,10 +1,12 @@
 """Operator 1: document fingerprints by SpotSigs.
 
-Anchors are frequent words (articles, prepositions, forms of "be").  Every
-place of an anchor forms a signature: the anchor and the chain of the next
-``CHAIN`` content words, anchors left out.  A text's fingerprint is its set of
-signature hashes (32 bits each), written as sorted hex digits.  In texts under
-``SHORT`` words, or without an anchored chain, every word is an anchor.
+Every word of a text is an anchor and forms a signature: the word and the
+chain of the next ``CHAIN`` content words.  Frequent words (articles,
+prepositions, forms of "be") are left out of chains, so only their own
+signature changes with them; at the end of the text a chain is filled with
+an end mark.  The rule is the same for all lengths and languages, and a text
+has a signature for each of its words.  A text's fingerprint is its set of
+signature hashes (32 bits each), written as sorted hex digits.
 
 ``near_duplicates`` finds all pairs of fingerprints with a Jaccard similarity
 of at least a threshold: copies collapse, sets are partitioned by their
@@ -37,15 +39,14 @@ from pyspark.sql import functions as F
 
 from nightshift.llm.common import cut, text_of
 
-# Frequent words of four languages.
-ANCHORS = frozenset(
+# Frequent words of four languages, left out of chains.
+FREQUENT = frozenset(
     "the of and to a in is that for it was be an are "
     "der die das und ein eine ist von zu den mit "
     "le la les de des et un une est du dans "
     "el los las y una es que se por con".split()
 )
 CHAIN = 2
-SHORT = 32
 EDGES = ".,;:!?\"'()[]{}<>-_*#~`|/\\"
 CACHED_WORDS = 300_000
 RANGE_ROWS = 1_000
@@ -58,7 +59,7 @@ DIGEST = (
 
 
 class _Words(dict):
-    """Token -> its word's hash, odd for anchors; 0 for a token without a word."""
+    """Token -> its word's hash, odd for frequent words; 0 for a token without a word."""
 
     def __missing__(self, token: str) -> int:
         if len(self) > CACHED_WORDS:
@@ -66,7 +67,7 @@ class _Words(dict):
         word = token.strip(EDGES)
         code = 0
         if word:
-            code = (xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) | 3) ^ (2 if word in ANCHORS else 3)
+            code = (xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) | 3) ^ (2 if word in FREQUENT else 3)
         self[token] = code
         return code
 
@@ -85,17 +86,11 @@ def spot_signatures(text: str, words: _Words) -> np.ndarray:
     tokens = text.lower().split()
     codes = np.fromiter(map(words.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
     codes = codes[codes != 0]
-    anchored = (codes & np.uint64(1)).astype(bool)
-    content = codes[~anchored]
-    # The place of each anchor's chain among the content words.
-    chain = np.cumsum(~anchored)[anchored]
-    whole = chain + CHAIN <= len(content)
-    if len(codes) >= SHORT and whole.any():
-        anchors, at = codes[anchored][whole], chain[whole]
-        return np.unique(_mixed([anchors, *(content[at + k] for k in range(CHAIN))]))
-    if len(codes) <= CHAIN:
-        return np.unique(_mixed([codes])) if len(codes) else np.empty(0, dtype=np.uint32)
-    return np.unique(_mixed([codes[k : len(codes) - CHAIN + k] for k in range(CHAIN + 1)]))
+    frequent = (codes & np.uint64(1)).astype(bool)
+    content = np.concatenate([codes[~frequent], np.zeros(CHAIN, dtype=np.uint64)])
+    # The place of each word's chain among the content words.
+    at = np.cumsum(~frequent)
+    return np.unique(_mixed([codes, *(content[at + k] for k in range(CHAIN))]))
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

@@ -86,6 +86,20 @@ def test_near_duplicates_finds_all_pairs(spark, docs, texts):
     assert {frozenset((r[0], r[1])) for r in got} == want and len(got) == len(want)
 
 
+def test_signatures_have_one_kind_and_no_gaps():
+    words = fingerprints._Words()
+    for n in (1, 2, 3, 31, 32, 33, 400):
+        for every in (2, 3, 1_000):
+            tokens = [f"x{i}" if i % every else "the" for i in range(n)]
+            # Repeated frequent words with different chains are different signatures.
+            a = fingerprints.spot_signatures(" ".join(tokens), words)
+            assert len(a) == n
+            if n >= 31:
+                b = fingerprints.spot_signatures(" ".join(tokens[: n // 2] + tokens[n // 2 + 1 :]), words)
+                assert fingerprints.likeness(a, b) >= 0.75
+    assert len(fingerprints.spot_signatures(" .,; ", words)) == 0
+
+
 # -- op2 ---------------------------------------------------------------------
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
