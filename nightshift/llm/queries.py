@@ -10,6 +10,7 @@ from nightshift.llm.common import table
 from nightshift.llm.fingerprints import document_fingerprints
 from nightshift.llm.licenses import license_scan
 from nightshift.llm.linededup import dedup_lines
+from nightshift.llm.merkle import verified_manifest
 from nightshift.llm.mixing import mixing_rates, quality_domains
 from nightshift.llm.oracles import ORACLE_SQL
 from nightshift.llm.pieces import piece_digest
@@ -70,6 +71,10 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_digest(table(spark, sf_dir, "documents"), SIMHASH_WORDS, SIMHASH_BITS)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_toxicity": op2_toxicity,
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_mixing_to_target_weights": op10_mixing_to_target_weights,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
