@@ -198,10 +198,47 @@ FROM p{levels + group_levels + 1}
 """
 
 
+def spelling(min_length: int = 7, min_count: int = 2, ratio: int = 10, slip: int = 31, steps: int = 20) -> str:
+    """Near words by patterns: one code point masked (replacement) or taken out (deletion)."""
+    return f"""
+WITH RECURSIVE {CRC},
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{ASCII_UPPER}', '{ASCII_LOWER}') AS run FROM documents
+),
+hashed AS MATERIALIZED (
+  SELECT run, {_crc32("(CAST(doc_id AS VARCHAR) || ':' || run)")} AS h FROM runs, crc WHERE length(run) >= {min_length}
+),
+slipped AS (
+  SELECT CASE WHEN h % {slip} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed
+),
+words AS MATERIALIZED (SELECT word, count(*) AS n FROM slipped WHERE length(word) >= {min_length} GROUP BY word HAVING count(*) >= {min_count}),
+places AS (SELECT word, n, unnest(range(length(word))) AS i FROM words),
+patterns AS MATERIALIZED (SELECT word, n, substr(word, 1, i) AS a, substr(word, i + 2) AS b FROM places),
+pairs AS (
+  SELECT x.word, y.word AS near, y.n AS m FROM patterns x JOIN patterns y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM patterns x JOIN words y ON y.word = x.a || x.b
+  UNION SELECT y.word, x.word, x.n FROM patterns x JOIN words y ON y.word = x.a || x.b
+),
+best AS (SELECT word, count(*) AS n_near, min((-m, near)) AS first FROM pairs GROUP BY word),
+formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -first[1] >= {ratio} * n THEN first[2] END AS form, CASE WHEN -first[1] >= {ratio} * n THEN -first[1] END AS form_n
+  FROM words LEFT JOIN best USING (word)
+),
+chain(word, root, step) AS (
+  SELECT word, word, 0 FROM formed
+  UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL AND step < {steps}
+)
+SELECT word, form, root, CAST(n AS BIGINT) AS n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM formed JOIN (SELECT word, max_by(root, step) AS root FROM chain GROUP BY word) USING (word)
+"""
+
+
 ORACLE_SQL = {
     "op3_license_scans": license_scan(),
     "op6_chat_formatting": chat(),
     "op7_line_dedup": line_dedup(),
     "op8_embedding_near_dedup": near_vectors(),
+    "op11_spelling_variants": spelling(),
     "op12_merkle_manifest": merkle(),
 }

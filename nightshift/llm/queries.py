@@ -16,6 +16,7 @@ from nightshift.llm.oracles import ORACLE_SQL
 from nightshift.llm.pieces import piece_digest
 from nightshift.llm.sharding import shard_digest
 from nightshift.llm.simhash import simhash_digest
+from nightshift.llm.spelling import spelling_variants
 from nightshift.llm.toxicity import toxicity_scores
 from nightshift.llm.vectors import vector_digest
 
@@ -71,6 +72,10 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_digest(table(spark, sf_dir, "documents"), SIMHASH_WORDS, SIMHASH_BITS)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_manifest(table(spark, sf_dir, "documents"))
 
@@ -86,6 +91,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_mixing_to_target_weights": op10_mixing_to_target_weights,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
 
