@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from nightshift.llm.chat import format_events, read_back, turns_as_events
 from nightshift.llm.common import table
 from nightshift.llm.fingerprints import document_fingerprints
+from nightshift.llm.langid import language_of
 from nightshift.llm.licenses import license_scan
 from nightshift.llm.linededup import dedup_lines
 from nightshift.llm.merkle import verified_manifest
@@ -80,6 +81,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_of(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_toxicity": op2_toxicity,
@@ -93,6 +98,7 @@ QUERIES = {
     "op10_mixing_to_target_weights": op10_mixing_to_target_weights,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_language_id": op13_language_id,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
