@@ -3,39 +3,43 @@
 A line's tokens are its shingles of five words (lower case, split at spaces;
 a line with fewer words is one shingle), a line is the set of its tokens.
 Two lines match when the Jaccard similarity of their sets is at least 0.8; a
-line goes when a matching line stands earlier, by (doc_id, line number).
-Lines under ``min_words`` words neither go nor match.
+line goes when a matching line stands earlier, by (doc_id, hash of the text,
+copy of the row, line number).  Every line that holds a word takes part.
 
-1. Tokens are counted in ``2^COUNT_BITS`` hash buckets, and the buckets are
+1. ``line_places``: each line's key (the hash of its words) and place, narrow rows
+   that are written once; the first place of each key.  Later copies of a
+   line go without being compared, only first copies are made into sets.
+2. Tokens are counted in ``2^COUNT_BITS`` hash buckets, and the buckets are
    ranked by count: one array of fixed size.  A token's code is its bucket's
    rank followed by the other bits of its hash, so codes sort rare tokens
    first and lose no bit.
-2. Lines of the same words collapse to one row with their first place
-   (map-side first, so a line that a third of the documents share is a few
-   rows a task).
 3. Two sets of n and m tokens can only match when they share a token of their
    first n - ceil(0.8 n) + 1 codes (prefix filter), when 0.8 n <= m (length
    filter), and when the tokens behind the shared one still allow the needed
-   overlap (positional filter).  The prefixes are joined on the token.
+   overlap (positional filter).  The prefixes are dealt by token, and those
+   that no other line has are dropped there.
 4. For each token, lines are first compared with the token's earliest line:
    who matches it can't find an earlier one there.  Only the others are
-   joined with the earlier lines of their token, so copies with small
-   changes aren't paired with each other.
+   joined with the earlier lines of their token.  That join has the length
+   among its keys (its number of binary digits, which differs by one at most
+   between lines that match), and the shorter line of a pair must hold the
+   token within its first n / 9 codes: behind them its overlap with no line
+   of at least its length can suffice.  So lines of a template that differ
+   in a word meet in no pair, however many they are.
 5. Candidates are verified on whole sets, which are made once more for the
    lines that share a prefix token alone.
-6. Lines behind the first line of the same words go, and so do first lines
-   that match an earlier one.
-
-Nulls and empties: a null or empty text stays as it is; null doc_ids sort
-first; rows with the same doc_id stand at the same places, so lines they
-share stay in both; an empty table gives an empty result; all columns of the
-input are kept and only the text changes.
+6. The numbers of the lines that go come back by (doc_id, hash of the text).
+
+Nulls and empties: a null or empty text and lines without a word stay as they
+are; null doc_ids sort first; rows with the same doc_id and other texts are
+documents of their own; of rows equal in both the first copy is compared and
+the others lose every line that holds a word; an empty table gives an empty
+result; all columns of the input are kept and only the text changes (and
+``count_as``, if named, which replaces a column of that name).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -46,72 +50,74 @@ from nightshift.operators.joins import bounded_broadcast
 SHINGLE = 5
 #: Jaccard threshold as an exact fraction.
 NUMER, DENOM = 4, 5
-MIN_WORDS = 5
 COUNT_BITS = 14
 
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """``(place, key, w)``: the long enough lines, with their words.
+def _lines(docs: DataFrame) -> DataFrame:
+    """``(d, t, line, key, s)``: the lines that hold a word, as their words in lower case with single spaces."""
+    lines = docs.select(
+        F.col("doc_id").alias("d"), F.xxhash64("text").alias("t"), F.posexplode(F.split("text", "\n")).alias("line", "raw")
+    )
+    low = lines.select("d", "t", "line", F.trim(F.lower("raw")).alias("s"))
+    even = F.when(F.instr("s", "  ") > 0, F.regexp_replace("s", " +", " ")).otherwise(F.col("s"))
+    even_lines = low.select("d", "t", "line", even.alias("s")).where("s <> ''")
+    return even_lines.select("d", "t", "line", F.xxhash64("s").alias("key"), "s")
 
-    A line that repeats within its document appears at each of its places.
-    """
-    lines = docs.select(F.col("doc_id").alias("d"), F.posexplode(F.split("text", "\n")).alias("line", "s"))
-    words = F.array_remove(F.split(F.lower("s"), " "), "")
-    # The generator keeps the words from being split anew at every use.
-    each = lines.select("d", "line", F.explode(F.array(words)).alias("w")).where(F.size("w") >= min_words)
-    return each.select(F.struct("d", "line").alias("place"), F.xxhash64("w").alias("key"), "w")
 
+def _words(lines: DataFrame, *columns: str) -> DataFrame:
+    # The generator keeps the words from being split anew at every use.
+    return lines.select(*columns, F.explode(F.array(F.split("s", " "))).alias("w"))
 
-def _joined(a: Column, b: Column) -> Column:
-    """A shingle's hash joins its words' hashes: pairs, then pairs of pairs, then the last word."""
-    return F.xxhash64(a, b)
 
+def line_places(docs: DataFrame) -> DataFrame:
+    """``(key, d, t, line)`` of every line that holds a word."""
+    return cut(_lines(docs).select("key", "d", "t", "line"), "line-places")
 
-def _shingle_words() -> Column:
-    """The shingles of ``w`` as structs of words."""
-    n = F.greatest(F.size("w") - (SHINGLE - 1), F.lit(1))
-    return F.arrays_zip(*[F.slice("w", k + 1, n).alias(f"w{k}") for k in range(SHINGLE)])
 
+def first_places(places: DataFrame) -> DataFrame:
+    """``(key, first, n)``: first place and count of the lines of the same words."""
+    place = F.struct("d", "t", "line")
+    return cut(places.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "line-firsts")
 
-def _with_shingles(lines: DataFrame) -> DataFrame:
-    """``(place, key, tokens)``: the hashes of each line's shingles, from shifted arrays of word hashes."""
-    def shifted(c: str, by: int) -> Column:
-        return F.slice(c, by + 1, F.size(c))
 
-    # Generators keep arrays from being made anew at every use.
-    words = lines.select("place", "key", F.explode(F.array(F.transform("w", lambda x: F.xxhash64(x)))).alias("h"))
-    twos = words.select("place", "key", "h", F.explode(F.array(F.zip_with("h", shifted("h", 1), _joined))).alias("two"))
-    fours = F.zip_with("two", shifted("two", 2), _joined)
-    n = F.greatest(F.size("h") - (SHINGLE - 1), F.lit(1))
-    return twos.select("place", "key", F.slice(F.zip_with(fours, shifted("h", 4), _joined), 1, n).alias("tokens"))
+def _first_copies(docs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``(key, s)``: each line at its first place alone; lines that occur once need no look at the others."""
+    repeated = bounded_broadcast(cut(firsts.where("n > 1").select(F.col("key").alias("__key"), "first"), "line-repeats"))
+    lines = _lines(docs).join(repeated, F.col("key") == F.col("__key"), "left")
+    here = F.col("first.d").eqNullSafe(F.col("d")) & (F.col("first.t") == F.col("t")) & (F.col("first.line") == F.col("line"))
+    return lines.where(F.col("__key").isNull() | here).select("key", "s")
 
 
-def bucket_ranks(docs: DataFrame, min_words: int) -> str:
+def bucket_ranks(copies: DataFrame) -> str:
     """For each hash bucket its rank by token count, from -2^(bits-1), comma-joined: a fixed number of ranks."""
     size = 1 << COUNT_BITS
-    h = [F.xxhash64(f"s.w{k}") for k in range(SHINGLE)]
-    t = _joined(_joined(_joined(h[0], h[1]), _joined(h[2], h[3])), h[4])
-    tokens = _lines(docs, min_words).select(F.explode(_shingle_words()).alias("s")).select(t.alias("t"))
+    n = F.greatest(F.size("w") - (SHINGLE - 1), F.lit(1))
+    shingles = F.arrays_zip(*[F.slice("w", k + 1, n).alias(f"w{k}") for k in range(SHINGLE)])
+    tokens = _words(copies).select(F.inline(shingles)).select(F.xxhash64(*[f"w{k}" for k in range(SHINGLE)]).alias("t"))
     counts = tokens.groupBy(F.col("t").bitwiseAND(size - 1).alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    buckets = docs.sparkSession.range(size).join(counts, "id", "left").na.fill(0, ["n"])
+    buckets = copies.sparkSession.range(size).join(counts, "id", "left").na.fill(0, ["n"])
     # 2^COUNT_BITS rows, whatever the input.
     rank = F.row_number().over(Window.orderBy("n", "id")) - 1 - size // 2
     ranked = buckets.select("id", rank.alias("rank")).agg(F.array_sort(F.collect_list(F.struct("id", "rank"))).alias("r"))
     return ranked.select(F.array_join(F.col("r.rank").cast("array<string>"), ",")).first()[0]
 
 
-def line_sets(lines: DataFrame, ranks: str) -> DataFrame:
-    """``(place, key, codes)``: each line's set of token codes, rare ones first."""
+def line_sets(copies: DataFrame, ranks: str) -> DataFrame:
+    """``(key, codes)``: each line's set of token codes, rare ones first."""
     # Folds into one array literal at planning.
     table = F.split(F.lit(ranks), ",").cast("array<long>")
     low = (1 << COUNT_BITS) - 1
 
+    def token(w: Column, i: Column) -> Column:
+        return F.xxhash64(w, *[F.get("w", i + k) for k in range(1, SHINGLE)])
+
     def code(t: Column) -> Column:
         rest = F.shiftrightunsigned(t, COUNT_BITS)
         return F.shiftleft(F.get(table, t.bitwiseAND(low).cast("int")), 64 - COUNT_BITS).bitwiseOR(rest)
 
-    codes = F.transform(F.array_distinct("tokens"), code)
-    return _with_shingles(lines).select("place", "key", F.sort_array(codes).alias("codes"))
+    n = F.greatest(F.size("w") - (SHINGLE - 1), F.lit(1))
+    tokens = _words(copies, "key").select("key", F.explode(F.array(F.transform(F.slice("w", F.lit(1), n), token))).alias("tokens"))
+    return tokens.select("key", F.explode(F.array(F.sort_array(F.transform(F.array_distinct("tokens"), code)))).alias("codes"))
 
 
 def _needed(n: Column) -> Column:
@@ -119,22 +125,16 @@ def _needed(n: Column) -> Column:
     return F.floor((NUMER * n + (DENOM - 1)) / DENOM).cast("int")
 
 
-def first_places(docs: DataFrame, min_words: int) -> DataFrame:
-    """``(key, first, n)``: first place and count of the lines of the same words."""
-    lines = _lines(docs, min_words).select("place", "key")
-    return cut(lines.groupBy("key").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")), "line-firsts")
-
-
 def shared_prefixes(sets: DataFrame, firsts: DataFrame) -> DataFrame:
-    """``(token, key, place, n, at)`` for prefix tokens that several different lines share."""
+    """``(token, key, place, n, at)`` for prefix tokens that several lines share; ``sets`` has a row for each key."""
     n = F.size("codes")
     prefix = F.slice("codes", 1, n - _needed(n) + 1)
-    once = sets.select("key", F.struct(n.alias("n"), prefix.alias("prefix")).alias("s")).groupBy("key").agg(F.first("s").alias("s"))
-    # Only hashes and small numbers are dealt by token; places join what is shared.
-    posts = once.select("key", "s.n", F.posexplode("s.prefix").alias("at", "token"))
-    shared = posts.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("m > 1")
-    placed = shared.select("token", "key", "n", "at").join(firsts.select("key", F.col("first").alias("place")), "key")
-    return cut(placed, "line-prefixes")
+    posts = sets.select("key", n.alias("n"), F.posexplode(prefix).alias("at", "token")).repartition("token")
+    # Both sides read the one exchange; tokens are counted in fixed memory, and most are unique.
+    shared = posts.groupBy("token").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("token")
+    held = posts.join(shared.hint("shuffle_hash"), "token")
+    placed = held.join(firsts.select("key", F.col("first").alias("place")), "key")
+    return cut(placed.select("token", "key", "place", "n", "at"), "line-prefixes")
 
 
 def _possible(x: str, y: str) -> Column:
@@ -144,6 +144,35 @@ def _possible(x: str, y: str) -> Column:
     return length & ((NUMER + DENOM) * (1 + F.least(n - i - 1, m - j - 1)) >= NUMER * (n + m))
 
 
+def _as_shorter() -> Column:
+    """Whether a prefix row can be that of the shorter (or equally long) line of a pair."""
+    return (NUMER + DENOM) * F.col("at") <= F.col("n")
+
+
+def _digits() -> Column:
+    return F.length(F.bin("n"))
+
+
+def earlier_pairs(later: DataFrame, posts: DataFrame) -> DataFrame:
+    """``(key, other)``: lines of ``later`` and the earlier lines of their tokens that pass the filters."""
+    def by_length(rows: DataFrame, near: tuple[int, ...]) -> DataFrame:
+        return rows.withColumn("digits", F.explode(F.array(*[_digits() + k for k in near])))
+
+    found = []
+    for shorter_is_later in (True, False):
+        x, y = later, posts
+        if shorter_is_later:
+            x, y = by_length(x.where(_as_shorter()), (0, 1)), by_length(y, (0,))
+            order = F.col("x.n") <= F.col("y.n")
+        else:
+            x, y = by_length(x, (0,)), by_length(y.where(_as_shorter()), (0, 1))
+            order = F.col("x.n") > F.col("y.n")
+        met = x.alias("x").join(y.alias("y"), ["token", "digits"])
+        met = met.where(order & (F.col("y.place") < F.col("x.place")) & _possible("x", "y"))
+        found.append(met.select(F.col("x.key").alias("key"), F.col("y.key").alias("other")))
+    return found[0].unionByName(found[1]).distinct()
+
+
 def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     """Of ``(key, other)`` the pairs whose whole sets match."""
     x = whole.select("key", F.col("codes").alias("cx"))
@@ -156,49 +185,75 @@ def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     )
 
 
-def earlier_matches(sets_of: Callable[[Callable[[DataFrame], DataFrame]], DataFrame], posts: DataFrame) -> DataFrame:
-    """``(key)`` of the lines whose first place comes after a different line that matches.
-
-    ``sets_of`` gives the sets of the lines that a function picks.
-    """
+def earlier_matches(copies: DataFrame, ranks: str, posts: DataFrame) -> DataFrame:
+    """``(key)`` of the lines whose first place comes after a different line that matches."""
     first = posts.groupBy("token").agg(F.min(F.struct("place", "key", "n", "at")).alias("e"))
     star = posts.alias("x").join(first.select("token", "e.*").alias("y"), "token").where(F.col("y.place") < F.col("x.place"))
     possible = star.where(_possible("x", "y")).select(F.col("x.key").alias("key"), F.col("y.key").alias("other"))
     star_pairs = cut(possible.distinct(), "line-star")
 
-    # Whole sets of the lines that share a prefix token, each from its first place.
-    held = bounded_broadcast(cut(posts.select("key", "place").distinct(), "line-keys"))
-    whole = cut(sets_of(lambda lines: lines.join(held, ["key", "place"], "left_semi")).groupBy("key").agg(F.first("codes").alias("codes")), "line-sets")
+    # Whole sets of the lines that share a prefix token.
+    held = bounded_broadcast(cut(posts.select("key").distinct(), "line-keys"))
+    whole = cut(line_sets(copies.join(held, "key", "left_semi"), ranks), "line-sets")
 
     found = cut(_verified(star_pairs, whole), "line-found")
     # A line that matched some token's earliest line goes; only the others look further.
     rest = posts.join(found.select("key").distinct(), "key", "left_anti")
-    later = (
-        rest.alias("x").join(posts.alias("y"), "token")
-        .where((F.col("y.place") < F.col("x.place")) & _possible("x", "y"))
-        .select(F.col("x.key").alias("key"), F.col("y.key").alias("other")).distinct()
-        .join(star_pairs, ["key", "other"], "left_anti")
-    )
+    later = earlier_pairs(cut(rest, "line-rest"), posts).join(star_pairs, ["key", "other"], "left_anti")
     return found.select("key").unionByName(_verified(later, whole).select("key")).distinct()
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` without the lines that match an earlier one, plus ``n_removed``."""
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    ranks = bucket_ranks(texts, min_words)
-
-    def sets_of(pick: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        return line_sets(pick(_lines(texts, min_words)), ranks)
-
-    firsts = first_places(texts, min_words)
-    matched = earlier_matches(sets_of, shared_prefixes(sets_of(lambda lines: lines), firsts))
-    lines = _lines(texts, min_words).select("place", "key")
+def lines_that_go(docs: DataFrame) -> DataFrame:
+    """``(d, t, gone)``: the sorted numbers of the lines that go, by doc_id and hash of the text."""
+    places = line_places(docs)
+    firsts = first_places(places)
+    copies = _first_copies(docs, firsts)
+    ranks = bucket_ranks(copies)
+    matched = earlier_matches(copies, ranks, shared_prefixes(line_sets(copies, ranks), firsts))
     # One row per line that occurs twice or matches an earlier one.
     marked = firsts.join(matched.withColumn("gone", F.lit(True)), "key", "left").where("n > 1 or gone")
-    going = lines.join(marked, "key").where(F.col("gone") | (F.col("place") > F.col("first")))
-    gone = going.groupBy(F.col("place.d").alias("__d")).agg(F.collect_set("place.line").alias("__gone"))
-    kept = F.filter(F.split(F.col("text").cast("string"), "\n"), lambda s, i: ~F.array_contains("__gone", i))
-    removed = F.coalesce(F.size("__gone"), F.lit(0))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__d"]), "left")
-    text = F.when(removed > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
-    return joined.withColumn("text", text).withColumn("n_removed", removed).drop("__d", "__gone")
+    held = bounded_broadcast(cut(marked.select("key", "first", F.coalesce("gone", F.lit(False)).alias("all")), "line-marked"))
+    going = places.join(held, "key").where(F.col("all") | (F.struct("d", "t", "line") > F.col("first")))
+    lists = going.groupBy("d", "t").agg(F.sort_array(F.collect_set("line")).alias("gone"))
+    return cut(lists, "line-gone")
+
+
+def _without(lines: Column, gone: Column) -> Column:
+    """What is left of an array without the places of ``gone`` (sorted): the runs between them."""
+    before = F.concat(F.array(F.lit(-1)), gone)
+    after = F.concat(gone, F.array(F.size(lines)))
+    return F.flatten(F.zip_with(before, after, lambda a, b: F.slice(lines, a + 2, b - a - 1)))
+
+
+def _copies_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__again``: whether a row equals an earlier one in doc_id and text."""
+    key = [F.col("doc_id").alias("__d"), F.xxhash64(F.col("text").cast("string")).alias("__t")]
+    again = docs.select(*key).groupBy("__d", "__t").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    again = cut(again.select("__d", "__t"), "line-again")
+    if again.isEmpty():
+        return docs.withColumn("__again", F.lit(False))
+    same = docs["doc_id"].eqNullSafe(again["__d"]) & (key[1] == again["__t"])
+    # Written with a number of its own for each row, so that every reader means the same copy.
+    held = cut(docs.join(again, same).withColumn("__row", F.monotonically_increasing_id()), "line-copies")
+    least = held.groupBy(F.col("__d").alias("__g"), F.col("__t").alias("__h")).agg(F.min("__row").alias("__first"))
+    marked = held.join(least, F.col("__d").eqNullSafe(F.col("__g")) & (F.col("__t") == F.col("__h")))
+    repeats = marked.withColumn("__again", F.col("__row") > F.col("__first")).select(*docs.columns, "__again")
+    return docs.join(again, same, "left_anti").withColumn("__again", F.lit(False)).unionByName(repeats)
+
+
+def dedup_lines(docs: DataFrame, count_as: str | None = None) -> DataFrame:
+    """``docs`` without the lines that match an earlier one; ``count_as`` names a column for the number of lines that went."""
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    gone = bounded_broadcast(lines_that_go(texts)).alias("own")
+    apart = _copies_apart(docs).alias("doc")
+    text = F.col("doc.text").cast("string")
+    joined = apart.join(gone, F.col("doc.doc_id").eqNullSafe(F.col("own.d")) & (F.xxhash64(text) == F.col("own.t")), "left")
+    lines, known = F.split(text, "\n"), F.col("own.gone").isNotNull()
+    left = F.when(F.col("doc.__again"), F.filter(lines, lambda s: F.trim(s) == "")).when(known, _without(lines, F.col("own.gone")))
+    new = F.when(left.isNull(), text).otherwise(F.array_join(left, "\n"))
+    out = [new.alias(c) if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns if c != count_as]
+    if count_as:
+        words = F.size(F.filter(lines, lambda s: F.trim(s) != ""))
+        went = F.when(text.isNull(), 0).when(F.col("doc.__again"), words).when(known, F.size("own.gone")).otherwise(0)
+        out.append(went.cast("long").alias(count_as))
+    return joined.select(*out)

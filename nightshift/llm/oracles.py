@@ -84,10 +84,10 @@ def line_dedup() -> str:
 WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, unnest(range(len(ls))) AS i, unnest(ls) AS s FROM docs),
 words AS (SELECT doc_id, i, list_filter(string_split(lower(s), ' '), lambda x: x <> '') AS w FROM lines),
-long AS (SELECT doc_id, i, array_to_string(w, ' ') AS k, w FROM words WHERE len(w) >= 5),
+long AS (SELECT doc_id, i, array_to_string(w, ' ') AS k, w FROM words WHERE len(w) > 0),
 firsts AS (SELECT k, any_value(w) AS w, min((doc_id, i)) AS place FROM long GROUP BY k),
 sets AS (
-  SELECT k, place, list_distinct(list_transform(range(1, len(w) - 3), lambda j: array_to_string(w[j:j + 4], ' '))) AS sh
+  SELECT k, place, list_distinct(list_transform(range(1, greatest(2, len(w) - 3)), lambda j: array_to_string(w[j:j + 4], ' '))) AS sh
   FROM firsts
 ),
 tokens AS (SELECT k, place, len(sh) AS n, unnest(sh) AS tok FROM sets),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from nightshift.llm.chat import format_events, read_back, turns_as_events
 from nightshift.llm.common import table
@@ -62,7 +61,7 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", F.col("n_removed").cast("long").alias("n_removed"))
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), count_as="n_removed")
 
 
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
