@@ -130,8 +130,10 @@ def shared_prefixes(sets: DataFrame, firsts: DataFrame) -> DataFrame:
     n = F.size("codes")
     prefix = F.slice("codes", 1, n - _needed(n) + 1)
     posts = sets.select("key", n.alias("n"), F.posexplode(prefix).alias("at", "token")).repartition("token")
-    # Both sides read the one exchange; tokens are counted in fixed memory, and most are unique.
-    shared = posts.groupBy("token").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("token")
+    # Tokens are counted in fixed memory, and most are unique.  Every column is
+    # read, as both sides of the join share an exchange only if it is the same.
+    seen = posts.groupBy("token").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.max("n").alias("n"), F.max("at").alias("at"))
+    shared = seen.where("a <> b AND n > 0 AND at >= 0").select("token")
     held = posts.join(shared.hint("shuffle_hash"), "token")
     placed = held.join(firsts.select("key", F.col("first").alias("place")), "key")
     return cut(placed.select("token", "key", "place", "n", "at"), "line-prefixes")
