@@ -42,3 +42,19 @@ def lower_ascii(col: Column) -> Column:
 def hex64(col: Column) -> Column:
     """A 64-bit value as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(col), 16, "0"))
+
+
+def copies_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__again``: whether a row equals an earlier one in doc_id and text (nulls equal each other)."""
+    hashed = F.xxhash64(F.col("text").cast("string"))
+    again = docs.select(F.col("doc_id").alias("__d"), hashed.alias("__t")).groupBy("__d", "__t").agg(F.count(F.lit(1)).alias("__n"))
+    again = cut(again.where("__n > 1").select("__d", "__t"), "copies")
+    if again.isEmpty():
+        return docs.withColumn("__again", F.lit(False))
+    same = docs["doc_id"].eqNullSafe(again["__d"]) & (hashed == again["__t"])
+    # Written with a number of its own for each row, so that every reader means the same copy.
+    held = cut(docs.join(again, same).withColumn("__row", F.monotonically_increasing_id()), "copies-rows")
+    least = held.groupBy(F.col("__d").alias("__g"), F.col("__t").alias("__h")).agg(F.min("__row").alias("__first"))
+    marked = held.join(least, F.col("__d").eqNullSafe(F.col("__g")) & (F.col("__t") == F.col("__h")))
+    repeats = marked.withColumn("__again", F.col("__row") > F.col("__first")).select(*docs.columns, "__again")
+    return docs.join(again, same, "left_anti").withColumn("__again", F.lit(False)).unionByName(repeats)

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from nightshift.llm.common import cut
+from nightshift.llm.common import copies_apart, cut
 from nightshift.operators.joins import bounded_broadcast
 
 SHINGLE = 5
@@ -53,20 +53,24 @@ NUMER, DENOM = 4, 5
 COUNT_BITS = 14
 
 
+def _once(column: Column) -> Column:
+    """A generator of the one value: what stands behind it is not made anew at every use."""
+    return F.explode(F.array(column))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """``(d, t, line, key, s)``: the lines that hold a word, as their words in lower case with single spaces."""
     lines = docs.select(
-        F.col("doc_id").alias("d"), F.xxhash64("text").alias("t"), F.posexplode(F.split("text", "\n")).alias("line", "raw")
+        F.col("doc_id").alias("d"), F.xxhash64("text").alias("t"), F.posexplode(F.split(F.lower("text"), "\n")).alias("line", "raw")
     )
-    low = lines.select("d", "t", "line", F.trim(F.lower("raw")).alias("s"))
-    even = F.when(F.instr("s", "  ") > 0, F.regexp_replace("s", " +", " ")).otherwise(F.col("s"))
-    even_lines = low.select("d", "t", "line", even.alias("s")).where("s <> ''")
-    return even_lines.select("d", "t", "line", F.xxhash64("s").alias("key"), "s")
+    words = F.trim("raw")
+    even = F.when(F.instr("raw", "  ") > 0, F.regexp_replace(words, " +", " ")).otherwise(words)
+    even_lines = lines.select("d", "t", "line", _once(even).alias("s")).where("s <> ''")
+    return even_lines.select("d", "t", "line", _once(F.xxhash64("s")).alias("key"), "s")
 
 
 def _words(lines: DataFrame, *columns: str) -> DataFrame:
-    # The generator keeps the words from being split anew at every use.
-    return lines.select(*columns, F.explode(F.array(F.split("s", " "))).alias("w"))
+    return lines.select(*columns, _once(F.split("s", " ")).alias("w"))
 
 
 def line_places(docs: DataFrame) -> DataFrame:
@@ -116,8 +120,8 @@ def line_sets(copies: DataFrame, ranks: str) -> DataFrame:
         return F.shiftleft(F.get(table, t.bitwiseAND(low).cast("int")), 64 - COUNT_BITS).bitwiseOR(rest)
 
     n = F.greatest(F.size("w") - (SHINGLE - 1), F.lit(1))
-    tokens = _words(copies, "key").select("key", F.explode(F.array(F.transform(F.slice("w", F.lit(1), n), token))).alias("tokens"))
-    return tokens.select("key", F.explode(F.array(F.sort_array(F.transform(F.array_distinct("tokens"), code)))).alias("codes"))
+    tokens = _words(copies, "key").select("key", _once(F.transform(F.slice("w", F.lit(1), n), token)).alias("tokens"))
+    return tokens.select("key", _once(F.sort_array(F.transform(F.array_distinct("tokens"), code))).alias("codes"))
 
 
 def _needed(n: Column) -> Column:
@@ -227,35 +231,25 @@ def _without(lines: Column, gone: Column) -> Column:
     return F.flatten(F.zip_with(before, after, lambda a, b: F.slice(lines, a + 2, b - a - 1)))
 
 
-def _copies_apart(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__again``: whether a row equals an earlier one in doc_id and text."""
-    key = [F.col("doc_id").alias("__d"), F.xxhash64(F.col("text").cast("string")).alias("__t")]
-    again = docs.select(*key).groupBy("__d", "__t").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
-    again = cut(again.select("__d", "__t"), "line-again")
-    if again.isEmpty():
-        return docs.withColumn("__again", F.lit(False))
-    same = docs["doc_id"].eqNullSafe(again["__d"]) & (key[1] == again["__t"])
-    # Written with a number of its own for each row, so that every reader means the same copy.
-    held = cut(docs.join(again, same).withColumn("__row", F.monotonically_increasing_id()), "line-copies")
-    least = held.groupBy(F.col("__d").alias("__g"), F.col("__t").alias("__h")).agg(F.min("__row").alias("__first"))
-    marked = held.join(least, F.col("__d").eqNullSafe(F.col("__g")) & (F.col("__t") == F.col("__h")))
-    repeats = marked.withColumn("__again", F.col("__row") > F.col("__first")).select(*docs.columns, "__again")
-    return docs.join(again, same, "left_anti").withColumn("__again", F.lit(False)).unionByName(repeats)
-
-
 def dedup_lines(docs: DataFrame, count_as: str | None = None) -> DataFrame:
     """``docs`` without the lines that match an earlier one; ``count_as`` names a column for the number of lines that went."""
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     gone = bounded_broadcast(lines_that_go(texts)).alias("own")
-    apart = _copies_apart(docs).alias("doc")
+    apart = copies_apart(docs).alias("doc")
     text = F.col("doc.text").cast("string")
     joined = apart.join(gone, F.col("doc.doc_id").eqNullSafe(F.col("own.d")) & (F.xxhash64(text) == F.col("own.t")), "left")
-    lines, known = F.split(text, "\n"), F.col("own.gone").isNotNull()
-    left = F.when(F.col("doc.__again"), F.filter(lines, lambda s: F.trim(s) == "")).when(known, _without(lines, F.col("own.gone")))
-    new = F.when(left.isNull(), text).otherwise(F.array_join(left, "\n"))
-    out = [new.alias(c) if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns if c != count_as]
+    parted = F.when(F.col("doc.__again") | F.col("own.gone").isNotNull(), F.split(text, "\n"))
+    rows = joined.select(*[F.col(f"doc.`{c}`") for c in docs.columns], "doc.__again", F.col("own.gone").alias("__gone"), _once(parted).alias("__lines"))
+    again, known, lines = F.col("__again"), F.col("__gone").isNotNull(), F.col("__lines")
+    left = F.when(again, F.filter(lines, lambda s: F.trim(s) == "")).when(known, _without(lines, F.col("__gone")))
+    out = []
+    for c in docs.columns:
+        if c == "text":
+            out.append(F.when(lines.isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias(c))
+        elif c != count_as:
+            out.append(F.col(f"`{c}`"))
     if count_as:
         words = F.size(F.filter(lines, lambda s: F.trim(s) != ""))
-        went = F.when(text.isNull(), 0).when(F.col("doc.__again"), words).when(known, F.size("own.gone")).otherwise(0)
+        went = F.when(lines.isNull(), 0).when(again, words).otherwise(F.size("__gone"))
         out.append(went.cast("long").alias(count_as))
-    return joined.select(*out)
+    return rows.select(*out)
