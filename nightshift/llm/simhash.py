@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightshift.llm.common import cut, hex64
+from nightshift.llm.common import copies_apart, cut, hex64
 from nightshift.llm.components import connected_components
 
 BITS = 64
@@ -121,9 +121,9 @@ def simhash_components(
     docs: DataFrame, shingle: int = 5, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text",
     bucket_pairs: int = BUCKET_PAIRS,
 ) -> DataFrame:
-    """``(doc_id, fp, component_id)`` per row of ``docs``; see the module docstring."""
-    fp = fingerprint_udf(shingle)
-    prints = cut(docs.select(F.col(id_col).alias("doc_id"), fp(F.col(text_col).cast("string")).alias("fp")), "simhash")
+    """``(doc_id, fp, text_hash, component_id)`` per row of ``docs``; see the module docstring."""
+    fp, text = fingerprint_udf(shingle), F.col(text_col).cast("string")
+    prints = cut(docs.select(F.col(id_col).alias("doc_id"), fp(text).alias("fp"), F.xxhash64(text).alias("text_hash")), "simhash")
     classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
     links = fingerprint_links(classes.where(F.col("rep").isNotNull()), max_bits, bucket_pairs)
     rep = classes.select(F.col("fp"), F.col("rep"))
@@ -136,7 +136,7 @@ def simhash_components(
     named = rep.join(found, rep["rep"] == found["node"], "left").select(
         "fp", F.coalesce("component", "rep").alias("component_id")
     )
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", "text_hash", "component_id")
 
 
 def simhash_digest(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
@@ -145,12 +145,15 @@ def simhash_digest(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
 
 
 def keep_first_of_group(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
-    """One document of each group stays: the one with the smallest doc_id.
+    """One row of each group stays: the first by doc_id (nulls last), hash of the text, copy of the row.
 
-    Rows with a null doc_id can't be a group's first among rows with ids, nor
-    be told apart: they all stay if one of them has no such row in its group,
-    else none does.
+    Rows with a null doc_id are in the group of the rows with their
+    fingerprint; where none of those has an id, they are a group of their own.
     """
     found = simhash_components(docs, shingle, max_bits)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
+    alone = F.when(F.col("component_id").isNull(), F.col("fp"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = found.groupBy("component_id", alone.alias("alone")).agg(F.min(order).alias("f")).select(
+        F.col("f.doc_id").alias("__d"), F.col("f.text_hash").alias("__t"))
+    here = docs["doc_id"].eqNullSafe(first["__d"]) & (F.xxhash64(docs["text"].cast("string")) == first["__t"])
+    return copies_apart(docs.join(first, here, "left_semi")).where(~F.col("__again")).drop("__again")
