@@ -33,7 +33,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -120,22 +120,45 @@ def format_events(events: DataFrame) -> DataFrame:
 
 
 def turns_as_events(turns: DataFrame) -> DataFrame:
-    """A table of finished turns as an event log: every turn starts, then streams its text.
+    """A table of finished turns as the event log of how they may have come about.
+
+    Every message starts and streams its text in parts.  By a hash of the
+    message, a third of them first stream a draft, after which another message
+    starts; then they are regenerated, which takes both away.  Another third
+    stream a draft that an edit empties.  What is left of the log is the
+    turns themselves.
 
     Turns with the same number are messages of their own (in order of role,
-    then of a hash of the text).
+    then of a hash of the text).  A null turn has no order for parts: its
+    messages start and stream their text at once.
     """
     turn = F.coalesce(F.col("turn").cast("string"), F.lit(""))
     # Equal rows stay apart by their place among the equals.
     same = turns.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
-    each = same.select("conv_id", "turn", "role", "text", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"))
-    message = F.concat_ws("\x1f", turn, F.coalesce("role", F.lit("")), F.xxhash64("text").cast("string"), F.col("copy").cast("string"))
-    steps = F.array(
-        F.struct((2 * F.col("turn")).alias("seq"), F.lit("start").alias("kind"), F.lit("").alias("text")),
-        F.struct((2 * F.col("turn") + 1).alias("seq"), F.lit("delta").alias("kind"), F.col("text").alias("text")),
+    each = same.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("h"),
+                       F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"))
+    message = F.concat_ws("\x1f", turn, F.coalesce("role", F.lit("")), F.col("h").cast("string"), F.col("copy").cast("string"))
+    how = F.pmod(F.xxhash64("conv_id", "turn", "h"), F.lit(3))
+    named = each.select("conv_id", "turn", "role", "text", message.alias("message"), how.alias("how"))
+
+    def step(at: int, kind: str, text: Column, message: Column = F.col("message"), role: Column = F.col("role")) -> Column:
+        return F.struct(F.lit(at).alias("at"), F.lit(kind).alias("kind"), message.alias("message"), role.alias("role"), text.alias("text"))
+
+    third = F.greatest(F.lit(1), F.ceil(F.char_length("text") / 3).cast("int"))
+    parts = [F.substring("text", k * third + 1, third) for k in range(3)]
+    empty, draft, edited = F.lit(""), F.col("how") == 1, F.col("how") == 2
+    numbered = F.array(
+        step(0, "start", empty),
+        F.when(draft | edited, step(1, "delta", F.reverse("text"))),
+        F.when(draft, step(2, "start", F.lit("a reply to the draft"), F.concat("message", F.lit("\x1freply")), F.lit("user"))),
+        F.when(draft, step(3, "regenerate", empty)).when(edited, step(3, "edit", empty)),
+        # What a regeneration took away of the messages of the same turn begins again here.
+        *[step(4 + k, "delta", parts[k]) for k in range(3)],
     )
-    return each.select("conv_id", message.alias("message"), "role", F.explode(steps).alias("e")).select(
-        "conv_id", "e.seq", "e.kind", "message", "role", "e.text"
+    at_once = F.array(step(0, "start", empty), step(1, "delta", F.col("text")))
+    steps = F.when(F.col("turn").isNull(), at_once).otherwise(F.filter(numbered, lambda e: e.isNotNull()))
+    return named.select("conv_id", "turn", F.explode(steps).alias("e")).select(
+        "conv_id", (8 * F.col("turn") + F.col("e.at")).alias("seq"), "e.kind", "e.message", "e.role", "e.text"
     )
 
 
