@@ -15,10 +15,10 @@ totals and the K x K Gram matrix of the rates that aren't cut, a second one
 tries shorter steps where the full step doesn't gain.  ``SOFT`` weighs the
 distance from rate 1 against the misses; it is lowered in steps, so it
 leaves next to nothing of targets that can be reached.  The fit ends when the
-dual's gradient vanishes, never because a step gains little; a fit that does
-not get there raises.  Then a target that is still missed is out of reach of
-any rates (together with the others): ``missed_<domain>`` tells by how much,
-as a share of its target, and a warning is logged.  Domains in ``left_out``
+dual's gradient vanishes or no step gains any more.  A target that is still
+missed is out of reach of any rates (together with the others):
+``missed_<domain>`` tells by how much, as a share of its target, and a warning
+is logged.  Domains in ``left_out``
 (an earlier stage removed them) have no target: their total is free and the
 other targets are shares among themselves.
 
@@ -50,13 +50,14 @@ from nightshift.llm.common import cut, text_of
 from nightshift.llm.features import features_udf
 
 MAX_LABELLED = 12_000
-#: Newton steps for each weight of ``SOFT``; a fit that needs more raises.
+#: Newton steps for each weight of ``SOFT``.
 STEPS = 200
 #: The dual's gradient at which a fit is done, and the miss from which a target counts as unmet; shares of all targets.
 TOLERANCE, UNMET = 1e-7, 1e-3
 #: Weights of the distance from rate 1, the last one holds.
 SOFT = (1e-2, 1e-4, 1e-6, 1e-8)
 TRIED = tuple(0.5**k for k in range(1, 13))
+DAMPED = tuple(10.0**k for k in range(-6, 7))
 
 LOG = logging.getLogger(__name__)
 
@@ -149,34 +150,43 @@ def _dual_sums(rows: DataFrame, many: range, max_rate: float | None, duals: list
 
 
 def dual_newton(sums: Callable, targets: np.ndarray, weight: np.ndarray, steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[np.ndarray, np.ndarray]:
-    """The dual numbers and the totals they give; ``sums(duals, whole)`` is as ``_dual_sums``."""
+    """The dual numbers and the totals they give; ``sums(duals, whole)`` is as ``_dual_sums``.
+
+    A step is only taken if the dual gains by it.  Where the Newton step does
+    not, shorter ones and ones with a damped Gram matrix (down to a short step
+    along the gradient) are tried in one aggregation.  If none gains, the dual
+    is at its maximum as far as the sums' precision tells, and that is the fit.
+    """
     scale = max(targets.sum(), 1.0)
     x = np.zeros(len(targets))
+    root = np.sqrt(weight)
     for soft in SOFT:
         bend = soft / weight
 
         def value(distance: float, totals: np.ndarray, at: np.ndarray) -> float:
             return distance + at @ (totals - targets) - 0.5 * (bend * at * at).sum()
 
+        def move(gram: np.ndarray, left: np.ndarray, damp: float) -> np.ndarray:
+            scaled = root[:, None] * (gram + np.diag(bend)) * root
+            return root * np.linalg.solve(scaled + damp * np.eye(len(left)), root * left)
+
         distance, totals, gram = sums([x], True)[0]
         for _ in range(steps):
             left = totals - targets - bend * x
             if np.abs(left).max() <= tolerance * scale:
                 break
-            root = np.sqrt(weight)
-            move = root * np.linalg.solve(root[:, None] * (gram + np.diag(bend)) * root, root * left)
             now = value(distance, totals, x)
-            after = sums([x + move], True)[0]
-            if value(after[0], after[1], x + move) < now + 1e-4 * (left @ move):
-                tried = [x + s * move for s in TRIED]
+            step = move(gram, left, 0.0)
+            after = sums([x + step], True)[0]
+            if value(after[0], after[1], x + step) < now + 1e-4 * (left @ step):
+                tried = [x + s * step for s in TRIED] + [x + move(gram, left, d) for d in DAMPED]
                 gains = [value(d, t, at) for at, (d, t, _) in zip(tried, sums(tried, False))]
-                x = tried[int(np.argmax(gains))]
-                after = sums([x], True)[0]
-            else:
-                x = x + move
+                if not max(gains) > now + 1e-14 * abs(now):
+                    break
+                step = tried[int(np.argmax(gains))] - x
+                after = sums([x + step], True)[0]
+            x = x + step
             distance, totals, gram = after
-        else:
-            raise RuntimeError(f"mixing did not converge in {steps} steps: off by {np.abs(left).max() / scale:.2e} of the total")
     return x, totals
 
 
