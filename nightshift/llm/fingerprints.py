@@ -1,12 +1,14 @@
 """Operator 1: document fingerprints by SpotSigs.
 
-Every word of a text is an anchor and forms a signature: the word and the
-chain of the next ``CHAIN`` content words.  Frequent words (articles,
-prepositions, forms of "be") are left out of chains, so only their own
-signature changes with them; at the end of the text a chain is filled with
-an end mark.  The rule is the same for all lengths and languages, and a text
-has a signature for each of its words.  A text's fingerprint is its set of
-signature hashes (32 bits each), written as sorted hex digits.
+Anchors are the corpus's common words, the ``COMMON`` words that most documents
+hold, counted over all documents (``common_words``).  Each anchor forms a
+signature: the word and the chain of the next ``CHAIN`` content words, those
+that are not common; at the end of the text a chain is filled with an end
+mark.  Where no common word stands within ``GAP`` words, the word with the
+least hash of them is an anchor as well, so every ``GAP`` words in a row hold one;
+that choice depends on those words alone and is the same for all lengths and
+languages.  A text's fingerprint is its set of signature hashes (32 bits
+each), written as sorted hex digits.
 
 ``near_duplicates`` finds all pairs of fingerprints with a Jaccard similarity
 of at least a threshold: copies collapse, sets are partitioned by their
@@ -39,18 +41,15 @@ from pyspark.sql import functions as F
 
 from nightshift.llm.common import cut, text_of
 
-# Frequent words of four languages, left out of chains.
-FREQUENT = frozenset(
-    "the of and to a in is that for it was be an are "
-    "der die das und ein eine ist von zu den mit "
-    "le la les de des et un une est du dans "
-    "el los las y una es que se por con".split()
-)
+#: Common words of a corpus, and the words in a row that hold an anchor.
+COMMON = 64
+GAP = 4
 CHAIN = 2
 EDGES = ".,;:!?\"'()[]{}<>-_*#~`|/\\"
 CACHED_WORDS = 300_000
 RANGE_ROWS = 1_000
-MAX_RANGES = 1_024
+#: Ranges are compared with each row's id, so their number has a bound; a range is streamed, whatever its length.
+MAX_RANGES = 16_384
 
 DIGEST = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -58,8 +57,20 @@ DIGEST = (
 )
 
 
+def common_words(docs: DataFrame, size: int = COMMON) -> list[str]:
+    """The ``size`` words that most documents hold (ties: smallest first), over all documents."""
+    tokens = F.array_distinct(F.split(F.lower(text_of(F.col("text"))), r"\s+"))
+    held = docs.select(F.explode(tokens).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    ranked = held.where(F.col("w").rlike(r"^\p{L}+$")).orderBy(F.desc("n"), "w").limit(size)
+    return [r["w"] for r in ranked.collect()]
+
+
 class _Words(dict):
-    """Token -> its word's hash, odd for frequent words; 0 for a token without a word."""
+    """Token -> its word's hash, odd for common words; 0 for a token without a word."""
+
+    def __init__(self, common: list[str] | tuple[str, ...] = ()):
+        super().__init__()
+        self.common = frozenset(common)
 
     def __missing__(self, token: str) -> int:
         if len(self) > CACHED_WORDS:
@@ -67,7 +78,8 @@ class _Words(dict):
         word = token.strip(EDGES)
         code = 0
         if word:
-            code = (xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) | 3) ^ (2 if word in FREQUENT else 3)
+            code = (xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) | 3) ^ (2 if word in self.common else 3)
+            code = code or 4
         self[token] = code
         return code
 
@@ -81,16 +93,29 @@ def _mixed(parts: list[np.ndarray]) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
+def anchors(codes: np.ndarray) -> np.ndarray:
+    """Which words are anchors: all common ones, and of each ``GAP`` words without one the last with the least hash."""
+    common = (codes & np.uint64(1)).astype(bool)
+    if not len(codes):
+        return common
+    width = min(GAP, len(codes))
+    windows = np.lib.stride_tricks.sliding_window_view(codes, width)
+    bare = ~np.lib.stride_tricks.sliding_window_view(common, width).any(axis=1)
+    least = width - 1 - windows[bare][:, ::-1].argmin(axis=1)
+    common[np.flatnonzero(bare) + least] = True
+    return common
+
+
 def spot_signatures(text: str, words: _Words) -> np.ndarray:
     """The sorted distinct signature hashes of a text."""
     tokens = text.lower().split()
     codes = np.fromiter(map(words.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
     codes = codes[codes != 0]
-    frequent = (codes & np.uint64(1)).astype(bool)
-    content = np.concatenate([codes[~frequent], np.zeros(CHAIN, dtype=np.uint64)])
-    # The place of each word's chain among the content words.
-    at = np.cumsum(~frequent)
-    return np.unique(_mixed([codes, *(content[at + k] for k in range(CHAIN))]))
+    common = (codes & np.uint64(1)).astype(bool)
+    content = np.concatenate([codes[~common], np.zeros(CHAIN, dtype=np.uint64)])
+    # The place of each anchor's chain among the content words.
+    at = np.cumsum(~common)[anchor] if (anchor := anchors(codes)).any() else np.zeros(0, dtype=np.int64)
+    return np.unique(_mixed([codes[anchor], *(content[at + k] for k in range(CHAIN))]))
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -152,13 +177,14 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, int]:
     return own.unionByName(ahead), max(1, len(heads))
 
 
-def document_fingerprints(docs: DataFrame) -> DataFrame:
-    """The digest per row of ``docs``; see the module docstring."""
+def document_fingerprints(docs: DataFrame, common: list[str] | None = None) -> DataFrame:
+    """The digest per row of ``docs``; ``common`` are the corpus's common words, counted if not given."""
+    common = common_words(docs) if common is None else common
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
     placed, parts = with_next(texts)
 
     def fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = _Words()
+        words = _Words(common)
         held = None  # (part, doc_id, text, signatures) that waits for its next
 
         def row(held, text, own):
@@ -186,16 +212,17 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     return dealt.mapInPandas(fingerprints, DIGEST)
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, common: list[str] | None = None) -> DataFrame:
     """``(fingerprint_a, fingerprint_b, jaccard)`` of all different fingerprints that alike, and no others.
 
     ``docs`` has ``(doc_id, text)``; equal fingerprints are one.  Join with
     the fingerprints of documents for members.
     """
+    common = common_words(docs) if common is None else common
 
     @F.pandas_udf("array<long>")
     def signatures(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = _Words()
+        words = _Words(common)
         for batch in texts:
             yield pd.Series([spot_signatures(t, words).astype(np.int64) for t in batch])
 
