@@ -180,9 +180,13 @@ def earlier_pairs(later: DataFrame, posts: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
-    """Of ``(key, other)`` the pairs whose whole sets match."""
-    x = whole.select("key", F.col("codes").alias("cx"))
-    y = whole.select(F.col("key").alias("other"), F.col("codes").alias("cy"))
+    """Of ``(key, other)`` (written) the pairs whose whole sets match."""
+    def held(side: str) -> DataFrame:
+        # Only the sets of lines that stand on that side are dealt out.
+        return whole.join(bounded_broadcast(pairs.select(F.col(side).alias("key")).distinct()), "key", "left_semi")
+
+    x = held("key").select("key", F.col("codes").alias("cx"))
+    y = held("other").select(F.col("key").alias("other"), F.col("codes").alias("cy"))
     both = F.size(F.array_intersect("cx", "cy"))
     return (
         pairs.join(x, "key").join(y, "other")
@@ -205,7 +209,7 @@ def earlier_matches(copies: DataFrame, ranks: str, posts: DataFrame) -> DataFram
     found = cut(_verified(star_pairs, whole), "line-found")
     # A line that matched some token's earliest line goes; only the others look further.
     rest = posts.join(found.select("key").distinct(), "key", "left_anti")
-    later = earlier_pairs(cut(rest, "line-rest"), posts).join(star_pairs, ["key", "other"], "left_anti")
+    later = cut(earlier_pairs(cut(rest, "line-rest"), posts).join(star_pairs, ["key", "other"], "left_anti"), "line-later")
     return found.select("key").unionByName(_verified(later, whole).select("key")).distinct()
 
 
