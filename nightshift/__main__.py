@@ -20,6 +20,7 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -32,6 +33,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--landing", default=None)
     r.add_argument("--landing-format", default="parquet", choices=("parquet", "csv"))
     r.add_argument("--run-ts", default=None, help="run timestamp (default: now, UTC)")
+    r.add_argument("--mode", default="append", choices=("append", "replace"), help="replace: days that earlier batches have are counted anew")
+    r.add_argument("--batch-no", type=int, default=None, help="run this batch (a failed one, say) instead of the newest")
     args = p.parse_args(argv)
     import logging
 
@@ -53,12 +56,13 @@ def main(argv: list[str] | None = None) -> int:
         spark,
         Store(spark, args.warehouse),
         lambda t: spark.read.schema(SOURCE_SCHEMAS[t]).parquet(f"{sources}/{t}"),
-        spark.read.parquet(args.control),
+        spark.read.parquet(args.control).where(F.lit(True) if args.batch_no is None else F.col("etl_batch_no") <= args.batch_no),
         run_ts,
         args.landing or f"{args.warehouse.rstrip('/')}/_landing",
         landing_format=args.landing_format,
         timings=timings,
         counts=counts,
+        mode=args.mode,
     )
     print(json.dumps({"batch_no": batch.no, "batch_date": batch.date.isoformat(),
                       "rows": counts, "steps": timings}))

@@ -90,9 +90,13 @@ def new_keys(rows: DataFrame, existing: DataFrame, keys: list[str], existing_key
     return rows.join(ex, keys, "left_anti")
 
 
-def join_small_side(big: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def join_small_side(big: DataFrame, small: DataFrame, key: str, how: str = "inner", stored_by: str | None = None) -> DataFrame:
     """``big`` joined with a usually-small ``small`` side on ``key``.
 
+    ``stored_by`` names a column that both sides hold for the same key and by
+    which ``big`` is partitioned on disk: as a join key it lets Spark prune
+    the partitions of ``big`` by those of ``small`` when the join starts.
+
     One aggregate over ``small`` gives its size and key range.  The
     range becomes a plain ``key BETWEEN lo AND hi`` filter on ``big``, which
     Parquet turns into row-group skipping when ``big`` is clustered on the
@@ -106,4 +110,4 @@ def join_small_side(big: DataFrame, small: DataFrame, key: str, how: str = "inne
     else:
         big = big.where(F.col(key).between(F.lit(lo), F.lit(hi)))
     side = F.broadcast(small) if _within(small, stats["__rows"], stats["__bytes"]) else small
-    return big.join(side, key, how)
+    return big.join(side, [key, stored_by] if stored_by else key, how)

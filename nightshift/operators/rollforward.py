@@ -108,3 +108,11 @@ def rollup_months(daily: DataFrame, key: str, measures, batch: Batch) -> DataFra
     """First load of a monthly table: the insert half against an empty one."""
     return monthly_insert_rows(monthly_delta(daily, key, measures, None), key, measures, batch) \
         .select(*monthly_columns(key, measures))
+
+
+def recomputed_months(daily: DataFrame, known: DataFrame, key: str, measures, batch: Batch) -> DataFrame:
+    """The rows of whole months from all their ``daily`` rows; rows that are ``known`` keep their creation time."""
+    made = rollup_months(daily, key, measures, batch)
+    born = known.select(F.col(MONTH).alias("__m"), F.col(key).alias("__k"), F.col("dw_create_timestamp").alias("__born"))
+    joined = made.join(born, (F.col(MONTH) == F.col("__m")) & F.col(key).eqNullSafe(F.col("__k")), "left")
+    return joined.withColumn("dw_create_timestamp", F.coalesce("__born", "dw_create_timestamp")).select(*made.columns)

@@ -6,15 +6,18 @@ tracked value changed (NULL-safe) gets ``dw_active_record_ind = 0``,
 every dimension row without an active row *after* the close gets a new
 active row from the batch date on.  No deletes: a vanished id stays active.
 
-Scale: one shuffle join compares the dimension with the active rows on the
-id (two columns each).  The history itself is only streamed: the set of ids
-to close is small in a normal batch and is then broadcast after a bounded
-count; beyond the bound the rewrite is a shuffle join.
+Scale: nightly the changes come from the dimension's merge (old and new
+value of the rows that it wrote), so only the versions of those ids are
+looked at (``history_touched``): the id ranges that hold them are read and
+written, closed versions go to a partition of their batch, and nothing is
+compared for the rest.  Without such a feed (a first load, a batch that runs
+again, the queries) one shuffle join compares the dimension with the active
+rows on the id, two columns each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightshift.batch import Batch
@@ -52,24 +55,38 @@ def ids_to_close(history: DataFrame, dim: DataFrame, spec: Scd2Spec,
     return ch.where("__close").select(spec.id_col).distinct()
 
 
+def closed_version(batch: Batch) -> dict[str, Column]:
+    """The columns that change when the batch closes a version."""
+    return {
+        "dw_active_record_ind": F.lit(0),
+        "update_etl_batch_no": batch.no_col,
+        "effective_to_date": day_before(batch.date_col),
+        "update_etl_batch_date": batch.date_col,
+        "dw_update_timestamp": batch.ts_col,
+    }
+
+
+def opened_version(batch: Batch) -> dict[str, Column]:
+    """The columns of a version that the batch opens."""
+    return {
+        "effective_from_date": batch.date_col,
+        "effective_to_date": F.lit(None).cast("date"),
+        "dw_active_record_ind": F.lit(1),
+        "dw_create_timestamp": batch.ts_col,
+        "dw_update_timestamp": batch.ts_col,
+        "create_etl_batch_no": batch.no_col,
+        "create_etl_batch_date": batch.date_col,
+        "update_etl_batch_no": F.lit(None).cast("int"),
+        "update_etl_batch_date": F.lit(None).cast("date"),
+    }
+
+
 def rows_to_open(history: DataFrame, dim: DataFrame, spec: Scd2Spec, batch: Batch,
                  changes: DataFrame | None = None) -> DataFrame:
     """Dimension rows without an active version once changes are closed."""
     ch = change_set(history, dim, spec) if changes is None else changes
     need = ch.dropDuplicates([spec.id_col])
-    return need.select(
-        spec.id_col,
-        spec.tracked,
-        batch.date_col.alias("effective_from_date"),
-        F.lit(None).cast("date").alias("effective_to_date"),
-        F.lit(1).alias("dw_active_record_ind"),
-        batch.ts_col.alias("dw_create_timestamp"),
-        batch.ts_col.alias("dw_update_timestamp"),
-        batch.no_col.alias("create_etl_batch_no"),
-        batch.date_col.alias("create_etl_batch_date"),
-        F.lit(None).cast("int").alias("update_etl_batch_no"),
-        F.lit(None).cast("date").alias("update_etl_batch_date"),
-    )
+    return need.select(spec.id_col, spec.tracked, *[c.alias(n) for n, c in opened_version(batch).items()])
 
 
 def close_changed(history: DataFrame, dim: DataFrame, spec: Scd2Spec, batch: Batch,
@@ -80,13 +97,7 @@ def close_changed(history: DataFrame, dim: DataFrame, spec: Scd2Spec, batch: Bat
     )
     h = history.join(closing_ids, spec.id_col, "left")
     close = F.col("__close").isNotNull() & (F.col("dw_active_record_ind") == 1)
-    new = {
-        "dw_active_record_ind": F.lit(0),
-        "update_etl_batch_no": batch.no_col,
-        "effective_to_date": day_before(batch.date_col),
-        "update_etl_batch_date": batch.date_col,
-        "dw_update_timestamp": batch.ts_col,
-    }
+    new = closed_version(batch)
     cols = [spec.id_col, spec.tracked, *HISTORY_COLUMNS]
     return h.select(*[
         (F.when(close, new[c]).otherwise(F.col(c)) if c in new else F.col(c)).alias(c)
@@ -100,3 +111,26 @@ def scd2_merge(history: DataFrame, dim: DataFrame, spec: Scd2Spec, batch: Batch)
     return close_changed(history, dim, spec, batch, changes).unionByName(
         rows_to_open(history, dim, spec, batch, changes)
     )
+
+
+def history_touched(active: DataFrame, feed: DataFrame, spec: Scd2Spec, batch: Batch, width: int) -> DataFrame:
+    """The history's partitions that the ids of ``feed`` touch, as they will be.
+
+    ``feed`` has (id, value) of the dimension rows to look at, ``active`` the
+    active versions of all id ranges that hold them.  Active versions lie in
+    the partition of their id range, those that this batch closes in one of
+    its own (``part`` is the batch number there).
+    """
+    held = bounded_broadcast(materialize(feed.select(spec.id_col, F.col(spec.tracked).alias("__new"), F.lit(True).alias("__in"))))
+    h = active.join(held, spec.id_col, "left")
+    close = F.col("__in").isNotNull() & changed(spec.tracked, "__new")
+    columns = [spec.id_col, spec.tracked, *HISTORY_COLUMNS]
+    shut = closed_version(batch)
+    id_range = F.floor(F.col(spec.id_col) / F.lit(width)).cast("bigint").alias("part")
+    closed = h.where(close).select(*[shut.get(c, F.col(c)).alias(c) for c in columns], batch.no_col.cast("bigint").alias("part"))
+    stay = h.where(~close).select(*columns, id_range)
+    current = h.where(F.col("__in").isNotNull() & ~close).select(F.col(spec.id_col).alias("__id"))
+    need = held.join(current, F.col(spec.id_col) == F.col("__id"), "left_anti")
+    opened = need.select(spec.id_col, F.col("__new").alias(spec.tracked)).select(
+        spec.id_col, spec.tracked, *[c.alias(n) for n, c in opened_version(batch).items()], id_range)
+    return closed.unionByName(stay).unionByName(opened)

@@ -32,9 +32,11 @@ from nightshift.schemas import (
     STATUS_SHIPPED,
     measure_type,
 )
+from nightshift.session import materialize
 
 CUSTOMER_KEY = "dw_customer_id"
 PRODUCT_KEY = "dw_product_id"
+ORDER_MONTH = "order_month"
 
 
 def _zero(name: str) -> Column:
@@ -191,6 +193,32 @@ def customer_paid(wh, batch: Batch) -> DataFrame:
     ))
 
 
+def first_payments_touched(
+    known: DataFrame, payments: DataFrame, merged: DataFrame, changes: DataFrame, width: int
+) -> tuple[DataFrame, list]:
+    """C13 kept up by the batch: rows of the id ranges that its payments touch, and the ranges that may lose rows.
+
+    ``known`` has (customer, first day) so far, ``merged`` the batch's payments
+    as stored now, ``changes`` their (customer, old, new) days.  A payment can
+    only bring a customer's first day forward, unless one that had it moves
+    to a later day or loses its day: then, and only for such customers, the
+    day is looked up in all payments again.
+    """
+    touch = bounded_broadcast(materialize(
+        merged.where(F.col("paymentdate").isNotNull()).groupBy(CUSTOMER_KEY).agg(F.min(day("paymentdate")).alias("__day"))))
+    back = changes.where(F.col("old").isNotNull() & (F.col("new").isNull() | (day("new") > day("old"))))
+    moved = materialize(back.select(CUSTOMER_KEY).distinct())
+    id_range = F.floor(F.col(CUSTOMER_KEY) / F.lit(width)).cast("bigint")
+    ranges = [r[0] for r in touch.select(CUSTOMER_KEY).unionByName(moved).select(id_range.alias("r")).distinct().collect()]
+    held = known.where(F.col("id_range").isin(ranges)).select(CUSTOMER_KEY, "first_payment_date")
+    days = held.unionByName(touch.select(CUSTOMER_KEY, F.col("__day").alias("first_payment_date")))
+    first = days.groupBy(CUSTOMER_KEY).agg(F.min("first_payment_date").alias("first_payment_date"))
+    if moved.isEmpty():
+        return first.withColumn("id_range", id_range), []
+    first = first.join(bounded_broadcast(moved), CUSTOMER_KEY, "left_anti").unionByName(first_payment(payments, moved))
+    return first.withColumn("id_range", id_range), ranges
+
+
 CUSTOMER_BRANCHES = {
     "new": customer_new,
     "ordered": customer_ordered,
@@ -211,6 +239,19 @@ def daily_customer_summary_by_branches(wh, batch: Batch) -> DataFrame:
 
 # --- customer summary: one pass over the order lines -------------------------
 
+def _stored_by(wh) -> list[str]:
+    """The month by which stored orders and their lines are laid out, where both have it."""
+    both = set(wh["orders"].columns) & set(wh["orderdetails"].columns)
+    return [ORDER_MONTH] if ORDER_MONTH in both else []
+
+
+def _lines_of(orders: DataFrame, wh) -> DataFrame:
+    """The order lines of ``orders``; only the months of those orders are read of the stored lines."""
+    stored = _stored_by(wh)
+    details = wh["orderdetails"].select("dw_order_id", PRODUCT_KEY, "quantityordered", "priceeach", *stored)
+    return join_small_side(details, orders, "dw_order_id", stored_by=stored[0] if stored else None)
+
+
 def _order_events(wh, batch: Batch) -> DataFrame:
     """Order lines with an event on or after the cutoff, joined once."""
     D = batch.date
@@ -219,14 +260,14 @@ def _order_events(wh, batch: Batch) -> DataFrame:
     ).select(
         "dw_order_id",
         CUSTOMER_KEY,
+        *_stored_by(wh),
         day("orderdate").alias("od"),
         day("cancelleddate").alias("cd"),
         day("shippeddate").alias("sd"),
         normalized("status").alias("st"),
     )
-    details = wh["orderdetails"].select("dw_order_id", PRODUCT_KEY, "quantityordered", "priceeach")
     products = wh["products"].select(PRODUCT_KEY, "msrp", F.lit(True).alias("has_product"))
-    lines = join_small_side(details, orders, "dw_order_id")
+    lines = _lines_of(orders, wh)
     return lines.join(bounded_broadcast(products), PRODUCT_KEY, "left")
 
 
@@ -301,7 +342,11 @@ def daily_customer_summary(wh, batch: Batch) -> DataFrame:
     pay = wh["payments"].where(
         on_or_after("paymentdate", batch.date) & F.col("paymentdate").isNotNull()
     )
-    paid = paid_days(pay, first_payment(wh["payments"], pay.select(CUSTOMER_KEY).distinct()))
+    # Kept by the batches where the warehouse is stored; else made from all payments.
+    first = wh.get("first_payments")
+    if first is None:
+        first = first_payment(wh["payments"], pay.select(CUSTOMER_KEY).distinct())
+    paid = paid_days(pay, first.select(CUSTOMER_KEY, "first_payment_date"))
     pay_rows = paid.select(*_cm(
         {
             "payment_apd": F.lit(1),
@@ -371,12 +416,9 @@ def daily_product_summary(wh, batch: Batch) -> DataFrame:
     D = batch.date
     orders = wh["orders"].where(
         on_or_after("orderdate", D) | on_or_after("cancelleddate", D)
-    ).select("dw_order_id", day("orderdate").alias("od"), day("cancelleddate").alias("cd"))
-    details = wh["orderdetails"].select("dw_order_id", PRODUCT_KEY, "quantityordered", "priceeach")
+    ).select("dw_order_id", *_stored_by(wh), day("orderdate").alias("od"), day("cancelleddate").alias("cd"))
     products = wh["products"].select(PRODUCT_KEY, "msrp")
-    lines = join_small_side(details, orders, "dw_order_id").join(
-        bounded_broadcast(products), PRODUCT_KEY
-    )
+    lines = _lines_of(orders, wh).join(bounded_broadcast(products), PRODUCT_KEY)
     q = F.col("quantityordered")
     cost, mrp = q * F.col("priceeach"), q * F.col("msrp")
     Dl = F.lit(D)

@@ -10,15 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from nightshift.batch import Batch
+from nightshift.functions import month_start
 from nightshift.operators.rollforward import rollforward_merge, rollforward_parts
-from nightshift.operators.scd1 import Scd1Result, scd1_merge_parts
+from nightshift.operators.scd1 import Scd1Result, Touched, scd1_merge_parts, scd1_touched
 from nightshift.operators.scd2 import scd2_merge
 from nightshift.plans import daily
+from nightshift.plans.tables import DATED, LAYOUT, ORDER_MONTH
 from nightshift.schemas import (
     DAILY_CUSTOMER_MEASURES,
     DAILY_PRODUCT_MEASURES,
     SCD1_SPECS,
     SCD2_SPECS,
+    Lookup,
 )
 
 
@@ -35,6 +38,29 @@ def upsert(table: str, warehouse, stage, batch, resolve_within_batch: bool = Fal
     return upsert_parts(table, warehouse, stage, batch, resolve_within_batch).table
 
 
+#: Where an order line is stored: the month of its order.
+LINE_MONTH = Lookup("orders", "ordernumber", "src_ordernumber", ORDER_MONTH, ORDER_MONTH, True)
+#: Columns whose changes a later program reads: (id, column).
+TRACKED = {
+    **{spec.dim: (spec.id_col, spec.tracked) for spec in SCD2_SPECS.values()},
+    "payments": ("dw_customer_id", "paymentdate"),
+}
+
+
+def upsert_touched(table: str, warehouse: dict[str, DataFrame], stage: DataFrame, batch: Batch, width: int,
+                   resolve_within_batch: bool = False) -> Touched:
+    """I1-I8 on stored tables: the partitions that the batch touches."""
+    spec = SCD1_SPECS[table]
+    parents = {lk.parent: warehouse[lk.parent] for lk in spec.lookups if not lk.self_ref}
+    where = {"part": LAYOUT[table][0], "width": width}
+    if table == "orderdetails":
+        where["part_from"] = LINE_MONTH
+    elif table in DATED:
+        where["part_of"] = month_start(DATED[table][1])
+    return scd1_touched(warehouse[table], stage, spec, batch, parents=parents, tracked=TRACKED.get(table),
+                        resolve_within_batch=resolve_within_batch, **where)
+
+
 def history(name: str, warehouse, batch: Batch) -> DataFrame:
     """``scd2_customer_history`` / ``scd2_product_history``."""
     spec = SCD2_SPECS[name]

@@ -1,229 +1,117 @@
-"""Snapshot store: every batch publishes new table versions, then commits.
-
-Plain Parquet has no MERGE or UPDATE, so a program's result (the whole new
-table) is written to a fresh version directory ``<root>/<table>/batch=<no>``
-- never over the path being read.  Append-only facts (the daily summaries)
-are written as their own partition ``<root>/<table>/etl_batch_no=<no>``.
-Only when every table of the batch is written is a manifest
-``<root>/_manifest/batch_no=<no>`` saved; readers follow the newest manifest.
-It names, for every table, the version, the batches whose rows belong to it
-and the schema: rows of a failed batch belong to no manifest, and an empty
-part is read like any other.  Writing the result and reading it back also
-cuts the lineage between programs.
-
-The batch log lives beside the manifest, as it must show running and failed
-batches: every change of a status is a row of its own.
+"""Warehouse tables on plain Parquet: a folder for each table, partitioned by ``tables.LAYOUT``.
+
+A program hands over whole partitions, those that its batch touches, and
+Spark's dynamic partition overwrite replaces them (it stages the new files
+first, so a program may read the table that it writes).  Everything else
+stays as it is on disk.  Each table is published on its own, as soon as its
+program is done; what says that a batch is complete is its 'S' row in the
+batch log.  A batch that failed is run again: every program gives the same
+table when it is repeated (see ``run.run_batch``).
+
+Known limit: Spark swaps the folders of a write one after another when all
+its tasks are done.  A driver that dies within that moment can leave some of
+them unswapped; running the batch again writes them anew, except those that
+were already removed, which plain Parquet can't prevent.
 """
 
 from __future__ import annotations
 
-import json
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nightshift.session import materialize
+from nightshift.plans.tables import ID_WIDTH, LAYOUT, LOG, TABLES, table_schema
+from nightshift.schemas import LOG_SUCCEEDED
 from nightshift.sources.control import LOG_SCHEMA
 
-MANIFEST = "_manifest"
-LOG = "batch_control_log"
-MONTH_PART = "summary_month"
-SEALED = "__sealed"
-MANIFEST_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType()),
-    T.StructField("kind", T.StringType()),      # "snapshot" | "append" | "split"
-    T.StructField("version", T.IntegerType()),  # batch number of the snapshot / last partition
-    T.StructField("batches", T.ArrayType(T.IntegerType())),  # appended or sealed parts
-    T.StructField("schema", T.StringType()),
-])
-
 
 class Store:
-    """Versioned warehouse tables under ``root``."""
+    """The warehouse under ``root``; ``id_width`` is the number of ids in a range partition."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, id_width: int = ID_WIDTH):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._manifest: dict[str, tuple[str, int]] | None = None
-        self._batches: dict[str, list[int]] = {}
-        # What the running batch has written so far.
-        self._new_batches: dict[str, list[int]] = {}
-        self._schemas: dict[str, T.StructType] = {}
-
-    # -- reading ---------------------------------------------------------------
-    def manifest(self) -> dict[str, tuple[str, int]]:
-        """Table -> (kind, version) of the newest committed batch ({} if none)."""
-        if self._manifest is None:
-            schema = T.StructType(MANIFEST_SCHEMA.fields + [T.StructField("batch_no", T.IntegerType())])
-            m = self._if_present(f"{self.root}/{MANIFEST}", schema)
-            # One row per table of one batch: a bounded, tiny result.
-            top = m.agg(F.max("batch_no")).first()[0] if m is not None else None
-            rows = m.where(F.col("batch_no") == top).collect() if top is not None else []
-            self._manifest = {r["table_name"]: (r["kind"], r["version"]) for r in rows}
-            self._batches = {r["table_name"]: list(r["batches"] or []) for r in rows}
-            for r in rows:
-                if r["schema"]:
-                    self._schemas.setdefault(r["table_name"], T.StructType.fromJson(json.loads(r["schema"])))
-        return self._manifest
-
-    def _if_present(self, path: str, schema: T.StructType) -> DataFrame | None:
-        """Parquet under ``path``, or None where nothing has been written.
-
-        Asked of the file system: a failure to read must not be mistaken for
-        an empty warehouse.
-        """
-        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        if not place.getFileSystem(conf).exists(place):
-            return None
-        return self.spark.read.schema(schema).parquet(path)
-
-    def committed_batch(self) -> int | None:
-        """Number of the newest committed batch (None before the first)."""
-        versions = [v for _, v in self.manifest().values()]
-        return max(versions) if versions else None
+        self.id_width = id_width
 
-    def has(self, table: str) -> bool:
-        return table in self.manifest()
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
 
-    def read(self, table: str, since=None) -> DataFrame:
-        """The committed version of ``table``.
-
-        For append tables, ``since`` (a date) prunes to the month partitions
-        that can hold rows dated on or after it.
-        """
+    # -- reading ---------------------------------------------------------------
+    def read(self, table: str) -> DataFrame:
+        """The rows of ``table`` as last published, none before its first load."""
         if table == LOG:
             return self.read_log()
-        kind, version = self.manifest()[table]
-        if kind == "snapshot":
-            return self._parts(table, table, [f"batch={version}"])
-        if kind == "split":
-            return self.read_open(table).unionByName(self._sealed(table, self._batches[table]))
-        return self._append_rows(table, self._batches[table], since)
-
-    def read_open(self, table: str) -> DataFrame:
-        """The rewritable part of a split table (its newest snapshot)."""
-        _, version = self.manifest()[table]
-        return self._parts(table, table, [f"batch={version}"])
-
-    def read_sealed(self, table: str) -> DataFrame:
-        """The sealed part of a split table."""
-        self.manifest()
-        return self._sealed(table, self._batches[table])
-
-    def _sealed(self, table: str, batches: list[int]) -> DataFrame:
-        return self._parts(table, f"{table}{SEALED}", [f"sealed_by={b}" for b in batches])
-
-    def read_append_upto(self, table: str, batch_no: int, since=None) -> DataFrame:
-        """The committed append table plus the running batch's own partition.
-
-        Partitions of batches that failed (never committed) are left out.
-        """
-        self.manifest()
-        batches = [b for b in self._batches.get(table, []) if b != batch_no]
-        return self._append_rows(table, [*batches, batch_no], since)
-
-    def _append_rows(self, table: str, batches: list[int], since) -> DataFrame:
-        df = self._parts(table, table, [f"etl_batch_no={b}" for b in batches])
-        if since is not None:
-            # Partition pruning: only months that can hold rows >= since.
-            df = df.where(F.col(MONTH_PART) >= F.trunc(F.lit(since), "month"))
-        return df.drop(MONTH_PART)
-
-    def _parts(self, table: str, folder: str, parts: list[str]) -> DataFrame:
-        """Exactly the named parts of a folder, with the schema of the table."""
-        schema = self._schemas[table]
-        if not parts:
+        return self._rows(self.path(table), table_schema(table))
+
+    def _rows(self, path: str, schema: T.StructType) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
-        root = f"{self.root}/{folder}"
-        reader = self.spark.read.schema(schema)
-        if parts[0].startswith("etl_batch_no="):
-            reader = reader.option("basePath", root)
-        return reader.parquet(*[f"{root}/{p}" for p in parts])
 
-    # -- the batch log ------------------------------------------------------------
-    def write_log(self, row: DataFrame) -> None:
-        """Add one status row of a batch: visible at once, never replaced."""
-        row.select(*LOG_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/{LOG}")
+    def tables(self) -> list[str]:
+        return list(TABLES)
 
-    def read_log(self) -> DataFrame:
-        """One row per started batch with its latest status; failed runs stay."""
-        rows = self._if_present(f"{self.root}/{LOG}", LOG_SCHEMA)
-        if rows is None:
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-        # A running row has no end time: any final row of the same start wins.
-        last = F.max_by(F.struct("etl_batch_status", "etl_batch_end_time"),
-                        F.when(F.col("etl_batch_end_time").isNull(), 0).otherwise(1))
-        return rows.groupBy("etl_batch_no", "etl_batch_date", "etl_batch_start_time").agg(last.alias("l")).select(
-            "etl_batch_no", "etl_batch_date", "l.etl_batch_status", "etl_batch_start_time", "l.etl_batch_end_time")
+    def create(self) -> None:
+        """Make the tables, without rows, where there are none yet."""
+        for t in TABLES:
+            rows = self.spark.createDataFrame([], table_schema(t))
+            rows.write.mode("append").partitionBy(*LAYOUT[t]).parquet(self.path(t))
 
     # -- writing ---------------------------------------------------------------
-    def write_snapshot(self, table: str, df: DataFrame, batch_no: int) -> DataFrame:
-        path = f"{self.root}/{table}/batch={batch_no}"
-        df.write.mode("overwrite").parquet(path)
-        self._schemas[table] = _nullable(df.schema)
-        # Known schema: no footer-inference job on the way back.
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def write_append(self, table: str, rows: DataFrame, batch_no: int,
-                     sort_cols: list[str] | None = None, date_col: str = "summary_date") -> None:
-        """Append one batch's rows under ``etl_batch_no=<no>/summary_month=<m>``.
-
-        The batch directory is replaced as a whole, so a rerun of a failed
-        batch leaves no stale month behind; the month level lets readers
-        prune to the months a cutoff can reach.
+    def replace_parts(self, table: str, rows: DataFrame) -> None:
+        """Publish ``rows`` as the whole content of the partitions that they lie in."""
+        names = table_schema(table).fieldNames()
+        (rows.select(*names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*LAYOUT[table]).parquet(self.path(table)))
+
+    def write_facts(self, table: str, rows: DataFrame, batch_no: int, sort_cols: list[str] | None = None) -> None:
+        """Publish one batch's daily rows as ``etl_batch_no=<no>/summary_month=<m>``.
+
+        The batch's folder is replaced as a whole, so a batch that runs again
+        leaves no month of its earlier run behind.
         """
         # A row of another batch is an error of the program, not a row to skip.
         own = F.col("etl_batch_no").eqNullSafe(F.lit(batch_no))
         wrong = F.raise_error(F.lit(f"{table}: a row of another batch than {batch_no}")).cast("boolean")
         out = rows.where(F.when(own, F.lit(True)).otherwise(wrong)).drop("etl_batch_no")
-        out = out.withColumn(MONTH_PART, F.trunc(F.col(date_col), "month"))
+        out = out.withColumn("summary_month", F.trunc("summary_date", "month"))
         if sort_cols:
             # rows laid out in (date, id) order inside each file.
             out = out.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
-        (out.write.mode("overwrite")
-         .partitionBy(MONTH_PART)
-         .parquet(f"{self.root}/{table}/etl_batch_no={batch_no}"))
-        fields = [f for f in out.schema.fields if f.name != MONTH_PART]
-        self._schemas[table] = _nullable(T.StructType([
-            *fields, T.StructField("etl_batch_no", T.IntegerType()), T.StructField(MONTH_PART, T.DateType())]))
-        self._add_part(table, batch_no)
-
-    def _add_part(self, table: str, batch_no: int, only: bool = False) -> None:
-        self.manifest()
-        before = [] if only else [b for b in self._batches.get(table, []) if b != batch_no]
-        self._new_batches[table] = [*before, batch_no]
-
-    def write_split(self, table: str, rows: DataFrame, batch_no: int, final, whole: bool = False) -> None:
-        """A table whose rows become final: ``final`` rows are appended to the
-        sealed part (never rewritten again), the others form the new
-        snapshot of the open part.  Nightly rewrites stay the size of the
-        open part, not of the whole history.  ``whole`` says that ``rows`` are
-        the whole table: the parts sealed so far no longer belong to it."""
-        rows = materialize(rows)
-        (rows.where(final).write.mode("overwrite")
-         .parquet(f"{self.root}/{table}{SEALED}/sealed_by={batch_no}"))
-        self.write_snapshot(table, rows.where(~final), batch_no)
-        self._add_part(table, batch_no, only=whole)
-
-    def commit(self, batch_no: int, tables: dict[str, tuple[str, int]]) -> None:
-        self.manifest()
-        parts = {**self._batches, **self._new_batches}
-        rows = [(t, k, int(v), parts.get(t, []), self._schemas[t].json()) for t, (k, v) in sorted(tables.items())]
-        # ≤ 20 rows: one file, written (and committed) by one task.
-        df = self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1)
-        df.write.mode("overwrite").parquet(f"{self.root}/{MANIFEST}/batch_no={batch_no}")
-        self._forget()
-
-    def commit_failure(self, batch_no: int) -> None:
-        """Nothing to undo: what no manifest names is never read."""
-        self._forget()
-
-    def _forget(self) -> None:
-        self._manifest = None
-        self._batches, self._new_batches, self._schemas = {}, {}, {}
-
-
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+        out.write.mode("overwrite").partitionBy("summary_month").parquet(f"{self.path(table)}/etl_batch_no={batch_no}")
+
+    def clear(self, table: str, **part) -> None:
+        """Leave the named partition without rows."""
+        folder = "/".join(f"{c}={part[c]}" for c in LAYOUT[table])
+        fields = [f for f in table_schema(table).fields if f.name not in part]
+        self.spark.createDataFrame([], T.StructType(fields)).write.mode("overwrite").parquet(f"{self.path(table)}/{folder}")
+
+    # -- the batch log ------------------------------------------------------------
+    def write_log(self, row: DataFrame) -> None:
+        """Add one status row of a batch: visible at once, never replaced."""
+        row.select(*LOG_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(self.path(LOG))
+
+    def read_log(self) -> DataFrame:
+        """One row per run of a batch with its latest status; failed runs stay."""
+        rows = self._rows(self.path(LOG), LOG_SCHEMA)
+        # A running row has no end time, a final one replaces it; of two final
+        # rows of one run (same start time) the later and then the good one counts.
+        rank = F.struct(F.col("etl_batch_end_time").isNotNull(), "etl_batch_end_time", F.col("etl_batch_status") == LOG_SUCCEEDED)
+        last = F.max_by(F.struct("etl_batch_status", "etl_batch_end_time"), rank)
+        return rows.groupBy("etl_batch_no", "etl_batch_date", "etl_batch_start_time").agg(last.alias("l")).select(
+            "etl_batch_no", "etl_batch_date", "l.etl_batch_status", "etl_batch_start_time", "l.etl_batch_end_time")
+
+    def complete_batch(self) -> int | None:
+        """Number of the newest batch that is complete (None before the first)."""
+        return self.read_log().where(F.col("etl_batch_status") == LOG_SUCCEEDED).agg(F.max("etl_batch_no")).first()[0]
+
+    def unfinished(self, below: int) -> list[int]:
+        """Batches that were begun, up to number ``below``, and are not complete."""
+        done = F.max(F.col("etl_batch_status") == LOG_SUCCEEDED)
+        runs = self.read_log().where(F.col("etl_batch_no") <= below).groupBy("etl_batch_no").agg(done.alias("done"))
+        # A batch must be complete before the next one starts: one row at most, but for old logs.
+        return sorted(r["etl_batch_no"] for r in runs.where("NOT done").collect())

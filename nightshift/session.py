@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -60,12 +61,13 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def materialize(df):
-    """Write ``df`` once to the reliable checkpoint folder and read it back.
+    """Write ``df`` once to the shared scratch folder and read it back.
 
-    Used for small per-batch relations that a program reads several times
-    (the de-duplicated stage, a monthly delta, the SCD2 change set): they
-    are computed once, and a lost executor re-reads files instead of
-    recomputing the lineage.
+    Used for per-batch relations that a program reads several times (the
+    de-duplicated stage, a monthly delta, the changes of a merge): they are
+    computed once, readers take only their columns, the planner knows their
+    size, and a lost executor re-reads files instead of recomputing.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "work", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

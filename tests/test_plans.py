@@ -8,6 +8,7 @@ import io
 from contextlib import redirect_stdout
 
 import pytest
+from pyspark.sql import functions as F
 
 from nightshift.plans import daily, programs
 from nightshift.sources import adapters as A
@@ -89,3 +90,15 @@ def test_hot_customer_is_reduced_before_the_first_payment_join(spark, stored):
     below = tree.split("\n")[join + 1 :]
     assert sum("HashAggregate" in x for x in below) >= 4  # partial and final, days and first days
     assert not any("HashAggregate" in x for x in tree.split("\n")[:join])
+
+
+def test_stage_deduplication_sorts_no_wide_rows(spark, stored):
+    """Keys that occur twice are found in hash aggregations; whole rows are neither sorted nor shuffled."""
+    from nightshift.operators.scd1 import latest_per_key
+
+    stage = stored["stage_customers"]
+    assert latest_per_key(stage, ["customernumber"]) is stage  # no key occurs twice
+    twice = stage.unionByName(stage.limit(3).withColumn("update_timestamp", stage["update_timestamp"] + F.expr("INTERVAL 1 DAY")).withColumn("city", F.lit("new")))
+    got = latest_per_key(twice, ["customernumber"])
+    assert "SortAggregate" not in plan(got)
+    assert got.count() == stage.count() and got.where("city = 'new'").count() == 3

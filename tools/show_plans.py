@@ -44,7 +44,7 @@ def main() -> None:
     from nightshift.plans import daily, programs
     from nightshift.plans.run import run_batch
     from nightshift.plans.store import Store
-    from nightshift.session import local_session
+    from nightshift.session import local_session, materialize
     from nightshift.sources import adapters as A
     from nightshift.sources import extract
 
@@ -55,10 +55,10 @@ def main() -> None:
     first = ctl.agg(F.min("etl_batch_date")).first()[0]
     before = {}
     for upto, ts, source in ((first, dt.datetime(1995, 1, 2, 1), A.source_before), (A.BATCH.date, A.BATCH.run_ts, A.source)):
-        before = {t: store.read(t) for t in store.manifest()}
+        before = {t: materialize(store.read(t)) for t in ("customers", "orderdetails", "customer_history", "monthly_customer_summary")}
         batch = run_batch(spark, store, lambda t, f=source: f(spark, sf, t),
                           ctl.where(F.col("etl_batch_date") <= F.lit(upto)), ts, f"{root}/landing")
-    wh = {t: store.read(t) for t in store.manifest()}
+    wh = {t: store.read(t) for t in store.tables()}
     stage = {t: extract.stage_load(spark, t, extract.landing_path(spark, t, batch.date, root=f"{root}/landing"))
              for t in ("customers", "orderdetails")}
 
