@@ -123,7 +123,7 @@ def turns_as_events(turns: DataFrame) -> DataFrame:
     """A table of finished turns as the event log of how they may have come about.
 
     Every message starts and streams its text in parts.  By a hash of the
-    message, a third of them first stream a draft, after which another message
+    turn, a third of them first stream a draft, after which another message
     starts; then they are regenerated, which takes both away.  Another third
     stream a draft that an edit empties.  What is left of the log is the
     turns themselves.
@@ -138,7 +138,8 @@ def turns_as_events(turns: DataFrame) -> DataFrame:
     each = same.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("h"),
                        F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"))
     message = F.concat_ws("\x1f", turn, F.coalesce("role", F.lit("")), F.col("h").cast("string"), F.col("copy").cast("string"))
-    how = F.pmod(F.xxhash64("conv_id", "turn", "h"), F.lit(3))
+    # Messages of one turn share it: a regeneration takes away those behind it, which all begin again in order.
+    how = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(3))
     named = each.select("conv_id", "turn", "role", "text", message.alias("message"), how.alias("how"))
 
     def step(at: int, kind: str, text: Column, message: Column = F.col("message"), role: Column = F.col("role")) -> Column:
