@@ -4,8 +4,9 @@ Every rolling pair of words of every whole text is hashed and joined with
 the pairs of the templates (a fixed, broadcast table).  A hit at word p of
 the text and pair t of a template votes for the diagonal p - t, that is for
 the template starting at that word.  Votes are aggregated per (document,
-template, diagonal) as a bit mask of the template's pairs, so only hits are
-shuffled and repeated rows change nothing.
+template, diagonal) as bit masks of the template's pairs, one for every
+``MASK_BITS`` of them, so only hits are shuffled, templates may be as long as
+license texts are, and repeated rows change nothing.
 
 Phrases (the base labels) need all their pairs on one diagonal, which means
 their words stand consecutively from that word on.  For notices, diagonals
@@ -22,11 +23,14 @@ ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from nightshift.llm.common import cut, lower_ascii, text_of
+from nightshift.llm.license_texts import TEXTS
 
 # Separators of words, phrases and notices with their labels,
 # frequent words.
@@ -52,19 +56,30 @@ FREQUENT = frozenset("a and are as at be by for from in is it of on or that the
 GAP = 2
 COVERAGE = 0.75
 SLACK = 1.5
+#: Pairs of a template that one mask holds.
+MASK_BITS = 62
 
 
-def template_pairs(spark: SparkSession) -> DataFrame:
-    """One row per voting pair of a template: under 64 a template, about 200 in all.
+def templates() -> list[tuple[list[str], str, bool, list[tuple[int, str, str]]]]:
+    """``(words, label, phrase, pairs)`` of each template; its voting pairs as (place, word, next word).
 
     Pairs of two frequent words don't vote in notices: they'd hit in any prose.
     """
+    out = []
+    for at, (text, label) in enumerate(PHRASES + NOTICES + TEXTS):
+        words = [w for w in re.split(SEPARATORS, text.lower()) if w]
+        phrase = at < len(PHRASES)
+        pairs = [(t, a, b) for t, (a, b) in enumerate(zip(words, words[1:])) if phrase or not {a, b} <= FREQUENT]
+        out.append((words, label, phrase, pairs))
+    return out
+
+
+def template_pairs(spark: SparkSession) -> DataFrame:
+    """One row per voting pair of a template: as many as the fixed texts hold, about 1,300."""
     rows = []
-    for at, (words, label) in enumerate(PHRASES + NOTICES):
-        words, phrase = words.split(), at < len(PHRASES)
-        pairs = [(a, b, t) for t, (a, b) in enumerate(zip(words, words[1:])) if phrase or not {a, b} <= FREQUENT]
-        rows += [(at, label, phrase, len(words), len(pairs), t, 1 << t, a, b) for a, b, t in pairs]
-    schema = "template int, label string, phrase boolean, length int, pairs int, t int, bit long, a string, b string"
+    for at, (words, label, phrase, pairs) in enumerate(templates()):
+        rows += [(at, label, phrase, len(words), len(pairs), t, t // MASK_BITS, 1 << t % MASK_BITS, a, b) for t, a, b in pairs]
+    schema = "template int, label string, phrase boolean, length int, pairs int, t int, part int, bit long, a string, b string"
     return spark.createDataFrame(rows, schema).withColumn("h", F.xxhash64(F.concat_ws(" ", "a", "b")))
 
 
@@ -77,7 +92,7 @@ def _row_key() -> list[Column]:
 
 
 def license_votes(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text_key, template, ..., diagonal, mask, first_p, last_p)``: the votes of each diagonal."""
+    """``(doc_id, text_key, template, ..., part, diagonal, mask, first_p, last_p)``: the votes of each diagonal and part of the template."""
     words = docs.select(*_row_key(), words_of(F.col("text")).alias("w")).where(F.size("w") > 1)
     pairs = F.arrays_zip(F.col("w").alias("x"), F.slice("w", 2, F.size("w")).alias("y"))
     rolled = words.select("doc_id", "text_key", F.posexplode(pairs).alias("p", "g")).select(
@@ -87,7 +102,7 @@ def license_votes(docs: DataFrame) -> DataFrame:
     same = (lower_ascii(F.col("x")) == F.col("a")) & (lower_ascii(F.col("y")) == F.col("b"))
     hits = rolled.join(templates, "h").where(same)
     return hits.groupBy(
-        "doc_id", "text_key", "template", "label", "phrase", "length", "pairs", (F.col("p") - F.col("t")).alias("diagonal")
+        "doc_id", "text_key", "template", "label", "phrase", "length", "pairs", "part", (F.col("p") - F.col("t")).alias("diagonal")
     ).agg(
         F.bit_or("bit").alias("mask"),
         F.min("p").alias("first_p"), F.max("p").alias("last_p"),
@@ -98,16 +113,18 @@ def license_spans(votes: DataFrame) -> DataFrame:
     """Verified spans ``(doc_id, text_key, label, phrase, start, end, score)``, end exclusive, in words."""
     key = ["doc_id", "text_key", "template", "label", "phrase", "length", "pairs"]
     w = Window.partitionBy("doc_id", "text_key", "template").orderBy("diagonal")
-    # A phrase's diagonals stay alone; a notice's neighbours merge.
+    # A phrase's diagonals stay alone; a notice's neighbours merge, as do the parts of one diagonal.
     gap = F.col("diagonal") - F.lag("diagonal").over(w)
-    new = F.col("phrase") | gap.isNull() | (gap > GAP)
+    new = gap.isNull() | (gap > F.when(F.col("phrase"), 0).otherwise(GAP))
     merged = (
         votes.withColumn("new", new.cast("int"))
         .withColumn("span", F.sum("new").over(w))
+        .groupBy(*key, "span", "part")
+        .agg(F.bit_or("mask").alias("mask"), F.min("first_p").alias("first_p"), F.max("last_p").alias("last_p"))
         .groupBy(*key, "span")
-        .agg(F.bit_or("mask").alias("mask"), F.min("first_p").alias("start"), (F.max("last_p") + 2).alias("end"))
+        .agg(F.sum(F.bit_count("mask")).alias("held"), F.min("first_p").alias("start"), (F.max("last_p") + 2).alias("end"))
     )
-    score = F.bit_count("mask") / F.col("pairs")
+    score = F.col("held") / F.col("pairs")
     needed = F.when(F.col("phrase"), F.lit(1.0)).otherwise(F.lit(COVERAGE))
     fits = F.col("end") - F.col("start") <= SLACK * F.col("length") + GAP
     return merged.withColumn("score", score).where((F.col("score") >= needed) & fits).select(

@@ -31,10 +31,8 @@ FROM t GROUP BY conv_id
 def license_scan() -> str:
     """The scan as joins of word pairs, with the template table written out."""
     rows = []
-    for at, (words, label) in enumerate(licenses.PHRASES + licenses.NOTICES):
-        ws, phrase = words.split(), at < len(licenses.PHRASES)
-        pairs = [(t, a, b) for t, (a, b) in enumerate(zip(ws, ws[1:])) if phrase or not {a, b} <= licenses.FREQUENT]
-        rows += [f"({at}, '{label}', {str(phrase).lower()}, {len(ws)}, {len(pairs)}, {t}, '{a}', '{b}')" for t, a, b in pairs]
+    for at, (words, label, phrase, pairs) in enumerate(licenses.templates()):
+        rows += [f"({at}, '{label}', {str(phrase).lower()}, {len(words)}, {len(pairs)}, {t}, '{a}', '{b}')" for t, a, b in pairs]
     return f"""
 WITH templates(template, label, phrase, length, pairs, t, a, b) AS (VALUES {', '.join(rows)}),
 w AS (
@@ -44,18 +42,17 @@ w AS (
 ),
 g AS (SELECT doc_id, unnest(range(len(w) - 1)) AS p, unnest(w[:len(w) - 1]) AS a, unnest(w[2:]) AS b FROM w WHERE len(w) > 1),
 votes AS (
-  SELECT doc_id, template, label, phrase, length, pairs, p - t AS diagonal,
-         bit_or(CAST(1 AS BIGINT) << t) AS mask, min(p) AS first_p, max(p) AS last_p
+  SELECT doc_id, template, label, phrase, length, pairs, p - t AS diagonal, t, min(p) AS first_p, max(p) AS last_p
   FROM g JOIN templates USING (a, b) GROUP BY ALL
 ),
 lagged AS (SELECT *, lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS before FROM votes),
 marked AS (
-  SELECT *, sum(CASE WHEN phrase OR before IS NULL OR diagonal - before > {licenses.GAP} THEN 1 ELSE 0 END)
+  SELECT *, sum(CASE WHEN before IS NULL OR diagonal - before > CASE WHEN phrase THEN 0 ELSE {licenses.GAP} END THEN 1 ELSE 0 END)
             OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span
   FROM lagged
 ),
 spans AS (
-  SELECT doc_id, label, phrase, length, pairs, bit_count(bit_or(mask)) / CAST(pairs AS DOUBLE) AS score,
+  SELECT doc_id, label, phrase, length, pairs, count(DISTINCT t) / CAST(pairs AS DOUBLE) AS score,
          min(first_p) AS s, max(last_p) + 2 AS e
   FROM marked GROUP BY doc_id, template, label, phrase, length, pairs, span
 ),
