@@ -19,6 +19,7 @@ from nightshift.functions import (
 from nightshift.operators import scd2 as _scd2
 from nightshift.operators.joins import lookup, new_keys
 from nightshift.plans import daily, programs
+from nightshift.plans.tables import empty_table
 from nightshift.schemas import (
     DAILY_CUSTOMER_MEASURES, SCD1_ORDER, SCD1_SPECS, SCD2_SPECS, SOURCE_SCHEMAS, SOURCE_TABLES,
 )
@@ -525,9 +526,7 @@ def q_upsert_first_load_customers(spark, sf):
 @register("scd2_first_load_product")
 def q_scd2_first_load_product(spark, sf):
     """I10 on an empty history: one active version per product."""
-    from nightshift.plans.run import empty_table
-
-    hist = empty_table(spark, "product_history", SOURCE_SCHEMAS)
+    hist = empty_table(spark, "product_history")
     wh = {"product_history": hist, "products": A.current(spark, sf, "products")}
     return programs.history("product_history", wh, A.BATCH)
 

@@ -12,6 +12,7 @@ which is written once.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from nightshift.operators.rollforward import MONTH, monthly_columns
@@ -77,3 +78,9 @@ def table_schema(table: str) -> T.StructType:
     names, types = _columns(table)
     parts = LAYOUT[table]
     return T.StructType([T.StructField(n, types.get(n) or _TYPES.get(n, LONG), True) for n in [*[n for n in names if n not in parts], *parts]])
+
+
+def empty_table(spark: SparkSession, table: str) -> DataFrame:
+    """``table`` before its first load: its own columns, without those that only lay it out on disk."""
+    schema = table_schema(table)
+    return spark.createDataFrame([], T.StructType([schema[n] for n in _columns(table)[0]]))

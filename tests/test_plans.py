@@ -102,3 +102,18 @@ def test_stage_deduplication_sorts_no_wide_rows(spark, stored):
     got = latest_per_key(twice, ["customernumber"])
     assert "SortAggregate" not in plan(got)
     assert got.count() == stage.count() and got.where("city = 'new'").count() == 3
+
+
+def test_first_load_of_product_history_opens_every_product(spark, tmp_path):
+    """I10 on ``empty_table``: one active version per product, nothing closed."""
+    from nightshift.plans.queries import REGISTRY
+    from nightshift.plans.tables import empty_table
+
+    rows = [(7, "P7", "B", "T", 3, 100.5), (2, None, "B", None, 1, None)]
+    spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(
+        f"{tmp_path}/part.parquet")
+    got = REGISTRY["scd2_first_load_product"](spark, str(tmp_path))
+    assert sorted((r.dw_product_id, r.msrp, r.dw_active_record_ind, r.effective_to_date) for r in got.collect()) == [
+        (3, None, 1, None), (8, 100.5, 1, None)]
+    empty = empty_table(spark, "product_history")
+    assert empty.isEmpty() and empty.columns == got.columns
