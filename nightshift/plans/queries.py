@@ -515,9 +515,7 @@ def q_daily_product_summary_full(spark, sf):
 @register("upsert_first_load_customers")
 def q_upsert_first_load_customers(spark, sf):
     """I3 + I16 into an empty table: every source customer inserted, ids 1..n."""
-    from nightshift.plans.run import empty_table
-
-    target = empty_table(spark, "customers", SOURCE_SCHEMAS)
+    target = empty_table(spark, "customers")
     stage = extract.blanks_as_null(
         extract.extract_incremental(A.source(spark, sf, "customers"), "customers", A.EPOCH))
     return programs.upsert("customers", {"customers": target}, stage, A.BATCH)

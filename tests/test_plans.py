@@ -117,3 +117,18 @@ def test_first_load_of_product_history_opens_every_product(spark, tmp_path):
         (3, None, 1, None), (8, 100.5, 1, None)]
     empty = empty_table(spark, "product_history")
     assert empty.isEmpty() and empty.columns == got.columns
+
+
+def test_first_load_of_customers_inserts_every_customer(spark, tmp_path):
+    """I3 into ``empty_table``: ids 1..n by customer number, creation before the batch included."""
+    from nightshift.plans.queries import REGISTRY
+    from nightshift.plans.tables import empty_table, table_schema
+
+    rows = [(7, "C7", 3, 10.0, "SEG"), (2, "C2", 1, -5.0, "SEG"), (40, None, None, None, None)]
+    spark.createDataFrame(rows, "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(
+        f"{tmp_path}/customer.parquet")
+    got = REGISTRY["upsert_first_load_customers"](spark, str(tmp_path))
+    assert sorted((r.dw_customer_id, r.src_customernumber) for r in got.collect()) == [(1, 2), (2, 7), (3, 40)]
+    empty = empty_table(spark, "customers")
+    assert empty.isEmpty() and empty.columns == got.columns
+    assert set(table_schema("customers").fieldNames()) - set(empty.columns) == {"id_range"}
