@@ -6,9 +6,9 @@ Two shapes are provided for each summary:
   branch, zero padded, ``unionByName`` and a second aggregation (D10, G1).
   They are the per-branch queries and the reference for tests.
 * ``daily_customer_summary`` / ``daily_product_summary`` join orders with
-  their details **once**: each detail line emits the events it takes part
-  in (ordered / cancelled / shipped, plus one row per distinct ordered
-  product), ``inline`` turns them into rows, an aggregation at event grain
+  their details **once**: each detail line gives a row for each event it takes
+  part in (ordered / cancelled / shipped, plus one row per distinct ordered
+  product), an aggregation at event grain
   replaces the COUNT DISTINCTs, and one final shuffle on (date, id) merges
   all branches with map-side partial aggregation.
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from nightshift.batch import Batch
 from nightshift.functions import day, flag, normalized, on_or_after, status_is
-from nightshift.operators.joins import bounded_broadcast, join_small_side
+from nightshift.operators.joins import bounded_broadcast, dealt, fits, join_small_side
 from nightshift.schemas import (
     DAILY_CUSTOMER_MEASURES,
     DAILY_PRODUCT_MEASURES,
@@ -37,6 +37,10 @@ from nightshift.session import materialize
 CUSTOMER_KEY = "dw_customer_id"
 PRODUCT_KEY = "dw_product_id"
 ORDER_MONTH = "order_month"
+#: Lines of an order, about; it only sets the number of tasks.
+LINES_AN_ORDER = 4
+#: What an order line takes part in (``kind``).
+ORDERED, ORDERED_PRODUCT, CANCELLED, SHIPPED = range(4)
 
 
 def _zero(name: str) -> Column:
@@ -74,10 +78,11 @@ def _finish(rows: DataFrame, key_name: str, measures, batch: Batch) -> DataFrame
 # --- customer summary: branches (reference shape) ---------------------------
 
 def _lines(wh: dict[str, DataFrame]) -> DataFrame:
-    return wh["orders"].join(wh["orderdetails"].drop(
+    details = wh["orderdetails"].drop(
         "src_create_timestamp", "src_update_timestamp", "dw_create_timestamp",
         "dw_update_timestamp", "etl_batch_no", "etl_batch_date", "src_ordernumber",
-        CUSTOMER_KEY), "dw_order_id")
+        CUSTOMER_KEY)
+    return wh["orders"].join(details, "dw_order_id")
 
 
 def _cm(values: dict[str, Column], date: Column, key: Column) -> list[Column]:
@@ -252,6 +257,19 @@ def _lines_of(orders: DataFrame, wh) -> DataFrame:
     return join_small_side(details, orders, "dw_order_id", stored_by=stored[0] if stored else None)
 
 
+def _with_products(lines: DataFrame, products: DataFrame, orders: DataFrame, how: str) -> DataFrame:
+    """The lines of ``orders`` with the columns of ``products``, which are broadcast if they are few."""
+    if fits(products):
+        return lines.join(F.broadcast(products), PRODUCT_KEY, how)
+    return dealt(lines, LINES_AN_ORDER * orders.count(), PRODUCT_KEY).join(products, PRODUCT_KEY, how)
+
+
+def _events(lines: DataFrame, when: dict[int, Column]) -> DataFrame:
+    """A row for each ``kind`` whose condition the line meets."""
+    kinds = F.array(*[F.when(met, F.lit(kind)) for kind, met in when.items()])
+    return lines.withColumn("kind", F.explode(kinds)).where(F.col("kind").isNotNull())
+
+
 def _order_events(wh, batch: Batch) -> DataFrame:
     """Order lines with an event on or after the cutoff, joined once."""
     D = batch.date
@@ -268,7 +286,7 @@ def _order_events(wh, batch: Batch) -> DataFrame:
     )
     products = wh["products"].select(PRODUCT_KEY, "msrp", F.lit(True).alias("has_product"))
     lines = _lines_of(orders, wh)
-    return lines.join(bounded_broadcast(products), PRODUCT_KEY, "left")
+    return _with_products(lines, products, orders, "left")
 
 
 def daily_customer_summary(wh, batch: Batch) -> DataFrame:
@@ -279,59 +297,53 @@ def daily_customer_summary(wh, batch: Batch) -> DataFrame:
     matched = F.col("has_product").isNotNull()
     amount = q * p
 
-    def ev(kind: str, when: Column, date: str, grain: str, cost=None, qty=None, mrp=None):
-        s = F.struct(
-            F.lit(kind).alias("kind"),
-            F.col(date).alias("summary_date"),
-            F.col(grain).alias("grain"),
-            (cost if cost is not None else F.lit(None)).cast("decimal(23,2)").alias("cost"),
-            (qty if qty is not None else F.lit(None)).cast("bigint").alias("qty"),
-            (mrp if mrp is not None else F.lit(None)).cast("decimal(23,2)").alias("mrp"),
-        )
-        return F.when(when, s)
-
     ordered = matched & (F.col("od") >= D)
-    events = F.array(
-        ev("O", ordered, "od", "dw_order_id", amount, q, q * msrp),
-        ev("P", ordered, "od", PRODUCT_KEY),
-        ev("C", F.col("cd").isNotNull() & (F.col("cd") >= D) & (F.col("st") == STATUS_CANCELLED),
-           "cd", "dw_order_id", amount),
-        ev("S", F.col("sd").isNotNull() & (F.col("sd") >= D) & (F.col("st") == STATUS_SHIPPED),
-           "sd", "dw_order_id", amount),
+    k = F.col("kind")
+    exploded = _events(lines, {
+        ORDERED: ordered,
+        ORDERED_PRODUCT: ordered,
+        CANCELLED: F.col("cd").isNotNull() & (F.col("cd") >= D) & (F.col("st") == STATUS_CANCELLED),
+        SHIPPED: F.col("sd").isNotNull() & (F.col("sd") >= D) & (F.col("st") == STATUS_SHIPPED),
+    }).select(
+        CUSTOMER_KEY,
+        "kind",
+        F.when(k == CANCELLED, F.col("cd")).when(k == SHIPPED, F.col("sd")).otherwise(F.col("od")).alias("summary_date"),
+        F.when(k == ORDERED_PRODUCT, F.col(PRODUCT_KEY)).otherwise(F.col("dw_order_id")).alias("grain"),
+        F.when(k != ORDERED_PRODUCT, amount).cast("decimal(23,2)").alias("cost"),
+        F.when(k == ORDERED, q).cast("bigint").alias("qty"),
+        F.when(k == ORDERED, q * msrp).cast("decimal(23,2)").alias("mrp"),
     )
-    exploded = lines.select(CUSTOMER_KEY, F.inline(F.filter(events, lambda e: e.isNotNull())))
     # Event grain: one row per (day, customer, kind, order) or per distinct
     # ordered product; this is what the COUNT DISTINCTs count.
     grain = exploded.groupBy("summary_date", CUSTOMER_KEY, "kind", "grain").agg(
         F.sum("cost").alias("cost"), F.sum("qty").alias("qty"), F.sum("mrp").alias("mrp")
     )
-    k = F.col("kind")
 
-    def only(kind: str, value: Column, other: Column) -> Column:
+    def only(kind: int, value: Column, other: Column) -> Column:
         return F.when(k == kind, value).otherwise(other)
 
     # Measures of the ordered branch stay NULL on its product rows (and vice
     # versa) so that NULL sums behave as in the branch form; other branches
     # pad with 0.
-    ordered_family = k.isin("O", "P")
+    ordered_family = k.isin(ORDERED, ORDERED_PRODUCT)
 
     def zero_or_null() -> Column:
         return F.when(ordered_family, F.lit(None)).otherwise(F.lit(0))
 
     order_rows = grain.select(*_cm(
         {
-            "order_count": only("O", F.lit(1), zero_or_null()),
-            "order_apd": only("O", F.lit(1), zero_or_null()),
-            "order_cost_amount": only("O", F.col("cost"), zero_or_null()),
-            "products_ordered_qty": only("O", F.col("qty"), zero_or_null()),
-            "order_mrp_amount": only("O", F.col("mrp"), zero_or_null()),
-            "products_items_qty": only("P", F.lit(1), zero_or_null()),
-            "cancelled_order_count": only("C", F.lit(1), F.lit(0)),
-            "cancelled_order_amount": only("C", F.col("cost"), F.lit(0)),
-            "cancelled_order_apd": only("C", F.lit(1), F.lit(0)),
-            "shipped_order_count": only("S", F.lit(1), F.lit(0)),
-            "shipped_order_amount": only("S", F.col("cost"), F.lit(0)),
-            "shipped_order_apd": only("S", F.lit(1), F.lit(0)),
+            "order_count": only(ORDERED, F.lit(1), zero_or_null()),
+            "order_apd": only(ORDERED, F.lit(1), zero_or_null()),
+            "order_cost_amount": only(ORDERED, F.col("cost"), zero_or_null()),
+            "products_ordered_qty": only(ORDERED, F.col("qty"), zero_or_null()),
+            "order_mrp_amount": only(ORDERED, F.col("mrp"), zero_or_null()),
+            "products_items_qty": only(ORDERED_PRODUCT, F.lit(1), zero_or_null()),
+            "cancelled_order_count": only(CANCELLED, F.lit(1), F.lit(0)),
+            "cancelled_order_amount": only(CANCELLED, F.col("cost"), F.lit(0)),
+            "cancelled_order_apd": only(CANCELLED, F.lit(1), F.lit(0)),
+            "shipped_order_count": only(SHIPPED, F.lit(1), F.lit(0)),
+            "shipped_order_amount": only(SHIPPED, F.col("cost"), F.lit(0)),
+            "shipped_order_apd": only(SHIPPED, F.lit(1), F.lit(0)),
         },
         F.col("summary_date"), F.col(CUSTOMER_KEY),
     ))
@@ -418,20 +430,28 @@ def daily_product_summary(wh, batch: Batch) -> DataFrame:
         on_or_after("orderdate", D) | on_or_after("cancelleddate", D)
     ).select("dw_order_id", *_stored_by(wh), day("orderdate").alias("od"), day("cancelleddate").alias("cd"))
     products = wh["products"].select(PRODUCT_KEY, "msrp")
-    lines = _lines_of(orders, wh).join(bounded_broadcast(products), PRODUCT_KEY)
+    lines = _with_products(_lines_of(orders, wh), products, orders, "inner")
     q = F.col("quantityordered")
     cost, mrp = q * F.col("priceeach"), q * F.col("msrp")
-    Dl = F.lit(D)
+    rows = _events(lines, {
+        ORDERED: F.col("od") >= F.lit(D),
+        CANCELLED: F.col("cd").isNotNull() & (F.col("cd") >= F.lit(D)),
+    })
+    ordered = F.col("kind") == ORDERED
 
-    def ev(when: Column, date: str, values: dict[str, Column]):
-        return F.when(when, F.struct(*_pm(values, F.col(date), F.col(PRODUCT_KEY))))
+    def only(of: Column, value: Column) -> Column:
+        return F.when(of, value).otherwise(F.lit(0))
 
-    events = F.array(
-        ev(F.col("od") >= Dl, "od",
-           {"customer_apd": F.lit(1), "product_cost_amount": cost, "product_mrp_amount": mrp}),
-        ev(F.col("cd").isNotNull() & (F.col("cd") >= Dl), "cd",
-           {"customer_apd": F.lit(1), "cancelled_product_qty": q, "cancelled_cost_amount": cost,
-            "cancelled_mrp_amount": mrp, "cancelled_order_apd": F.lit(1)}),
-    )
-    rows = lines.select(F.inline(F.filter(events, lambda e: e.isNotNull())))
-    return _finish(rows, PRODUCT_KEY, DAILY_PRODUCT_MEASURES, batch)
+    padded = rows.select(*_pm(
+        {
+            "customer_apd": F.lit(1),
+            "product_cost_amount": only(ordered, cost),
+            "product_mrp_amount": only(ordered, mrp),
+            "cancelled_product_qty": only(~ordered, q),
+            "cancelled_cost_amount": only(~ordered, cost),
+            "cancelled_mrp_amount": only(~ordered, mrp),
+            "cancelled_order_apd": only(~ordered, F.lit(1)),
+        },
+        F.when(ordered, F.col("od")).otherwise(F.col("cd")), F.col(PRODUCT_KEY),
+    ))
+    return _finish(padded, PRODUCT_KEY, DAILY_PRODUCT_MEASURES, batch)

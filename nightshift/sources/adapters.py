@@ -216,23 +216,41 @@ def source_orders(spark, sf):
     return _order_cols(read(spark, sf, "orders"))
 
 
-def source_orderdetails(spark, sf):
+def _order_lines(spark, sf, order: str, product: str, shift: int):
+    """The source's order lines by ``order`` and ``product`` (their numbers + ``shift``), with their order's timestamps.
+
+    Line items are dealt by the order once: the sums, the join with the
+    orders and every later join on ``order`` find them where they are.  The
+    keys are made first, so that a semi join on them can go below the sums.
+    """
+    from nightshift.operators.joins import dealt
+
+    def key(c: str) -> Column:
+        return F.col(c).cast("bigint") + shift if shift else F.col(c)
+
+    items = read(spark, sf, "lineitem")
+    rows = items.count()  # from the files' footers
+    keyed = items.select(
+        key("l_orderkey").alias(order), key("l_partkey").alias(product), "l_quantity", "l_extendedprice", "l_linenumber"
+    )
     lines = (
-        read(spark, sf, "lineitem")
-        .groupBy("l_orderkey", "l_partkey")
+        dealt(keyed, rows, order)
+        .groupBy(order, product)
         .agg(
             F.sum("l_quantity").cast("int").alias("quantityordered"),
             _money(F.max("l_extendedprice")).alias("priceeach"),
             F.min("l_linenumber").alias("orderlinenumber"),
         )
     )
-    orders = source_orders(spark, sf).select(
-        F.col("ordernumber").alias("l_orderkey"), "create_timestamp", "update_timestamp"
-    )
     # Details travel with their order: created with it, re-sent when it changes.
-    return lines.join(orders, "l_orderkey", "inner").select(
-        F.col("l_orderkey").alias("ordernumber"),
-        _s("l_partkey").alias("productcode"),
+    orders = source_orders(spark, sf).select(key("ordernumber").alias(order), "create_timestamp", "update_timestamp")
+    return lines.join(orders, order, "inner")
+
+
+def source_orderdetails(spark, sf):
+    return _order_lines(spark, sf, "ordernumber", "partkey", 0).select(
+        "ordernumber",
+        _s("partkey").alias("productcode"),
         "quantityordered",
         "priceeach",
         "orderlinenumber",
@@ -516,12 +534,13 @@ def current_orders(spark, sf):
 
 
 def current_orderdetails(spark, sf):
-    s = source_orderdetails(spark, sf)
+    # By the warehouse's ids, on which the facts join lines with orders.
+    s = _order_lines(spark, sf, "dw_order_id", "dw_product_id", 1)
     return s.select(
-        (F.col("ordernumber") + 1).alias("dw_order_id"),
-        (F.col("productcode").cast("bigint") + 1).alias("dw_product_id"),
-        F.col("ordernumber").alias("src_ordernumber"),
-        F.col("productcode").alias("src_productcode"),
+        "dw_order_id",
+        "dw_product_id",
+        (F.col("dw_order_id") - 1).alias("src_ordernumber"),
+        _s(F.col("dw_product_id") - 1).alias("src_productcode"),
         "quantityordered", "priceeach", "orderlinenumber",
         *_cur_audit(),
     )

@@ -132,3 +132,38 @@ def test_first_load_of_customers_inserts_every_customer(spark, tmp_path):
     empty = empty_table(spark, "customers")
     assert empty.isEmpty() and empty.columns == got.columns
     assert set(table_schema("customers").fieldNames()) - set(empty.columns) == {"id_range"}
+
+
+def test_order_lines_are_dealt_once(spark, sf):
+    """Sums of the line items and their joins with orders share the exchange by the order's id."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wh = A.fact_inputs(spark, sf)
+        joined = wh["orders"].select("dw_order_id", "orderdate").join(wh["orderdetails"], "dw_order_id")
+        text = plan(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tree = text.split("(1) Scan")[0]
+    # One for the lines, one for each of the two readings of orders.
+    assert sum("Exchange" in x for x in tree.split("\n")) == 3
+
+
+def test_rows_of_a_task_stay_bounded(spark, monkeypatch):
+    """The more rows, the more tasks; the daily facts are the same however their lines are dealt."""
+    from nightshift.operators import joins
+    from tests.test_programs import B, D, _wh
+
+    few, many = (joins.dealt(spark.range(10), n, "id").rdd.getNumPartitions() for n in (10, 1_000 * joins.ROWS_A_TASK))
+    assert few <= 8 and many == 1_001
+    wh = _wh(spark, [(1, 7, D, D, None, "CANCELLED "), (2, 7, D, None, D, "shipped"), (3, 8, D, None, None, "x")],
+             [(1, 1, 1, "1.00"), (1, 2, None, "2.00"), (2, 1, 3, "1.00"), (3, 9, 1, "4.00")],
+             payments=[(7, D, "5.00")], customers=[(7, None)])
+    spark.conf.set("spark.nightshift.broadcastMaxRows", "0")
+    monkeypatch.setattr(joins, "ROWS_A_TASK", 1)
+    try:
+        for whole, branches in ((daily.daily_product_summary, daily.daily_product_summary_by_branches),
+                                (daily.daily_customer_summary, daily.daily_customer_summary_by_branches)):
+            a, b = whole(wh, B), branches(wh, B)
+            assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.conf.unset("spark.nightshift.broadcastMaxRows")
