@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from nightshift.batch import Batch
 from nightshift.functions import day, flag, normalized, on_or_after, status_is
-from nightshift.operators.joins import bounded_broadcast, dealt, fits, join_small_side
+from nightshift.operators.joins import bounded_broadcast, dealt, fits, join_small_side, with_keys_of
 from nightshift.schemas import (
     DAILY_CUSTOMER_MEASURES,
     DAILY_PRODUCT_MEASURES,
@@ -82,7 +82,7 @@ def _lines(wh: dict[str, DataFrame]) -> DataFrame:
         "src_create_timestamp", "src_update_timestamp", "dw_create_timestamp",
         "dw_update_timestamp", "etl_batch_no", "etl_batch_date", "src_ordernumber",
         CUSTOMER_KEY)
-    return wh["orders"].join(details, "dw_order_id")
+    return wh["orders"].join(with_keys_of(details, wh["orders"], "dw_order_id"), "dw_order_id")
 
 
 def _cm(values: dict[str, Column], date: Column, key: Column) -> list[Column]:

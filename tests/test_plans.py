@@ -148,6 +148,15 @@ def test_order_lines_are_dealt_once(spark, sf):
     assert sum("Exchange" in x for x in tree.split("\n")) == 3
 
 
+def test_lines_of_a_batch_are_cut_down_before_their_sums(spark, sf):
+    """Only line items of the orders that a branch reads are dealt and summed."""
+    wh = A.fact_inputs(spark, sf)
+    for branch in (daily.product_ordered, daily.product_cancelled, daily.customer_shipped):
+        tree = plan(branch(wh, A.BATCH)).split("(1) Scan")[0].split("\n")
+        depth = {name: max(x.index(name) for x in tree if name in x) for name in ("LeftSemi", "HashAggregate", "Exchange hash", "Exchange") if any(name in x for x in tree)}
+        assert depth["LeftSemi"] > depth["HashAggregate"]
+
+
 def test_rows_of_a_task_stay_bounded(spark, monkeypatch):
     """The more rows, the more tasks; the daily facts are the same however their lines are dealt."""
     from nightshift.operators import joins
