@@ -659,14 +659,13 @@ def daily_table(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     """The daily summary table after this batch: every day since the epoch."""
     from nightshift.plans import daily
 
-    from nightshift.session import ensure_checkpoint_dir
+    from nightshift.session import materialize
 
     fn = daily.daily_customer_summary if kind == "customer" else daily.daily_product_summary
-    ensure_checkpoint_dir(spark)
-    # A stored table in the warehouse: materialized once in the shared
-    # checkpoint folder, so the monthly programs read it instead of
+    # A stored table in the warehouse: written once to the shared scratch
+    # folder, so the monthly programs read the columns they use instead of
     # recomputing the whole history for each use.
-    return _restamp(fn(fact_inputs(spark, sf), FULL_HISTORY)).checkpoint(eager=True)
+    return materialize(_restamp(fn(fact_inputs(spark, sf), FULL_HISTORY)))
 
 
 def previous_monthly(spark: SparkSession, sf: str, kind: str,

@@ -148,6 +148,14 @@ def test_order_lines_are_dealt_once(spark, sf):
     assert sum("Exchange" in x for x in tree.split("\n")) == 3
 
 
+def test_daily_table_is_stored_by_columns(spark, sf):
+    """The monthly programs read only their columns of the daily history."""
+    table = A.daily_table(spark, sf, "customer")
+    text = plan(table.groupBy("summary_date").agg(F.max("etl_batch_no")))
+    schemas = [x for x in text.splitlines() if x.startswith("ReadSchema:")]
+    assert schemas == ["ReadSchema: struct<summary_date:date,etl_batch_no:int>"]
+
+
 def test_lines_of_a_batch_are_cut_down_before_their_sums(spark, sf):
     """Only line items of the orders that a branch reads are dealt and summed."""
     wh = A.fact_inputs(spark, sf)
