@@ -9,16 +9,21 @@ copy of the row, line number).  Every line that holds a word takes part.
 1. ``line_places``: each line's key (the hash of its words) and place, narrow rows
    that are written once; the first place of each key.  Later copies of a
    line go without being compared, only first copies are made into sets.
-2. Tokens are counted in ``2^COUNT_BITS`` hash buckets, and the buckets are
+2. ``lines_left``: a line of n tokens can only match when at most
+   n - ceil(0.8 n) of its tokens stand in no other line.  The tokens that
+   their own hash picks are looked up in all lines, and lines that hold more
+   tokens of their own than that go on no further, in exact steps: neither
+   they nor others lose a match.  Short lines mostly go on.
+3. The tokens of the lines left are written once and counted in ``2^COUNT_BITS`` hash buckets, and the buckets are
    ranked by count: one array of fixed size.  A token's code is its bucket's
    rank followed by the other bits of its hash, so codes sort rare tokens
    first and lose no bit.
-3. Two sets of n and m tokens can only match when they share a token of their
+4. Two sets of n and m tokens can only match when they share a token of their
    first n - ceil(0.8 n) + 1 codes (prefix filter), when 0.8 n <= m (length
    filter), and when the tokens behind the shared one still allow the needed
    overlap (positional filter).  The prefixes are dealt by token, and those
    that no other line has are dropped there.
-4. For each token, lines are first compared with the token's earliest line:
+5. For each token, lines are first compared with the token's earliest line:
    who matches it can't find an earlier one there.  Only the others are
    joined with the earlier lines of their token.  That join has the length
    among its keys (its number of binary digits, which differs by one at most
@@ -26,9 +31,8 @@ copy of the row, line number).  Every line that holds a word takes part.
    token within its first n / 9 codes: behind them its overlap with no line
    of at least its length can suffice.  So lines of a template that differ
    in a word meet in no pair, however many they are.
-5. Candidates are verified on whole sets, which are made once more for the
-   lines that share a prefix token alone.
-6. The numbers of the lines that go come back by (doc_id, hash of the text).
+6. Candidates are verified on the whole sets of tokens written.
+7. The numbers of the lines that go come back by (doc_id, hash of the text).
 
 Nulls and empties: a null or empty text and lines without a word stay as they
 are; null doc_ids sort first; rows with the same doc_id and other texts are
@@ -51,6 +55,8 @@ SHINGLE = 5
 #: Jaccard threshold as an exact fraction.
 NUMER, DENOM = 4, 5
 COUNT_BITS = 14
+#: So many of 16 tokens, by hash, are looked for in other lines first: more than the fifth in which lines that match can differ.
+TAKEN, TAKEN_OF = 5, 16
 
 
 def _once(column: Column) -> Column:
@@ -74,14 +80,16 @@ def _words(lines: DataFrame, *columns: str) -> DataFrame:
 
 
 def line_places(docs: DataFrame) -> DataFrame:
-    """``(key, d, t, line)`` of every line that holds a word."""
-    return cut(_lines(docs).select("key", "d", "t", "line"), "line-places")
+    """``(key, d, t, line, words)`` of every line that holds a word; ``words``: how many."""
+    # Words stand apart by one space each.
+    words = F.octet_length("s") - F.octet_length(F.replace("s", F.lit(" "), F.lit(""))) + 1
+    return cut(_lines(docs).select("key", "d", "t", "line", words.alias("words")), "line-places")
 
 
 def first_places(places: DataFrame) -> DataFrame:
-    """``(key, first, n)``: first place and count of the lines of the same words."""
+    """``(key, first, n, words)``: first place and count of the lines of the same words, and the number of these."""
     place = F.struct("d", "t", "line")
-    return cut(places.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "line-firsts")
+    return cut(places.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.max("words").alias("words")), "line-firsts")
 
 
 def _first_copies(docs: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -92,36 +100,67 @@ def _first_copies(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     return lines.where(F.col("__key").isNull() | here).select("key", "s")
 
 
-def bucket_ranks(copies: DataFrame) -> str:
-    """For each hash bucket its rank by token count, from -2^(bits-1), comma-joined: a fixed number of ranks."""
-    size = 1 << COUNT_BITS
+def lines_left(copies: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``(key, first)`` of the lines that can match another, with their first place.
+
+    A token is taken by its hash alone, so all lines that hold it take it, and one
+    that a single line takes stands in no other.  A line of n places has n tokens at most.
+    """
     n = F.greatest(F.size("w") - (SHINGLE - 1), F.lit(1))
     shingles = F.arrays_zip(*[F.slice("w", k + 1, n).alias(f"w{k}") for k in range(SHINGLE)])
-    tokens = _words(copies).select(F.inline(shingles)).select(F.xxhash64(*[f"w{k}" for k in range(SHINGLE)]).alias("t"))
-    counts = tokens.groupBy(F.col("t").bitwiseAND(size - 1).alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    buckets = copies.sparkSession.range(size).join(counts, "id", "left").na.fill(0, ["n"])
+    rows = _words(copies, "key").select("key", F.inline(shingles))
+    tokens = rows.select("key", F.xxhash64(*[f"w{k}" for k in range(SHINGLE)]).alias("token"))
+    taken = tokens.where(F.col("token").bitwiseAND(TAKEN_OF - 1) < TAKEN)
+    # Counted before they are dealt, so a frequent token is one row of a task.
+    seen = taken.groupBy("token").agg(F.min("key").alias("key"), F.max("key").alias("b"))
+    own = seen.where("key = b").groupBy("key").agg(F.count(F.lit(1)).alias("own"))
+    places = F.greatest(F.col("words") - (SHINGLE - 1), F.lit(1))
+    left = firsts.join(own, "key", "left").where(F.col("own").isNull() | (DENOM * F.col("own") <= (DENOM - NUMER) * places))
+    return cut(left.select("key", "first"), "line-left")
+
+
+def line_tokens(copies: DataFrame) -> DataFrame:
+    """``(key, tokens)``: the hashes of each line's shingles, each once."""
+    def token(w: Column, i: Column) -> Column:
+        return F.xxhash64(w, *[F.get("w", i + k) for k in range(1, SHINGLE)])
+
+    n = F.greatest(F.size("w") - (SHINGLE - 1), F.lit(1))
+    tokens = _words(copies, "key").select("key", _once(F.transform(F.slice("w", F.lit(1), n), token)).alias("tokens"))
+    return tokens.select("key", F.array_distinct("tokens").alias("tokens"))
+
+
+def _ranks(tokens: DataFrame) -> str:
+    """For each hash bucket its rank by token count, from -2^(bits-1), comma-joined: a fixed number of ranks."""
+    size = 1 << COUNT_BITS
+    counts = tokens.select(F.explode("tokens").alias("t")).groupBy(F.col("t").bitwiseAND(size - 1).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    buckets = tokens.sparkSession.range(size).join(counts, "id", "left").na.fill(0, ["n"])
     # 2^COUNT_BITS rows, whatever the input.
     rank = F.row_number().over(Window.orderBy("n", "id")) - 1 - size // 2
     ranked = buckets.select("id", rank.alias("rank")).agg(F.array_sort(F.collect_list(F.struct("id", "rank"))).alias("r"))
     return ranked.select(F.array_join(F.col("r.rank").cast("array<string>"), ",")).first()[0]
 
 
-def line_sets(copies: DataFrame, ranks: str) -> DataFrame:
+def _coded(tokens: DataFrame, ranks: str) -> DataFrame:
     """``(key, codes)``: each line's set of token codes, rare ones first."""
     # Folds into one array literal at planning.
     table = F.split(F.lit(ranks), ",").cast("array<long>")
     low = (1 << COUNT_BITS) - 1
 
-    def token(w: Column, i: Column) -> Column:
-        return F.xxhash64(w, *[F.get("w", i + k) for k in range(1, SHINGLE)])
-
     def code(t: Column) -> Column:
         rest = F.shiftrightunsigned(t, COUNT_BITS)
         return F.shiftleft(F.get(table, t.bitwiseAND(low).cast("int")), 64 - COUNT_BITS).bitwiseOR(rest)
 
-    n = F.greatest(F.size("w") - (SHINGLE - 1), F.lit(1))
-    tokens = _words(copies, "key").select("key", _once(F.transform(F.slice("w", F.lit(1), n), token)).alias("tokens"))
-    return tokens.select("key", _once(F.sort_array(F.transform(F.array_distinct("tokens"), code))).alias("codes"))
+    return tokens.select("key", _once(F.sort_array(F.transform("tokens", code))).alias("codes"))
+
+
+def bucket_ranks(copies: DataFrame) -> str:
+    """``_ranks`` of the lines' tokens."""
+    return _ranks(line_tokens(copies))
+
+
+def line_sets(copies: DataFrame, ranks: str) -> DataFrame:
+    """``_coded`` of the lines' tokens."""
+    return _coded(line_tokens(copies), ranks)
 
 
 def _needed(n: Column) -> Column:
@@ -195,17 +234,13 @@ def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     )
 
 
-def earlier_matches(copies: DataFrame, ranks: str, posts: DataFrame) -> DataFrame:
-    """``(key)`` of the lines whose first place comes after a different line that matches."""
+def earlier_matches(whole: DataFrame, posts: DataFrame) -> DataFrame:
+    """``(key)`` of the lines whose first place comes after a different line that matches; ``whole``: ``(key, codes)``, the sets of all, in any order."""
     first = posts.groupBy("token").agg(F.min(F.struct("place", "key", "n", "at")).alias("e"))
     star = posts.alias("x").join(first.select("token", "e.*").alias("y"), "token").where(F.col("y.place") < F.col("x.place"))
     possible = star.where(_possible("x", "y")).select(F.col("x.key").alias("key"), F.col("y.key").alias("other"))
     star_pairs = cut(possible.distinct(), "line-star")
 
-    # Whole sets of the lines that share a prefix token.
-    held = bounded_broadcast(cut(posts.select("key").distinct(), "line-keys"))
-    whole = cut(line_sets(copies.join(held, "key", "left_semi"), ranks), "line-sets")
-
     found = cut(_verified(star_pairs, whole), "line-found")
     # A line that matched some token's earliest line goes; only the others look further.
     rest = posts.join(found.select("key").distinct(), "key", "left_anti")
@@ -218,11 +253,15 @@ def lines_that_go(docs: DataFrame) -> DataFrame:
     places = line_places(docs)
     firsts = first_places(places)
     copies = _first_copies(docs, firsts)
-    ranks = bucket_ranks(copies)
-    matched = earlier_matches(copies, ranks, shared_prefixes(line_sets(copies, ranks), firsts))
+    left = lines_left(copies, firsts)
+    tokens = cut(line_tokens(copies.join(bounded_broadcast(left.select("key")), "key", "left_semi")), "line-sets")
+    posts = shared_prefixes(_coded(tokens, _ranks(tokens)), left)
+    matched = earlier_matches(tokens.withColumnRenamed("tokens", "codes"), posts)
     # One row per line that occurs twice or matches an earlier one.
-    marked = firsts.join(matched.withColumn("gone", F.lit(True)), "key", "left").where("n > 1 or gone")
-    held = bounded_broadcast(cut(marked.select("key", "first", F.coalesce("gone", F.lit(False)).alias("all")), "line-marked"))
+    going = left.join(bounded_broadcast(cut(matched, "line-matched")), "key").select("key", F.col("first").alias("place"), F.lit(True).alias("all"))
+    repeats = firsts.where("n > 1").select("key", "first")
+    marked = repeats.join(going, "key", "full").select("key", F.coalesce("first", "place").alias("first"), F.coalesce("all", F.lit(False)).alias("all"))
+    held = bounded_broadcast(cut(marked, "line-marked"))
     going = places.join(held, "key").where(F.col("all") | (F.struct("d", "t", "line") > F.col("first")))
     lists = going.groupBy("d", "t").agg(F.sort_array(F.collect_set("line")).alias("gone"))
     return cut(lists, "line-gone")

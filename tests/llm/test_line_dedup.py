@@ -99,3 +99,24 @@ def test_lines_of_a_template_meet_in_no_pair(spark):
     # But for a unique token in the hash bucket of a shared one, which then counts as frequent.
     assert linededup.earlier_pairs(posts, posts).count() < 10
     assert dedup_lines(docs).first()["text"].count("\n") == 2_999
+
+
+def test_lines_without_a_match_go_no_further(spark):
+    """No set is made of lines that hold too many shingles of their own; every line that matches another is left."""
+    rng = random.Random(7)
+    alone = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(120)) for _ in range(60)]
+    near = []
+    for n in (1, 4, 5, 9, 20, 60, 120):
+        for _ in range(8):
+            words = [f"v{rng.randrange(10**6)}" for _ in range(n)]
+            at = rng.randrange(n)
+            near += [" ".join(words), " ".join([*words[:at], "x", *words[at + 1 :]]), " ".join([*words, "x"]), " ".join(words[1:] or ["y"])]
+    periodic = ["a b c d e f " * 20, "a b c d e f " * 21 + "g"]
+    rows = [(i, line) for i, line in enumerate(alone + near + periodic)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    firsts = linededup.first_places(linededup.line_places(docs))
+    left = {r["first"]["d"] for r in linededup.lines_left(linededup._first_copies(docs, firsts), firsts).collect()}
+    assert not left & set(range(len(alone)))
+    sets, placed = [shingles(line) for _, line in rows], {r["first"]["d"] for r in firsts.collect()}
+    matched = {i for i in placed for j in placed if i != j and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    assert len(matched) > 20 and matched <= left
