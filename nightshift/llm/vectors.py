@@ -111,8 +111,9 @@ def _apart(v: np.ndarray, threshold: float) -> np.ndarray:
     """Of unit rows ``v`` those that no kept earlier one is within ``APART`` link angles of."""
     close = np.cos(min(np.pi, APART * np.arccos(min(1.0, threshold))))
     alive = np.ones(len(v), dtype=bool)
-    for at in range(0, len(v), AUDIT_ROWS):
-        rows, end = np.arange(at, min(len(v), at + AUDIT_ROWS)), at + AUDIT_ROWS
+    step = 128
+    for at in range(0, len(v), step):
+        rows, end = np.arange(at, min(len(v), at + step)), at + step
         before = np.flatnonzero(alive[:at])
         alive[rows] = ~(v[rows] @ v[before].T >= close).any(axis=1)
         near = v[rows] @ v[rows].T >= close
